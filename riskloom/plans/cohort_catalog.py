@@ -20,7 +20,7 @@ def _wilson_tail(k="k", n="n"):
 
 
 def labelled_docs(spark, sf):
-    docs = read_table(spark, sf, "documents").select("doc_id", "lang")
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     lab = read_table(spark, sf, "labels").select("doc_id", "quality", "toxic")
     return lab.join(docs, "doc_id")
 
