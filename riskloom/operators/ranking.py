@@ -67,23 +67,37 @@ def with_lower_bound(df: DataFrame, bounds: str, value: Column, n_bounds: int,
     """Add ``out`` = number of elements of the sorted array column ``bounds``
     strictly below ``value``.
 
-    A binary search unrolled into ceil(log2 n) projections, one per step;
-    each step reads the previous step's column by name, so the expression
-    stays linear in the number of steps (Catalyst does not collapse the
-    projections because the column is used more than once), and everything
-    stays JVM-side in codegen.
+    Binary search as one ``aggregate`` over the step sizes (B/2, B/4, .., 1):
+    O(log B) probes per row and a constant-size expression. (Unrolling the
+    steps into chained columns lets alias-inlining optimizer rules expand the
+    chain exponentially.)
     """
+    steps = []
     s = 1
     while s * 2 <= n_bounds:
         s *= 2
-    x = df.withColumn(out, F.lit(0))
     while s >= 1:
-        cand = F.col(out) + F.lit(s)
-        probe = F.try_element_at(F.col(bounds), cand.cast("int"))
-        x = x.withColumn(out, F.when((cand <= F.lit(n_bounds)) & (probe < value), cand)
-                         .otherwise(F.col(out)))
+        steps.append(s)
         s //= 2
-    return x
+    step_arr = F.array(*[F.lit(st) for st in steps])
+    n = F.lit(n_bounds)
+
+    def probe(acc, st):
+        cand = acc + st
+        return F.when((cand <= n) & (F.try_element_at(F.col(bounds), cand) < value), cand).otherwise(acc)
+
+    return df.withColumn(out, F.aggregate(step_arr, F.lit(0), probe))
+
+
+def _percentages(n_buckets: int) -> Column:
+    """Foldable array<double> of i/B, i = 1..B-1, as one string literal.
+
+    A B-element ``array(lit, ...)`` puts B expression nodes into the plan,
+    which every optimizer pass (and every AQE re-plan) walks; a split of one
+    literal string is three nodes and still constant-folds.
+    """
+    text = ",".join(repr(i / n_buckets) for i in range(1, n_buckets))
+    return F.split(F.lit(text), ",").cast("array<double>")
 
 
 def quantile_bucket(df: DataFrame, by: Sequence[str], order_col: str, *, n_buckets: int = 1024,
@@ -94,9 +108,9 @@ def quantile_bucket(df: DataFrame, by: Sequence[str], order_col: str, *, n_bucke
     their accuracy only affects balance, never correctness.
     """
     by = list(by)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.groupBy(*by).agg(
-        F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy).alias("_bounds"))
+        F.percentile_approx(F.col(order_col).cast("double"), _percentages(n_buckets),
+                            accuracy).alias("_bounds"))
     if by:
         j = _null_safe_join(df, bounds, by)
     else:
