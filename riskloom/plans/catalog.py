@@ -9,6 +9,7 @@ from riskloom.plans.registry import ORACLE, QUERIES
 _MODULES = (
     "riskloom.plans.cohort_catalog",
     "riskloom.plans.metric_catalog",
+    "riskloom.plans.split_catalog",
 )
 
 for _m in _MODULES:
