@@ -10,6 +10,7 @@ _MODULES = (
     "riskloom.plans.cohort_catalog",
     "riskloom.plans.metric_catalog",
     "riskloom.plans.split_catalog",
+    "riskloom.plans.feature_catalog",
 )
 
 for _m in _MODULES:
