@@ -11,6 +11,7 @@ _MODULES = (
     "riskloom.plans.metric_catalog",
     "riskloom.plans.split_catalog",
     "riskloom.plans.feature_catalog",
+    "riskloom.plans.scoring_catalog",
 )
 
 for _m in _MODULES:
