@@ -12,6 +12,7 @@ _MODULES = (
     "riskloom.plans.split_catalog",
     "riskloom.plans.feature_catalog",
     "riskloom.plans.scoring_catalog",
+    "riskloom.plans.stats_catalog",
 )
 
 for _m in _MODULES:
