@@ -13,6 +13,7 @@ _MODULES = (
     "riskloom.plans.feature_catalog",
     "riskloom.plans.scoring_catalog",
     "riskloom.plans.stats_catalog",
+    "riskloom.plans.leaderboard_catalog",
 )
 
 for _m in _MODULES:

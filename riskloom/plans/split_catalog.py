@@ -86,8 +86,8 @@ def _sample_sql(src_cte: str, key: str, label: str, n_rows: int, keep_all: bool)
     h = sql_keyed_hash([key], 42, "sample")
     keep = f" or {n_rows} >= nn_all" if keep_all else ""
     return src_cte + f""", r as (select *, row_number() over (partition by {label} order by {h}, {key}) as rk from src),
-t as (select count(*) as nn_all, sum({label}) as pp from src),
-k as (select r.*, t.*, least(cast(floor(({n_rows} * pp) * 1.0e0 / nn_all) as bigint) + 1, pp) as kpos from r cross join t)
+tots as (select count(*) as nn_all, sum({label}) as pp from src),
+k as (select r.*, tots.*, least(cast(floor(({n_rows} * pp) * 1.0e0 / nn_all) as bigint) + 1, pp) as kpos from r cross join tots)
 select {key}, {label} from k where rk <= case when {label} = 1 then kpos else {n_rows} - kpos end{keep}"""
 
 
