@@ -53,14 +53,20 @@ def cohort_mask(df: DataFrame, col: str = "age", in_bins: Iterable[str] = YOUNG_
 
 
 def clean_cohort(df: DataFrame, *, entity: str = "patient_nbr", row_id: str = "encounter_id",
-                 dedupe: bool = True) -> DataFrame:
+                 dedupe: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     """label -> exclusion filter -> drop -> first encounter per patient, in that order.
 
     The encounter id is kept as the durable ``row_id`` (never a position).
+    ``columns`` projects the payload *before* the dedupe shuffle: the winning
+    row travels as one struct through the aggregation, and Catalyst cannot
+    prune fields out of an aggregate, so name what you need.
     """
     out = label_binary(df)
     out = filter_exclusion_set(out)
     out = drop_if_present(out, keep=(row_id,))
+    if columns is not None:
+        keep = [row_id, entity, "y_30d"] + [c for c in columns if c not in (row_id, entity, "y_30d")]
+        out = out.select(*keep)
     out = out.withColumnRenamed(row_id, "row_id")
     if dedupe:
         out = first_per_entity(out, entity, ["row_id"])

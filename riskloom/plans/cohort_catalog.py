@@ -64,8 +64,8 @@ _COHORT = """cohort as (
 """
 
 
-def cohort_df(spark, sf):
-    return C.clean_cohort(view(spark, sf, "encounters"))
+def cohort_df(spark, sf, columns=None):
+    return C.clean_cohort(view(spark, sf, "encounters"), columns=columns)
 
 
 @query("rate_wilson_sets", cte("encounters") + "," + _COHORT + f"""
@@ -76,7 +76,7 @@ select variable, category, n, k, {_wilson_tail()} from (
     union all select 'race', race, y_30d from cohort) u
   where category is not null group by variable, category) t""")
 def q_rate_wilson_sets(spark, sf):
-    return R.rate_wilson_sets(cohort_df(spark, sf), ["age", "gender", "race"], "y_30d")
+    return R.rate_wilson_sets(cohort_df(spark, sf, ["age", "gender", "race"]), ["age", "gender", "race"], "y_30d")
 
 
 @query("reindex_ordered", cte("encounters") + "," + _COHORT + """,
@@ -89,7 +89,7 @@ select b.category, r.n, r.k, """ + _wilson_tail("r.k", "r.n") + """
 from bins b left join r on b.category = r.category order by b.pos""")
 def q_reindex_ordered(spark, sf):
     from riskloom.functions.vocab import AGE_MIDPOINTS
-    r = R.rate_wilson(cohort_df(spark, sf), "age", "y_30d")
+    r = R.rate_wilson(cohort_df(spark, sf, ["age"]), "age", "y_30d")
     # an extra bin beyond the data shows the absent-bin -> null-row behaviour
     return R.reindex_ordered(r, list(AGE_MIDPOINTS) + ["[100-110)"])
 
@@ -138,7 +138,7 @@ select row_id, age, cohort from (select encounter_id as row_id, age,
   case when coalesce(age in ('[0-10)', '[10-20)', '[20-30)', '[30-40)', '[40-50)'), false)
        then 'young' else 'old' end as cohort from cohort) t""")
 def q_cohort_mask(spark, sf):
-    return C.cohort_mask(cohort_df(spark, sf)).select("row_id", "age", "cohort")
+    return C.cohort_mask(cohort_df(spark, sf, ["age"])).select("row_id", "age", "cohort")
 
 
 @query("prevalence_by_cohort", cte("encounters") + "," + _COHORT + """
@@ -147,7 +147,7 @@ select cohort, count(*)::BIGINT as n, """ + r6("avg(y_30d)") + """ as rate from
        then 'young' else 'old' end as cohort from cohort) t group by cohort""")
 def q_prevalence_by_cohort(spark, sf):
     from riskloom.functions.stats import r6 as sr6
-    c = C.cohort_mask(cohort_df(spark, sf))
+    c = C.cohort_mask(cohort_df(spark, sf, ["age"]))
     return c.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"), sr6(F.avg("y_30d")).alias("rate"))
 
 

@@ -46,7 +46,7 @@ def q_icd9_bucket(spark, sf):
 @query("log1p_counts", _BASE + "select encounter_id as row_id, " + ", ".join(
     f"{r6(f'ln(1 + cast({c} as double))')} as {c}_log1p" for c in FE.LOG1P_COLS) + " from cohort")
 def q_log1p_counts(spark, sf):
-    c = cohort_df(spark, sf)
+    c = cohort_df(spark, sf, list(FE.LOG1P_COLS))
     return c.select("row_id", *[sr6(F.log1p(F.col(x).cast("double"))).alias(f"{x}_log1p") for x in FE.LOG1P_COLS])
 
 
@@ -160,7 +160,7 @@ _OH_COLS = ("race", "gender", "age", "a1cresult")
 select row_id, var || '_' || """ + _norm_sql("lvl") + """ as feature, 1.0e0 as value
 from long join firsts using (var) where lvl <> fl""")
 def q_onehot_drop_first(spark, sf):
-    return FE.onehot_long(cohort_df(spark, sf), "row_id", list(_OH_COLS))
+    return FE.onehot_long(cohort_df(spark, sf, list(_OH_COLS)), "row_id", list(_OH_COLS))
 
 
 @query("interact_products", _BASE + f""", d as (select encounter_id as row_id, a1cresult as a, {sql_icd9_bucket('diag_1')} as b from cohort),
@@ -168,7 +168,7 @@ firsts as (select min(a) as fa, min(b) as fb from d)
 select row_id, 'a1cresult_' || {_norm_sql('a')} || '__x__diag_1_bucket_' || {_norm_sql('b')} as feature, 1.0e0 as value
 from d cross join firsts where a is not null and b is not null and a <> fa and b <> fb""")
 def q_interact_products(spark, sf):
-    c = FE.with_diag_buckets(cohort_df(spark, sf))
+    c = FE.with_diag_buckets(cohort_df(spark, sf, ["a1cresult", "diag_1", "diag_2", "diag_3"]))
     return FE.interact_products(c, "row_id", "a1cresult", "diag_1_bucket")
 
 

@@ -187,12 +187,12 @@ _UNION_SQL = " union all ".join(f"select encounter_id as row_id, y_30d, '{m}' as
 
 @query("union_all_models", _BASE + _UNION_SQL)
 def q_union_all_models(spark, sf):
-    return _union_models(cohort_df(spark, sf))
+    return _union_models(cohort_df(spark, sf, list(_MODELS)))
 
 
 @query("blend_mean", _BASE + f", u as ({_UNION_SQL}) select row_id, {r6('avg(score)')} as blend from u group by row_id having count(score) = 3")
 def q_blend_mean(spark, sf):
-    u = _union_models(cohort_df(spark, sf))
+    u = _union_models(cohort_df(spark, sf, list(_MODELS)))
     g = u.groupBy("row_id").agg(F.avg("score").alias("blend"), F.count("score").alias("_k"))
     return g.where(F.col("_k") == len(_MODELS)).select("row_id", sr6("blend").alias("blend"))
 
@@ -208,7 +208,7 @@ def _paired_sql():
 
 @query("paired_subsample_eval", _paired_sql())
 def q_paired_subsample_eval(spark, sf):
-    c = cohort_df(spark, sf)
+    c = cohort_df(spark, sf, list(_MODELS))
     sample = S.sample_stratified_n(c.select("row_id", "y_30d"), "row_id", "y_30d", 300)
     u = _union_models(c).join(sample.select("row_id"), "row_id", "left_semi")
     return M.auc_delong(u, ["model"], "score", "y_30d")

@@ -86,7 +86,7 @@ from res""")
 
 @query("delta_auc", _delta_sql())
 def q_delta_auc(spark, sf):
-    c = C.cohort_mask(cohort_df(spark, sf))
+    c = C.cohort_mask(cohort_df(spark, sf, ["age", "number_inpatient"]))
     a = M.auc_delong(c, ["cohort"], "number_inpatient", "y_30d")
     p = a.groupBy().pivot("cohort", ["young", "old"]).agg(F.first("auc"))
     return p.select(sr6("young").alias("auc_young"), sr6("old").alias("auc_old"),

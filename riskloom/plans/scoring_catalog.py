@@ -166,7 +166,7 @@ def q_join_align_labels(spark, sf):
        + _strat_sql("c", "row_id", "y_30d", "split", 0.15, _VR)
        + "\nselect row_id, prompt_format from responses where row_id in (select row_id from s2 where split = 'test')")
 def q_semi_restrict(spark, sf):
-    c = cohort_df(spark, sf).select("row_id", "y_30d")
+    c = cohort_df(spark, sf, []).select("row_id", "y_30d")
     test = S.split_stratified(c, "row_id", "y_30d").where("split = 'test'")
     return view(spark, sf, "responses").join(test.select("row_id"), "row_id", "left_semi").select("row_id", "prompt_format")
 
@@ -185,7 +185,7 @@ own as (select * from u where row_id in (select encounter_id from cohort))
 select row_id, prompt_format, response, {r6('parsed_p')} as parsed_p from (
   select *, row_number() over (partition by row_id, prompt_format order by pref) as rn from own) x where rn = 1""")
 def q_seed_cache(spark, sf):
-    own = cohort_df(spark, sf).select("row_id")
+    own = cohort_df(spark, sf, []).select("row_id")
     c0 = parsed_responses(spark, sf).where("parsed_p is not null").select("row_id", "prompt_format", "response", "parsed_p")
     c1 = parsed_responses(spark, sf, strict=False).select("row_id", "prompt_format", "response", "parsed_p")
     s = SC.seed_cache(own, [c0, c1])

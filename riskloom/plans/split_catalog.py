@@ -27,7 +27,7 @@ s2 as (select *, case when rk <= nt then 'test' when rk <= nt + floor((nn - nt)
 @query("split_stratified", _BASE + ", c as (select encounter_id as row_id, y_30d from cohort), "
        + _strat_sql("c", "row_id", "y_30d", "split", 0.15, _VR) + "\nselect row_id, y_30d, split from s2")
 def q_split_stratified(spark, sf):
-    c = cohort_df(spark, sf).select("row_id", "y_30d")
+    c = cohort_df(spark, sf, []).select("row_id", "y_30d")
     return S.split_stratified(c, "row_id", "y_30d").select("row_id", "y_30d", "split")
 
 
@@ -35,7 +35,7 @@ def q_split_stratified(spark, sf):
        + _strat_sql("c", "row_id", "y_30d", "split", 0.15, _VR)
        + "\nselect row_id from c where row_id not in (select row_id from s2 where split in ('test', 'val'))")
 def q_complement_ids(spark, sf):
-    c = cohort_df(spark, sf).select("row_id", "y_30d")
+    c = cohort_df(spark, sf, []).select("row_id", "y_30d")
     s = S.split_stratified(c, "row_id", "y_30d")
     return S.complement_ids(c.select("row_id"), s.where("split = 'test'"), s.where("split = 'val'"),
                             key="row_id")
@@ -47,7 +47,7 @@ def q_complement_ids(spark, sf):
        + _strat_sql("y", "row_id", "y_30d", "shift_split", 0.2, "0.15")
        + "\nselect row_id, cohort, split from s2 union all select row_id, cohort, 'holdout' from c where cohort = 'old'")
 def q_split_cohort_holdout(spark, sf):
-    c = C.cohort_mask(cohort_df(spark, sf)).select("row_id", "y_30d", "cohort")
+    c = C.cohort_mask(cohort_df(spark, sf, ["age"])).select("row_id", "y_30d", "cohort")
     young = S.split_stratified(c.where("cohort = 'young'"), "row_id", "y_30d", test=0.2,
                                val_of_rest=0.15, purpose="shift_split")
     old = c.where("cohort = 'old'").withColumn("split", F.lit("holdout"))
@@ -69,7 +69,7 @@ def q_split_group(spark, sf):
 @query("kfold_stratified", _BASE + f""", c as (select encounter_id as row_id, y_30d, {sql_keyed_hash(['encounter_id'], 42, 'kfold')} as _h from cohort)
 select row_id, y_30d, cast(((row_number() over (partition by y_30d order by _h, row_id)) - 1) % 5 as int) as fold from c""")
 def q_kfold_stratified(spark, sf):
-    c = cohort_df(spark, sf).select("row_id", "y_30d")
+    c = cohort_df(spark, sf, []).select("row_id", "y_30d")
     return S.kfold_stratified(c, "row_id", "y_30d", 5).select("row_id", "y_30d", "fold")
 
 
@@ -94,7 +94,7 @@ select {key}, {label} from k where rk <= case when {label} = 1 then kpos else {n
 @query("sample_stratified_n", _sample_sql(_BASE + ", src as (select encounter_id as row_id, y_30d from cohort)",
                                          "row_id", "y_30d", 300, False))
 def q_sample_stratified_n(spark, sf):
-    c = cohort_df(spark, sf).select("row_id", "y_30d")
+    c = cohort_df(spark, sf, []).select("row_id", "y_30d")
     return S.sample_stratified_n(c, "row_id", "y_30d", 300).select("row_id", "y_30d")
 
 

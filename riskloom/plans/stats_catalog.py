@@ -55,7 +55,7 @@ _SPLIT = ", c as (select encounter_id as row_id, y_30d from cohort), " + _strat_
 
 
 def _split_cohort(spark, sf):
-    c = cohort_df(spark, sf).select("row_id", "y_30d")
+    c = cohort_df(spark, sf, []).select("row_id", "y_30d")
     return S.split_stratified(c, "row_id", "y_30d")
 
 
