@@ -41,22 +41,41 @@ def tie_table(df: DataFrame, group_cols: Sequence[str], score, label) -> DataFra
         F.sum(1 - F.col("_y")).cast("long").alias("neg"))
 
 
+def tie_table_with_missing(df: DataFrame, group_cols: Sequence[str], score, label) -> DataFrame:
+    """Like :func:`tie_table` but rows with a null/NaN score form their own tie
+    group (score null), so coverage and AUC come from one aggregation."""
+    s = _col(score).cast("double")
+    s = F.when(~F.isnan(s), s)
+    y = _col(label).cast("int")
+    x = df.select(*group_cols, s.alias("score"), y.alias("_y")).where(F.col("_y").isNotNull())
+    return x.groupBy(*group_cols, "score").agg(
+        F.sum(F.col("_y")).cast("long").alias("pos"),
+        F.sum(1 - F.col("_y")).cast("long").alias("neg"))
+
+
 def tie_prefix(df: DataFrame, group_cols: Sequence[str], score, label, *,
-               n_buckets: int = 1024) -> DataFrame:
+               n_buckets: int | None = None) -> DataFrame:
     """Tie table plus ``pos_below, neg_below, pos_total, neg_total``."""
     t = tie_table(df, group_cols, score, label)
     return prefix_sums(t, group_cols, "score", ["pos", "neg"], n_buckets=n_buckets)
 
 
 def auc_delong(df: DataFrame, group_cols: Sequence[str], score, label, *, z: float = Z95,
-               n_buckets: int = 1024, round_digits: bool = True) -> DataFrame:
+               n_buckets: int | None = None, round_digits: bool = True) -> DataFrame:
     """Per group: n, n_pos, auc, var, ci_lo, ci_hi (DeLong), exact with ties = 1/2.
 
     Groups with fewer than 2 positives or 2 negatives get a null variance and
     interval (the caller falls back to the bootstrap).
     """
+    return auc_delong_ties(tie_table(df, group_cols, score, label), group_cols, z=z,
+                           n_buckets=n_buckets, round_digits=round_digits)
+
+
+def auc_delong_ties(ties: DataFrame, group_cols: Sequence[str], *, z: float = Z95,
+                    n_buckets: int | None = None, round_digits: bool = True) -> DataFrame:
+    """DeLong AUC from a tie table ``(group.., score, pos, neg)`` (non-null scores)."""
     group_cols = list(group_cols)
-    t = tie_prefix(df, group_cols, score, label, n_buckets=n_buckets)
+    t = prefix_sums(ties, group_cols, "score", ["pos", "neg"], n_buckets=n_buckets)
     P = F.col("pos_total").cast("double")
     N = F.col("neg_total").cast("double")
     a10 = (F.col("neg_below") + F.col("neg") / 2.0) / N
@@ -94,7 +113,7 @@ def auc_exact(df: DataFrame, group_cols: Sequence[str], score, label, **kw) -> D
 
 
 def roc_curve(df: DataFrame, group_cols: Sequence[str], score, label, *,
-              n_buckets: int = 1024) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """(group.., threshold, tp, fp, fpr, tpr) at every distinct score.
 
     Positive call = score >= threshold; tp/fp are the reverse prefix sums.

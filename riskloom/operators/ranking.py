@@ -5,8 +5,8 @@ label) funnels the data through one task. Every ordered computation here is
 two-level instead:
 
 1. derive a *monotone bucket* from the order key — top bits of a keyed hash,
-   or per-group approximate-quantile boundaries of a score found with an
-   O(log B) branch-free binary search, all JVM-side;
+   or, for a score, its binary exponent plus top mantissa bits (an exact
+   log-scaled histogram computed arithmetically, no sampling pass);
 2. count per (group, bucket) — a tiny table, at most groups x B rows;
 3. exclusive prefix over buckets in that tiny table (one task per group over
    <= B rows, bounded by the parameter, not the data);
@@ -62,90 +62,68 @@ def hash_rank(df: DataFrame, by: Sequence[str], hash_col: str, tiebreak: Sequenc
              .drop("_hb", "_off"))
 
 
-def with_lower_bound(df: DataFrame, bounds: str, value: Column, n_bounds: int,
-                     out: str) -> DataFrame:
-    """Add ``out`` = number of elements of the sorted array column ``bounds``
-    strictly below ``value``.
+def monotone_bucket(c, mantissa_bits: int = 12) -> Column:
+    """Integer bucket that never decreases as the double ``c`` increases.
 
-    Binary search as one ``aggregate`` over the step sizes (B/2, B/4, .., 1):
-    O(log B) probes per row and a constant-size expression. (Unrolling the
-    steps into chained columns lets alias-inlining optimizer rules expand the
-    chain exponentially.)
+    Log-scaled histogram computed arithmetically: binary exponent e (exact,
+    corrected after ``log2``) and the top ``mantissa_bits`` bits of the
+    mantissa, i.e. 2**bits buckets per octave; negatives mirror positives.
+    No sampling pass, no join, identical on every retry. Ties are aggregated
+    before ranking, so a bucket holds only distinct values within a relative
+    width of 2**-bits.
     """
-    steps = []
-    s = 1
-    while s * 2 <= n_bounds:
-        s *= 2
-    while s >= 1:
-        steps.append(s)
-        s //= 2
-    step_arr = F.array(*[F.lit(st) for st in steps])
-    n = F.lit(n_bounds)
-
-    def probe(acc, st):
-        cand = acc + st
-        return F.when((cand <= n) & (F.try_element_at(F.col(bounds), cand) < value), cand).otherwise(acc)
-
-    return df.withColumn(out, F.aggregate(step_arr, F.lit(0), probe))
-
-
-def _percentages(n_buckets: int) -> Column:
-    """Foldable array<double> of i/B, i = 1..B-1, as one string literal.
-
-    A B-element ``array(lit, ...)`` puts B expression nodes into the plan,
-    which every optimizer pass (and every AQE re-plan) walks; a split of one
-    literal string is three nodes and still constant-folds.
-    """
-    text = ",".join(repr(i / n_buckets) for i in range(1, n_buckets))
-    return F.split(F.lit(text), ",").cast("array<double>")
-
-
-def quantile_bucket(df: DataFrame, by: Sequence[str], order_col: str, *, n_buckets: int = 1024,
-                    accuracy: int = 10000, bucket_col: str = "_qb") -> DataFrame:
-    """Attach a bucket id that is monotone in ``order_col`` within each ``by`` group.
-
-    Boundaries are per-group approximate quantiles (a tiny groups x B table);
-    their accuracy only affects balance, never correctness.
-    """
-    by = list(by)
-    bounds = df.groupBy(*by).agg(
-        F.percentile_approx(F.col(order_col).cast("double"), _percentages(n_buckets),
-                            accuracy).alias("_bounds"))
-    if by:
-        j = _null_safe_join(df, bounds, by)
-    else:
-        j = df.crossJoin(F.broadcast(bounds))  # one row: the global boundary array
-    return with_lower_bound(j, "_bounds", F.col(order_col).cast("double"), n_buckets - 1,
-                            bucket_col).drop("_bounds")
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    a = F.abs(x)
+    e0 = F.floor(F.log2(a))
+    p = F.pow(F.lit(2.0), e0)
+    e = F.when(a < p, e0 - 1).when(a >= p * 2.0, e0 + 1).otherwise(e0)
+    m = a / F.pow(F.lit(2.0), e)
+    scale = float(1 << mantissa_bits)
+    pos = (e + 1100) * int(scale) + F.floor((m - 1.0) * scale)
+    big = F.lit(1 << 40)
+    return (F.when(x == 0.0, F.lit(0).cast("long"))
+             .when(a == float("inf"), F.when(x > 0, big).otherwise(-big))
+             .when(x > 0, pos).otherwise(-pos)).cast("long")
 
 
 def prefix_sums(df: DataFrame, by: Sequence[str], order_col: str, value_cols: Sequence[str], *,
-                n_buckets: int = 1024) -> DataFrame:
+                n_buckets: int | None = None, mantissa_bits: int = 12) -> DataFrame:
     """For rows unique in (by, order_col): sums of ``value_cols`` over rows with a
     smaller order key (``<v>_below``) and over the whole group (``<v>_total``).
+
+    Plan shape: one exchange of the input on (by, bucket); the in-bucket
+    running sums are a window over it, and the bucket totals are an aggregate
+    over the *same* partitioning (no second shuffle, no second read of the
+    input). Only the bucket table — bounded by occupied buckets — is shuffled
+    again for the cross-bucket offsets and joined back.
     """
     by = list(by)
-    x = quantile_bucket(df, by, order_col, n_buckets=n_buckets)
-    bt = x.groupBy(*by, "_qb").agg(*[F.sum(v).alias(f"_bt_{v}") for v in value_cols])
+    x = df.withColumn("_qb", monotone_bucket(order_col, mantissa_bits))
+    x = x.repartition(*[F.col(c) for c in by], F.col("_qb"))
+    w_in = (Window.partitionBy(*by, "_qb").orderBy(F.col(order_col))
+            .rowsBetween(Window.unboundedPreceding, -1))
+    w_bucket = Window.partitionBy(*by, "_qb")
+    xw = x.select(*x.columns,
+                  *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"_in_{v}") for v in value_cols],
+                  *[F.sum(v).over(w_bucket).alias(f"_bt_{v}") for v in value_cols])
+    bt = xw.groupBy(*by, "_qb").agg(*[F.max(f"_bt_{v}").alias(f"_bt_{v}") for v in value_cols])
     wb = Window.partitionBy(*by).orderBy("_qb").rowsBetween(Window.unboundedPreceding, 0)
     wall = Window.partitionBy(*by)
     offsets = bt.select(*by, "_qb", *[
         (F.sum(f"_bt_{v}").over(wb) - F.col(f"_bt_{v}")).alias(f"_off_{v}") for v in value_cols
     ], *[F.sum(f"_bt_{v}").over(wall).alias(f"{v}_total") for v in value_cols])
-    j = _null_safe_join(x, offsets, by + ["_qb"])
-    w = (Window.partitionBy(*by, "_qb").orderBy(F.col(order_col))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    out = j.select(*x.columns, *[
-        (F.col(f"_off_{v}") + F.coalesce(F.sum(v).over(w), F.lit(0))).alias(f"{v}_below")
-        for v in value_cols], *[f"{v}_total" for v in value_cols])
-    return out.drop("_qb")
+    j = _null_safe_join(xw, offsets, by + ["_qb"])
+    out = j.select(*[c for c in x.columns if c != "_qb"],
+                   *[(F.col(f"_off_{v}") + F.col(f"_in_{v}")).alias(f"{v}_below") for v in value_cols],
+                   *[f"{v}_total" for v in value_cols])
+    return out
 
 
 def order_rank(df: DataFrame, by: Sequence[str], order_col: str, *, rank_col: str = "_rank",
                size_col: str = "_n", n_buckets: int = 1024) -> DataFrame:
     """1-based rank by a unique order key within ``by``, distributed."""
     x = df.withColumn("_one", F.lit(1).cast("long"))
-    out = prefix_sums(x, by, order_col, ["_one"], n_buckets=n_buckets)
+    out = prefix_sums(x, by, order_col, ["_one"])
     return (out.withColumn(rank_col, F.col("_one_below") + 1)
                .withColumnRenamed("_one_total", size_col)
                .drop("_one", "_one_below"))

@@ -218,9 +218,13 @@ left join res on c.prompt_format = res.prompt_format""")
 
 def score_report(cache, labels, min_valid: int = 100, group=("prompt_format",)):
     """dedupe-free cache -> align labels -> coverage + guarded AUC per group, one job."""
-    j = cache.join(labels, "row_id")
-    cov = j.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.count("parsed_p").alias("n_valid"))
-    auc = M.auc_delong(j, list(group), "parsed_p", "y_30d").select(*group, "auc", "ci_lo", "ci_hi")
+    j = cache.select(*group, "row_id", "parsed_p").join(labels, "row_id")
+    # one aggregation of the joined data; coverage and AUC both read the tie table
+    ties = M.tie_table_with_missing(j, list(group), "parsed_p", "y_30d")
+    n_all = F.col("pos") + F.col("neg")
+    cov = ties.groupBy(*group).agg(F.sum(n_all).alias("n"),
+                                   F.sum(F.when(F.col("score").isNotNull(), n_all).otherwise(0)).alias("n_valid"))
+    auc = M.auc_delong_ties(ties.where(F.col("score").isNotNull()), list(group)).select(*group, "auc", "ci_lo", "ci_hi")
     r = cov.join(auc, list(group), "left")
     ok = F.col("n_valid") >= min_valid
     return r.select(*group, "n_valid", sr6(F.col("n_valid") / F.col("n")).alias("coverage"),
