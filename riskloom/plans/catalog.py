@@ -14,6 +14,7 @@ _MODULES = (
     "riskloom.plans.scoring_catalog",
     "riskloom.plans.stats_catalog",
     "riskloom.plans.leaderboard_catalog",
+    "riskloom.plans.bootstrap_catalog",
 )
 
 for _m in _MODULES:
