@@ -15,6 +15,7 @@ _MODULES = (
     "riskloom.plans.stats_catalog",
     "riskloom.plans.leaderboard_catalog",
     "riskloom.plans.bootstrap_catalog",
+    "riskloom.plans.docs_catalog",
 )
 
 for _m in _MODULES:
