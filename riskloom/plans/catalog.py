@@ -16,6 +16,7 @@ _MODULES = (
     "riskloom.plans.leaderboard_catalog",
     "riskloom.plans.bootstrap_catalog",
     "riskloom.plans.docs_catalog",
+    "riskloom.plans.model_catalog",
 )
 
 for _m in _MODULES:
