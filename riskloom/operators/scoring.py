@@ -111,12 +111,15 @@ def merge_update_nonnull(base: DataFrame, retry: DataFrame,
                     *[c for c in base.columns if c not in (*keys, "response", "parsed_p")])
 
 
-def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
+                     keep_order: bool = False) -> DataFrame:
     """Last row per key by ``order`` (e.g. file, position): ``max(struct(order.., rest..))``
-    in a hash aggregate, so a hot key is combined map-side."""
+    in a hash aggregate, so a hot key is combined map-side. ``keep_order``
+    keeps the provenance columns (needed for incremental upserts)."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     g = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_r"))
-    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    out = list(order) + rest if keep_order else rest
+    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in out])
 
 
 def seed_cache(own_rows: DataFrame, earlier_caches: Sequence[DataFrame], key: str = "row_id") -> DataFrame:

@@ -22,7 +22,7 @@ KEYS = ["row_id", "prompt_format"]
 
 
 def chunk_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(CACHE_SCHEMA)
+    r = spark.readStream.schema(CACHE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     s = r.parquet(src_dir)
@@ -44,10 +44,10 @@ def stream_collect(spark: SparkSession, src_dir: str, out_dir: str, checkpoint:
     path of the newest collected version."""
     def upsert(batch: DataFrame, epoch: int) -> None:
         cur = _latest_version(out_dir)
-        b = dedupe_keep_last(batch, KEYS, ["file", "pos"])
+        b = dedupe_keep_last(batch, KEYS, ["file", "pos"], keep_order=True)
         if cur is not None:
             prev = spark.read.parquet(cur)
-            b = dedupe_keep_last(prev.unionByName(b), KEYS, ["file", "pos"])
+            b = dedupe_keep_last(prev.unionByName(b), KEYS, ["file", "pos"], keep_order=True)
         b.write.mode("overwrite").parquet(os.path.join(out_dir, f"v={epoch:010d}"))
 
     q = (chunk_stream(spark, src_dir, max_files_per_trigger).writeStream
