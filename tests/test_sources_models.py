@@ -90,12 +90,12 @@ def test_catalogue_slice_matches_duckdb(spark):
     qs, ora = E.queries(), E.oracle_sql()
     assert set(ora) <= set(qs)
     for name in ["rate_wilson", "auc_delong_ci", "split_stratified", "parse_prob", "icd9_bucket", "peer_delta"]:
-        s = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in
-                   qs[name](spark, SF001).select(*sorted(qs[name](spark, SF001).columns)).collect()), key=repr)
+        s = sorted([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in
+                   qs[name](spark, SF001).select(*sorted(qs[name](spark, SF001).columns)).collect()], key=repr)
         cur = con.execute(ora[name])
         cols = [d[0] for d in cur.description]
         order = sorted(range(len(cols)), key=lambda i: cols[i])
-        d = sorted(tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in order) for r in cur.fetchall()), key=repr)
+        d = sorted([tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in order) for r in cur.fetchall()], key=repr)
         assert s == d, name
 
 
