@@ -69,3 +69,40 @@ def class_weight_balanced(train: DataFrame, label: str, out: str = "weight") ->
     per = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")).crossJoin(n)
     per = per.select(label, (F.col("_n") / (2.0 * F.col("_nc"))).alias(out))
     return train.join(F.broadcast(per), label, "left")
+
+
+def _long_codes(df: DataFrame, key: str, cols, extra=()) -> DataFrame:
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("var"), F.col(c).cast("string").alias("cat")) for c in cols]))
+    x = df.select(key, *extra, pairs.alias("p"))
+    names = [c for c in x.columns if c not in (key, "p")]
+    return x.select(key, *names, "p.var", "p.cat")
+
+
+def target_encode_many(train: DataFrame, apply_to: DataFrame, cols, label: str, fold: str, *,
+                       key: str = "row_id", s: float = TARGET_SMOOTHING) -> DataFrame:
+    """Encode several categorical columns at once, in long form.
+
+    Training rows (``train``, with a ``fold`` column) get out-of-fold values;
+    ``apply_to`` rows get values learned on all of ``train``. One unpivot, one
+    aggregation by (column, category, fold), one pivot back on a known column
+    list: the plan grows linearly with the number of columns.
+    Output: ``key`` + ``<col>_te`` per column.
+    """
+    g = _prior(train, label)
+    lt = _long_codes(train, key, cols, extra=(F.col(label).cast("double").alias("_y"), F.col(fold).alias("_f")))
+    per = lt.where(F.col("cat").isNotNull()).groupBy("var", "cat", "_f").agg(
+        F.count(F.lit(1)).alias("_cf"), F.sum("_y").alias("_sf"))
+    w = Window.partitionBy("var", "cat")
+    per = per.select("var", "cat", "_f", (F.sum("_cf").over(w) - F.col("_cf")).alias("_co"),
+                     (F.sum("_sf").over(w) - F.col("_sf")).alias("_so"),
+                     F.sum("_cf").over(w).alias("_ct"), F.sum("_sf").over(w).alias("_st"))
+    full = per.select("var", "cat", "_ct", "_st").distinct()
+    tr = lt.join(per.select("var", "cat", "_f", "_co", "_so"), ["var", "cat", "_f"], "left").crossJoin(F.broadcast(g))
+    tr = tr.select(key, "var", ((F.coalesce("_so", F.lit(0.0)) + F.col("_g") * s) /
+                                (F.coalesce("_co", F.lit(0)) + s)).alias("_enc"))
+    la = _long_codes(apply_to, key, cols)
+    ap = la.join(full, ["var", "cat"], "left").crossJoin(F.broadcast(g))
+    ap = ap.select(key, "var", F.coalesce((F.col("_st") + F.col("_g") * s) / (F.col("_ct") + s), F.col("_g")).alias("_enc"))
+    both = tr.unionByName(ap)
+    wide = both.groupBy(key).pivot("var", list(cols)).agg(F.first("_enc"))
+    return wide.select(key, *[F.col(c).alias(f"{c}_te") for c in cols])

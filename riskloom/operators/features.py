@@ -104,3 +104,44 @@ def interact_products(df: DataFrame, key: str, a: str, b: str, *, drop_first: bo
         x = x.crossJoin(F.broadcast(firsts)).where((F.col("_a") != F.col("_fa")) & (F.col("_b") != F.col("_fb")))
     name = F.concat(F.lit(a + "_"), normalize_col("_a"), F.lit("__x__" + b + "_"), normalize_col("_b"))
     return x.select(key, name.alias("feature"), F.lit(1.0).alias("value"))
+
+
+def scale_std(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ("row_id",)) -> DataFrame:
+    """Divide by the population std (no centring); zero variance -> scale 1.
+
+    The per-column scales are one aggregated row, broadcast back.
+    """
+    sd = df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(f"_sd_{i}") for i, c in enumerate(cols)])
+    j = df.crossJoin(F.broadcast(sd))
+    return j.select(*keep, *[
+        (F.col(c).cast("double") / F.when(F.col(f"_sd_{i}") > 0, F.col(f"_sd_{i}")).otherwise(1.0)).alias(c)
+        for i, c in enumerate(cols)])
+
+
+def assemble_features(*frames: DataFrame, key: str = "row_id") -> DataFrame:
+    """Column-concatenate aligned frames by joining on the durable key."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.join(f, key)
+    return out
+
+
+TE_COLUMNS = ("diag_1", "diag_2", "diag_3", "medical_specialty", "payer_code")
+
+
+def features_te(split_cohort: DataFrame, k: int = 5, cols: Sequence[str] = TE_COLUMNS,
+                label: str = "y_30d", smoothing: float = 20.0) -> DataFrame:
+    """Slim numerics + target-encoded high-cardinality raw codes.
+
+    Train rows get out-of-fold encodings (folds stratified by label, prior =
+    mean over all train); val/test rows use the table learned on all train.
+    """
+    from riskloom.operators.encode import target_encode_many
+    from riskloom.operators.split import kfold_stratified
+    base = features_slim(split_cohort.drop("split")).select("row_id", *SLIM_NUMERIC)
+    raw = split_cohort.select("row_id", label, "split", *cols)
+    train = kfold_stratified(raw.where(F.col("split") == "train"), "row_id", label, k)
+    rest = raw.where(F.col("split") != "train")
+    enc = target_encode_many(train, rest, cols, label, "fold", s=smoothing)
+    enc = enc.join(raw.select("row_id", "split"), "row_id")
+    return base.join(enc, "row_id")

@@ -141,3 +141,20 @@ def parse_coverage(cache: DataFrame, n_requested: DataFrame | None = None) -> Da
     return cache.groupBy("prompt_format").agg(
         F.count(F.lit(1)).alias("n"), F.count("parsed_p").alias("n_valid")).withColumn(
         "coverage", F.round(F.col("n_valid") / F.col("n"), 6) + F.lit(0.0))
+
+
+def score_resume(requests: DataFrame, cache_dir: str, scorer: Callable[[str], str], *,
+                 n_partitions: int | None = None) -> DataFrame:
+    """Score only pairs not yet in the cache directory and append them.
+
+    The durability unit is a task: a committed append is never redone, a
+    failed task is retried by Spark, a failed job resumes from the anti join.
+    Returns the full cache after the append.
+    """
+    import os
+    spark = requests.sparkSession
+    cache = (spark.read.schema(CACHE_SCHEMA).parquet(cache_dir) if os.path.isdir(cache_dir)
+             else spark.createDataFrame([], CACHE_SCHEMA))
+    pending = anti_pending(requests, cache)
+    score_batch(pending, scorer, n_partitions=n_partitions).write.mode("append").parquet(cache_dir)
+    return spark.read.schema(CACHE_SCHEMA).parquet(cache_dir)

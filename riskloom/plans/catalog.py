@@ -17,6 +17,7 @@ _MODULES = (
     "riskloom.plans.bootstrap_catalog",
     "riskloom.plans.docs_catalog",
     "riskloom.plans.model_catalog",
+    "riskloom.plans.model_extra_catalog",
 )
 
 for _m in _MODULES:

@@ -113,6 +113,17 @@ def q_decode_dims(spark, sf):
     return e.select("encounter_id", "admission_type", "admission_source", "discharge")
 
 
+def _slim_base_sql(src: str = "cohort") -> str:
+    diag = ", ".join(f"{sql_icd9_bucket(f'diag_{j}')} as diag_{j}_bucket" for j in (1, 2, 3))
+    return (f"select *, cast({sql_lookup('age', AGE_MIDPOINTS)} as double) as age_midpoint, {diag}, "
+            f"{sql_lookup('discharge_disposition_id', DISCHARGE_BUCKETS, 'Other')} as discharge_bucket, "
+            f"{sql_lookup('admission_source_id', ADMISSION_SOURCE_BUCKETS, 'Other')} as adm_source_bucket, "
+            f"{sql_lookup('medical_specialty', SPECIALTY_BUCKETS, 'Other')} as specialty_bucket, "
+            f"{_ACTIVE_SQL} as num_drugs_active, {_CHANGED_SQL} as num_drugs_changed, "
+            + ", ".join(f"ln(1 + cast({c} as double)) as {c}_log1p" for c in FE.LOG1P_COLS)
+            + f" from {src}")
+
+
 def _features_sql(slim: bool) -> str:
     diag = ", ".join(f"{sql_icd9_bucket(f'diag_{j}')} as diag_{j}_bucket" for j in (1, 2, 3))
     base = (f"select *, cast({sql_lookup('age', AGE_MIDPOINTS)} as double) as age_midpoint, {diag}, "

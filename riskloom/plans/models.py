@@ -188,3 +188,57 @@ def cv_auc(df: DataFrame, numeric, categorical, estimator_factory, k: int = 5) -
         p = predict_proba(m, f.where(F.col("fold") == i), model_name=f"fold{i}")
         preds = p if preds is None else preds.unionByName(p)
     return M.auc_delong(preds, ["model"], "p", "y")
+
+
+def persist_model(model: PipelineModel, path: str) -> None:
+    """Save the fitted pipeline (indexers, scaler, column list, estimator) together."""
+    model.write().overwrite().save(path)
+
+
+def fit_mlp(train: DataFrame, numeric, categorical, hidden: Sequence[int] = (32,), seed: int = 42) -> PipelineModel:
+    """Fit the feature stages first to learn the vector width, then the MLP."""
+    t = train.persist()
+    try:
+        feats = Pipeline(stages=feature_stages(numeric, categorical)).fit(t)
+        width = len(feature_names(feats, t))
+        return Pipeline(stages=feature_stages(numeric, categorical) + [mlp(width, hidden, seed)]).fit(t)
+    finally:
+        t.unpersist()
+
+
+# Named recipe registry: config name -> (feature set, estimator factory(n_train) or None for MLP)
+def _slim_sets():
+    from riskloom.operators import features as FE
+    return list(FE.SLIM_NUMERIC), list(FE.SLIM_CATEGORICAL)
+
+
+def _te_sets():
+    from riskloom.operators import features as FE
+    return list(FE.SLIM_NUMERIC) + [f"{c}_te" for c in FE.TE_COLUMNS], []
+
+
+CONFIGS: dict[str, tuple[Callable, Callable | None]] = {
+    "logreg_l1_bucketed": (_slim_sets, lambda n: logreg(C=0.1, penalty="l1", n=n)),
+    "logreg_l2_bucketed": (_slim_sets, lambda n: logreg(C=1.0, penalty="l2", n=n)),
+    "logreg_l2_target_enc": (_te_sets, lambda n: logreg(C=1.0, penalty="l2", n=n)),
+    "gbt_bucketed": (_slim_sets, lambda n: gbt(max_depth=3, n_iter=30)),
+    "mlp_32": (_slim_sets, None),
+}
+
+
+def run_config(name: str, split_features: DataFrame) -> DataFrame:
+    """Fit one named recipe on split='train', score split='test';
+    one metrics row (config, n_test, auc, ci_lo, ci_hi, runtime_sec)."""
+    import time
+    sets, make = CONFIGS[name]
+    num, cat = sets()
+    t0 = time.time()
+    train = prepare(split_features.where("split = 'train'"), balanced=make is not None and "gbt" not in name)
+    if make is None:
+        m = fit_mlp(train, num, cat)
+    else:
+        m = fit(train, num, cat, make(train.count()))
+    pred = predict_proba(m, split_features.where("split = 'test'"), model_name=name)
+    res = M.auc_delong(pred, ["model"], "p", "y")
+    return res.select(F.col("model").alias("config"), F.col("n").alias("n_test"), "auc", "ci_lo", "ci_hi",
+                      F.lit(round(time.time() - t0, 3)).alias("runtime_sec"))
