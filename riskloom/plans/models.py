@@ -45,7 +45,7 @@ def logreg(C: float = 1.0, penalty: str = "l2", n: int | None = None, weight_col
     """sklearn-style C -> Spark regParam = 1 / (C * sum(w)); balanced weights give sum(w) = n."""
     reg = 1.0 / (C * n) if n else 1.0 / C
     kw = dict(featuresCol="features", labelCol="label", regParam=reg,
-              elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False, maxIter=200)
+              elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False, maxIter=100)
     if weight_col:
         kw["weightCol"] = weight_col
     return LogisticRegression(**kw)
@@ -62,7 +62,7 @@ def gbt(max_depth: int = 4, n_iter: int = 100, lr: float = 0.1, subsample: float
     return GBTClassifier(**kw)
 
 
-def mlp(n_features: int, hidden: Sequence[int] = (32,), seed: int = 42, max_iter: int = 200):
+def mlp(n_features: int, hidden: Sequence[int] = (32,), seed: int = 42, max_iter: int = 100):
     return MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
                                           layers=[n_features, *hidden, 2], seed=seed, maxIter=max_iter)
 
