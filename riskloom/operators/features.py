@@ -63,8 +63,9 @@ def features_base(cohort: DataFrame) -> DataFrame:
                     *[F.coalesce(F.col(c).cast("string"), F.lit("?")).alias(c) for c in cats])
 
 
-def features_slim(cohort: DataFrame) -> DataFrame:
-    """Pre-vector slim features: bucketed ids, drug counts, log1p utilisation, 8 active drugs."""
+def features_slim(cohort: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Pre-vector slim features: bucketed ids, drug counts, log1p utilisation, 8 active drugs.
+    ``keep`` carries extra columns (e.g. a stratum) through unchanged."""
     x = cohort.withColumn("age_midpoint", lookup("age", AGE_MIDPOINTS).cast("double"))
     x = with_diag_buckets(x)
     x = (x.withColumn("discharge_bucket", lookup("discharge_disposition_id", DISCHARGE_BUCKETS, "Other"))
@@ -74,7 +75,7 @@ def features_slim(cohort: DataFrame) -> DataFrame:
     for c in LOG1P_COLS:
         x = x.withColumn(f"{c}_log1p", F.log1p(F.col(c).cast("double")))
     cats = list(SLIM_CATEGORICAL) + list(ACTIVE_DRUGS)
-    return x.select("row_id", "y_30d", *[F.col(c).cast("double").alias(c) for c in SLIM_NUMERIC],
+    return x.select("row_id", "y_30d", *keep, *[F.col(c).cast("double").alias(c) for c in SLIM_NUMERIC],
                     *[F.coalesce(F.col(c).cast("string"), F.lit("?")).alias(c) for c in cats])
 
 

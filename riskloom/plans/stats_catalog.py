@@ -140,10 +140,13 @@ union all select * from (select feature, smd, 'highest' from s where smd is not
 
 @query("topk_smd", _topk_smd_sql())
 def q_topk_smd(spark, sf):
+    from riskloom.session import cut_lineage
     coh = C.cohort_mask(cohort_df(spark, sf))
-    slim = FE.features_slim(coh)
+    # the slim table feeds four branches (unpivot, one-hot + its first levels,
+    # stratum sizes); cut lineage once instead of re-running the dedupe per branch
+    slim = cut_lineage(FE.features_slim(coh, keep=["cohort"]))
     long = SH.unpivot(slim, "row_id", FE.SLIM_NUMERIC).unionByName(FE.onehot_long(slim, "row_id", _SLIM_CATS))
-    groups = coh.select("row_id", "cohort")
+    groups = slim.select("row_id", "cohort")
     smd = SH.smd_sparse(long, groups, "row_id", "cohort", "young", "old")
     return SH.topk_both_ends(smd.select("feature", "smd"), "smd", 8)
 

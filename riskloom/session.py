@@ -40,16 +40,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    folder there). Only when it is unset — local runs and tests — a scratch
-    folder is created and registered.
+    Uses ``spark.checkpoint.dir`` from the session (on a cluster it names a
+    shared folder), else a directory already registered on the context. Only
+    when neither is set — local runs and tests — a scratch folder is created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            d = None
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
