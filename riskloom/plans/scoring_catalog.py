@@ -220,7 +220,10 @@ def score_report(cache, labels, min_valid: int = 100, group=("prompt_format",)):
     """dedupe-free cache -> align labels -> coverage + guarded AUC per group, one job."""
     j = cache.select(*group, "row_id", "parsed_p").join(labels, "row_id")
     # one aggregation of the joined data; coverage and AUC both read the tie table
-    ties = M.tie_table_with_missing(j, list(group), "parsed_p", "y_30d")
+    from riskloom.session import cut_lineage
+    # the tie table (groups x distinct scores) feeds coverage and the DeLong
+    # prefix sums; cut lineage once so the parse + join runs a single time
+    ties = cut_lineage(M.tie_table_with_missing(j, list(group), "parsed_p", "y_30d"))
     n_all = F.col("pos") + F.col("neg")
     cov = ties.groupBy(*group).agg(F.sum(n_all).alias("n"),
                                    F.sum(F.when(F.col("score").isNotNull(), n_all).otherwise(0)).alias("n_valid"))
