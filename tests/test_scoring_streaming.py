@@ -64,3 +64,16 @@ def test_stream_collect_equals_batch_and_resumes(spark, scratch):
     q.awaitTermination()
     cov = {r.prompt_format: (r.n, r.n_valid) for r in spark.sql("select * from cov_test").collect()}
     assert set(cov) == {"structured", "natural"}
+
+
+def test_score_resume_only_scores_missing_pairs(spark, scratch):
+    cache_dir = os.path.join(scratch, "cache")
+    req = spark.createDataFrame([(i, "natural", f"p{i}") for i in range(50)],
+                                "row_id long, prompt_format string, prompt string")
+    first = SC.score_resume(req.where("row_id < 20"), cache_dir, lambda p: '{"p": 0.5}', n_partitions=2)
+    assert first.count() == 20
+    full = SC.score_resume(req, cache_dir, SC.hash_scorer(), n_partitions=2)
+    assert full.count() == 50
+    # the first 20 pairs were not re-scored: they keep the first scorer's answer
+    assert full.where("row_id < 20 and parsed_p = 0.5").count() == 20
+    assert full.select("row_id", "prompt_format").distinct().count() == 50

@@ -102,3 +102,17 @@ def test_catalogue_slice_matches_duckdb(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and df.columns == ["lang", "n", "k", "rate", "ci_lo", "ci_hi"]
+
+
+def test_persist_model_roundtrip(spark, scratch):
+    from pyspark.ml import PipelineModel
+    df = spark.createDataFrame([(i, float(i % 7), "a" if i % 3 else "b", int(i % 5 == 0)) for i in range(200)],
+                               "row_id long, x double, c string, y_30d int")
+    tr = MD.prepare(df, balanced=False)
+    m = MD.fit(tr, ["x"], ["c"], MD.logreg(C=1.0, weight_col=None))
+    p = os.path.join(scratch, "model")
+    MD.persist_model(m, p)
+    back = PipelineModel.load(p)
+    a = sorted(r.p for r in MD.predict_proba(m, df).collect())
+    b = sorted(r.p for r in MD.predict_proba(back, df).collect())
+    assert a == b
