@@ -116,3 +116,13 @@ def test_persist_model_roundtrip(spark, scratch):
     a = sorted(r.p for r in MD.predict_proba(m, df).collect())
     b = sorted(r.p for r in MD.predict_proba(back, df).collect())
     assert a == b
+
+
+def test_roc_band_shape(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet").select(
+        "event_id", "value", (F.col("event_type") == "purchase").cast("int").alias("y"))
+    band = sorted(B.roc_band_bootstrap(ev, "event_id", "value", "y", n_boot=40).collect(), key=lambda r: r.fpr)
+    assert len(band) == 101 and band[0].fpr == 0.0 and band[-1].fpr == 1.0
+    assert band[0].tpr_mean == 0.0 and abs(band[-1].tpr_mean - 1.0) < 1e-9
+    assert all(r.tpr_lo <= r.tpr_mean + 1e-9 <= r.tpr_hi + 2e-9 for r in band)
+    assert all(a.tpr_mean <= b.tpr_mean + 1e-9 for a, b in zip(band, band[1:]))
