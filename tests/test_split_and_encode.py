@@ -67,3 +67,21 @@ def test_unseen_category_gets_prior(spark):
     g = 2 / 3
     assert abs(got["z"] - g) < 1e-12 and abs(got[None] - g) < 1e-12
     assert abs(got["a"] - (1 + g * 20) / 22) < 1e-12
+
+
+def test_first_per_entity_hot_key(spark):
+    """One entity holds a third of all rows: result is still exact, and the plan
+    combines map-side (partial aggregate before the exchange), not a window."""
+    from riskloom.operators.cohort import first_per_entity
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 997).alias("e"),
+        ((F.col("id") * 7919) % 30011).alias("o"), F.col("id").alias("payload"))
+    out = first_per_entity(df, "e", ["o"])
+    got = {r.e: (r.o, r.payload) for r in out.collect()}
+    want = {}
+    for r in df.collect():
+        if r.e not in want or r.o < want[r.e][0]:
+            want[r.e] = (r.o, r.payload)
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
