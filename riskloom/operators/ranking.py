@@ -28,10 +28,6 @@ from pyspark.sql import functions as F
 from riskloom.functions.hashing import HASH_BITS
 
 
-def _join_on(keys: Sequence[str]):
-    return keys
-
-
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Equi-join on ``keys`` treating null == null (strata may be null)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],

@@ -306,7 +306,6 @@ def q_slug_humanize(spark, sf):
                     T.slug_humanize("slug", strip_version=True).alias("short_title"))
 
 
-_MODEL_NAME = "concat(p_brand, ' (', p_container, ') + ', p_size)"
 _MODEL_NAME_SPARK = "concat(p_brand, ' (', p_type, ') + ', p_size)"
 
 
