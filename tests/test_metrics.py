@@ -84,3 +84,15 @@ def test_order_rank_is_dense_and_partition_independent(spark):
     assert sorted(r1.values()) == list(range(1, 5001))
     ks = sorted(r1)
     assert [r1[k] for k in ks] == list(range(1, 5001))
+
+
+def test_auc_plan_is_bucket_partitioned(spark):
+    """The data-sized window/exchange is keyed by the order bucket; the only
+    window without a partition key runs over the per-bucket totals."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, float(v), int(rng.random() < 0.3)) for i, v in enumerate(rng.normal(size=2000))],
+                               "id long, s double, y int")
+    out = M.auc_delong(df, [], "s", "y")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_qb" in plan
