@@ -18,6 +18,7 @@ _MODULES = (
     "riskloom.plans.docs_catalog",
     "riskloom.plans.model_catalog",
     "riskloom.plans.model_extra_catalog",
+    "riskloom.plans.streaming_catalog",
 )
 
 for _m in _MODULES:
