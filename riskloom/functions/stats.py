@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from riskloom.functions.vocab import Z95
 
 
+def one_row(agg) -> Column:
+    """A one-row aggregate as a struct-valued scalar subquery (evaluated once,
+    no join): fields are read with ``one_row(agg)["name"]``."""
+    return agg.select(F.struct(*agg.columns).alias("v")).scalar()
+
+
 def r6(c) -> Column:
     """Round to 6 d.p. and fold -0.0 into 0.0 (engine-independent doubles)."""
     c = F.col(c) if isinstance(c, str) else c

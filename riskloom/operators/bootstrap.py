@@ -76,7 +76,9 @@ def auc_bootstrap_ci(df: DataFrame, key: str, score: str, label: str, *, n_boot:
     point = auc_exact(df, list(group_cols), score, label).select(*group_cols, "auc")
     if group_cols:
         return point.join(ci, list(group_cols))
-    return point.crossJoin(ci)
+    from riskloom.functions.stats import one_row
+    c = one_row(ci)
+    return point.select("auc", c["ci_lo"].alias("ci_lo"), c["ci_hi"].alias("ci_hi"), c["n_boot_used"].alias("n_boot_used"))
 
 
 def roc_band_bootstrap(df: DataFrame, key: str, score: str, label: str, *, n_boot: int = 200,

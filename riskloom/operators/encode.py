@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from riskloom.functions.vocab import TARGET_SMOOTHING
 
 
-def _prior(train: DataFrame, label: str) -> DataFrame:
-    return train.agg(F.avg(F.col(label).cast("double")).alias("_g"))
+def _prior(train: DataFrame, label: str):
+    """Global mean of the label as a scalar subquery."""
+    return train.agg(F.avg(F.col(label).cast("double")).alias("_g")).scalar()
 
 
 def target_mean_table(train: DataFrame, cat: str, label: str, s: float = TARGET_SMOOTHING) -> DataFrame:
@@ -27,8 +28,7 @@ def target_mean_table(train: DataFrame, cat: str, label: str, s: float = TARGET_
     g = _prior(train, label)
     t = (train.where(F.col(cat).isNotNull()).groupBy(cat)
               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("double")).alias("_sum")))
-    t = t.crossJoin(F.broadcast(g))  # one-row prior
-    return t.select(cat, "n", ((F.col("_sum") + F.col("_g") * s) / (F.col("n") + s)).alias("enc"), "_g")
+    return t.select(cat, "n", ((F.col("_sum") + g * s) / (F.col("n") + s)).alias("enc"), g.alias("_g"))
 
 
 def target_mean_smoothed(train: DataFrame, apply_to: DataFrame, cat: str, label: str,
@@ -37,8 +37,8 @@ def target_mean_smoothed(train: DataFrame, apply_to: DataFrame, cat: str, label:
     out = out or f"{cat}_te"
     t = target_mean_table(train, cat, label, s)
     g = _prior(train, label)
-    j = apply_to.join(t.select(cat, F.col("enc").alias(out)), cat, "left").crossJoin(F.broadcast(g))
-    return j.withColumn(out, F.coalesce(F.col(out), F.col("_g"))).drop("_g")
+    j = apply_to.join(t.select(cat, F.col("enc").alias(out)), cat, "left")
+    return j.withColumn(out, F.coalesce(F.col(out), g))
 
 
 def target_oof(train: DataFrame, cat: str, label: str, fold: str, s: float = TARGET_SMOOTHING,
@@ -51,9 +51,9 @@ def target_oof(train: DataFrame, cat: str, label: str, fold: str, s: float = TAR
     w = Window.partitionBy(cat)
     per = per.select(cat, fold, (F.sum("_cf").over(w) - F.col("_cf")).alias("_co"),
                      (F.sum("_sf").over(w) - F.col("_sf")).alias("_so"))
-    j = train.join(per, [cat, fold], "left").crossJoin(F.broadcast(g))
-    enc = (F.coalesce(F.col("_so"), F.lit(0.0)) + F.col("_g") * s) / (F.coalesce(F.col("_co"), F.lit(0)) + s)
-    return j.withColumn(out, enc).drop("_co", "_so", "_g")
+    j = train.join(per, [cat, fold], "left")
+    enc = (F.coalesce(F.col("_so"), F.lit(0.0)) + g * s) / (F.coalesce(F.col("_co"), F.lit(0)) + s)
+    return j.withColumn(out, enc).drop("_co", "_so")
 
 
 def class_weight_ratio(train: DataFrame, label: str) -> DataFrame:
@@ -65,9 +65,9 @@ def class_weight_ratio(train: DataFrame, label: str) -> DataFrame:
 
 def class_weight_balanced(train: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Per-row weight n / (2 * n_class): counts per class (2 rows) broadcast back."""
-    n = train.agg(F.count(F.lit(1)).alias("_n"))
-    per = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")).crossJoin(n)
-    per = per.select(label, (F.col("_n") / (2.0 * F.col("_nc"))).alias(out))
+    n = train.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    per = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    per = per.select(label, (n / (2.0 * F.col("_nc"))).alias(out))
     return train.join(F.broadcast(per), label, "left")
 
 
@@ -97,12 +97,12 @@ def target_encode_many(train: DataFrame, apply_to: DataFrame, cols, label: str,
                      (F.sum("_sf").over(w) - F.col("_sf")).alias("_so"),
                      F.sum("_cf").over(w).alias("_ct"), F.sum("_sf").over(w).alias("_st"))
     full = per.select("var", "cat", "_ct", "_st").distinct()
-    tr = lt.join(per.select("var", "cat", "_f", "_co", "_so"), ["var", "cat", "_f"], "left").crossJoin(F.broadcast(g))
-    tr = tr.select(key, "var", ((F.coalesce("_so", F.lit(0.0)) + F.col("_g") * s) /
+    tr = lt.join(per.select("var", "cat", "_f", "_co", "_so"), ["var", "cat", "_f"], "left")
+    tr = tr.select(key, "var", ((F.coalesce("_so", F.lit(0.0)) + g * s) /
                                 (F.coalesce("_co", F.lit(0)) + s)).alias("_enc"))
     la = _long_codes(apply_to, key, cols)
-    ap = la.join(full, ["var", "cat"], "left").crossJoin(F.broadcast(g))
-    ap = ap.select(key, "var", F.coalesce((F.col("_st") + F.col("_g") * s) / (F.col("_ct") + s), F.col("_g")).alias("_enc"))
+    ap = la.join(full, ["var", "cat"], "left")
+    ap = ap.select(key, "var", F.coalesce((F.col("_st") + g * s) / (F.col("_ct") + s), g).alias("_enc"))
     both = tr.unionByName(ap)
     wide = both.groupBy(key).pivot("var", list(cols)).agg(F.first("_enc"))
     return wide.select(key, *[F.col(c).alias(f"{c}_te") for c in cols])

@@ -101,8 +101,9 @@ def interact_products(df: DataFrame, key: str, a: str, b: str, *, drop_first: bo
     x = df.select(key, F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b")).where(
         F.col("_a").isNotNull() & F.col("_b").isNotNull())
     if drop_first:
-        firsts = df.agg(F.min(F.col(a).cast("string")).alias("_fa"), F.min(F.col(b).cast("string")).alias("_fb"))
-        x = x.crossJoin(F.broadcast(firsts)).where((F.col("_a") != F.col("_fa")) & (F.col("_b") != F.col("_fb")))
+        from riskloom.functions.stats import one_row
+        firsts = one_row(df.agg(F.min(F.col(a).cast("string")).alias("fa"), F.min(F.col(b).cast("string")).alias("fb")))
+        x = x.where((F.col("_a") != firsts["fa"]) & (F.col("_b") != firsts["fb"]))
     name = F.concat(F.lit(a + "_"), normalize_col("_a"), F.lit("__x__" + b + "_"), normalize_col("_b"))
     return x.select(key, name.alias("feature"), F.lit(1.0).alias("value"))
 
@@ -112,10 +113,10 @@ def scale_std(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ("row_id
 
     The per-column scales are one aggregated row, broadcast back.
     """
-    sd = df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(f"_sd_{i}") for i, c in enumerate(cols)])
-    j = df.crossJoin(F.broadcast(sd))
-    return j.select(*keep, *[
-        (F.col(c).cast("double") / F.when(F.col(f"_sd_{i}") > 0, F.col(f"_sd_{i}")).otherwise(1.0)).alias(c)
+    from riskloom.functions.stats import one_row
+    sd = one_row(df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(f"sd_{i}") for i, c in enumerate(cols)]))
+    return df.select(*keep, *[
+        (F.col(c).cast("double") / F.when(sd[f"sd_{i}"] > 0, sd[f"sd_{i}"]).otherwise(1.0)).alias(c)
         for i, c in enumerate(cols)])
 
 

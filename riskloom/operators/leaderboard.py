@@ -159,8 +159,8 @@ def hpo_wide(runs_kv: DataFrame, id_col: str = "id", keys: Sequence[str] | None
     flags (value equals the max over runs; maxima are one aggregated row)."""
     w = runs_kv.groupBy(id_col).pivot("key", list(keys) if keys else None).agg(F.first("value"))
     ks = [c for c in w.columns if c != id_col]
-    mx = w.agg(*[F.max(F.col(f"`{k}`")).alias(f"_max_{i}") for i, k in enumerate(ks)])
-    j = w.crossJoin(F.broadcast(mx))
-    return j.select(id_col, *[F.col(f"`{k}`") for k in ks],
-                    *[F.coalesce(F.col(f"`{k}`") == F.col(f"_max_{i}"), F.lit(False)).alias(f"best_{k}")
+    from riskloom.functions.stats import one_row
+    mx = one_row(w.agg(*[F.max(F.col(f"`{k}`")).alias(f"m{i}") for i, k in enumerate(ks)]))
+    return w.select(id_col, *[F.col(f"`{k}`") for k in ks],
+                    *[F.coalesce(F.col(f"`{k}`") == mx[f"m{i}"], F.lit(False)).alias(f"best_{k}")
                       for i, k in enumerate(ks)])

@@ -30,8 +30,9 @@ def smd_sparse(long: DataFrame, groups: DataFrame, key: str, group_col: str, a:
     ``groups`` has one row per key with its stratum; rows missing in ``long``
     for a feature count as 0.
     """
-    sizes = groups.agg(F.sum((F.col(group_col) == a).cast("long")).alias("_na"),
-                       F.sum((F.col(group_col) == b).cast("long")).alias("_nb"))
+    from riskloom.functions.stats import one_row
+    sizes = one_row(groups.agg(F.sum((F.col(group_col) == a).cast("long")).alias("na"),
+                               F.sum((F.col(group_col) == b).cast("long")).alias("nb")))
     j = long.join(groups.select(key, group_col), key)
     is_a = F.col(group_col) == a
     is_b = F.col(group_col) == b
@@ -39,7 +40,7 @@ def smd_sparse(long: DataFrame, groups: DataFrame, key: str, group_col: str, a:
         F.sum(F.when(is_a, F.col("value")).otherwise(0.0)).alias("_sa"),
         F.sum(F.when(is_b, F.col("value")).otherwise(0.0)).alias("_sb"),
         F.sum(F.when(is_a | is_b, F.col("value") * F.col("value")).otherwise(0.0)).alias("_ss"))
-    x = agg.crossJoin(F.broadcast(sizes))
+    x = agg.withColumn("_na", sizes["na"]).withColumn("_nb", sizes["nb"])
     n = F.col("_na") + F.col("_nb")
     ma = F.col("_sa") / F.col("_na")
     mb = F.col("_sb") / F.col("_nb")

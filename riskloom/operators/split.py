@@ -92,8 +92,9 @@ def sample_stratified_n(df: DataFrame, key: str, label: str, n_rows: int, *,
     """
     x = df.withColumn("_h", keyed_hash(key, seed=seed, purpose=purpose))
     r = hash_rank(x, [label], "_h", [key])
-    tot = df.agg(F.count(F.lit(1)).alias("_tot_n"), F.sum(F.col(label).cast("long")).alias("_tot_p"))
-    r = r.crossJoin(F.broadcast(tot))  # one row of two totals
+    from riskloom.functions.stats import one_row
+    tot = one_row(df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p")))
+    r = r.withColumn("_tot_n", tot["n"]).withColumn("_tot_p", tot["p"])
     k_pos = F.least(F.floor(F.lit(n_rows) * F.col("_tot_p") / F.col("_tot_n")).cast("long") + 1, F.col("_tot_p"))
     take = F.when(F.col(label) == 1, k_pos).otherwise(F.lit(n_rows) - k_pos)
     keep = F.col("_rank") <= take
