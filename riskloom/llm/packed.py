@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.llm import textbytes as tb
+
 ID, TEXT_KEY, BLOB = "__id", "__tk", "__z"
 KEY = [ID, TEXT_KEY]
 NULL_ID = -(1 << 63)
@@ -33,11 +35,13 @@ def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     schema = T.StructType(keyed.schema.fields[:-1] + [T.StructField(BLOB, T.BinaryType())])
 
     def squeeze(batches):
+        tb.lean()
         codec = pa.Codec("zstd", compression_level=3)
-        for b in batches:
-            texts = b.column(b.num_columns - 1).cast(pa.binary())
-            blobs = pa.array([len(v).to_bytes(4, "big") + codec.compress(v, asbytes=True) for v in texts.to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], blobs], names=b.schema.names)
+        for whole in batches:
+            for b in tb.slices(whole, whole.num_columns - 1):
+                texts = b.column(b.num_columns - 1).cast(pa.binary())
+                blobs = [len(v).to_bytes(4, "big") + codec.compress(v, asbytes=True) for v in texts.to_pylist()]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(blobs, pa.binary())], names=b.schema.names)
 
     return keyed.mapInArrow(squeeze, schema)
 

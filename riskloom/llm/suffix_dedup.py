@@ -38,7 +38,7 @@ from riskloom.llm.packed import BLOB, ID, KEY, TEXT_KEY, keys, packed, text_of,
 from riskloom.llm.shared import stored
 
 GRAM = 32
-BLOCK = 1 << 20  # symbols of a block: ranks of 20 bits
+BLOCK = 1 << 19  # symbols of a block; ranks of 20 bits leave room for twice that
 HOT_BYTES = 1 << 19
 SEGMENT_SCHEMA = f"fp long, sg long, {ID} long, {TEXT_KEY} long, lo int, nw int"
 FLAG_SCHEMA = "fp long, sg long, a int, b int"
@@ -86,6 +86,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, width: int):
 
 def _segment_rows(width: int):
     def run(batches):
+        tb.lean()
         for b in batches:
             ids, tks = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
             for r0, r1, data, offsets in tb.chunks(b.column(2)):
@@ -222,6 +223,7 @@ def _block_rows(width: int, block: int):
              pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32))], names=["fp", "sg", "a", "b"])
 
     def run(batches):
+        tb.lean()
         ready, size, gram, gram_size = [], 0, [], 0  # whole grams, and the one that may go on
         known = set()
         for b in batches:
@@ -252,7 +254,8 @@ def _block_rows(width: int, block: int):
 def _slice_rows(width: int):
     """Documents with the wanted segments to rows (fp, sg, part)."""
     def run(batches):
-        for b in batches:
+        tb.lean()
+        for b in (x for whole in batches for x in tb.slices(whole, 0)):
             fps, sgs, parts = [], [], []
             size = 0
             for blob, wanted in zip(b.column(0), b.column(1), strict=True):
@@ -262,7 +265,7 @@ def _slice_rows(width: int):
                     sgs.append(w["sg"])
                     parts.append(text[w["lo"]: w["lo"] + w["nw"] + width - 1])
                     size += len(parts[-1])
-                if size > 1 << 22:
+                if size > 1 << 21:
                     yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sgs, pa.int64()), pa.array(parts, pa.binary())], names=["fp", "sg", "part"])
                     fps, sgs, parts, size = [], [], [], 0
             if parts:
@@ -292,7 +295,7 @@ def _window_rows(width: int):
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200,
-                  block: int = BLOCK - 1, hot_bytes: int = HOT_BYTES) -> DataFrame:
+                  block: int = BLOCK, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Byte runs ``[a, b)`` of each document (keys of ``packed``) that repeated strings cover, unmerged."""
     slim = docs.select(*keys(id_col, text_col), text_of(text_col).alias("text"))
     found = slim.mapInArrow(_segment_rows(min_bytes), SEGMENT_SCHEMA)
@@ -350,7 +353,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = len(rest)
 
     def remove(batches):
-        for b in batches:
+        tb.lean()
+        for b in (x for whole in batches for x in tb.slices(whole, n)):
             kept, size, removed, cuts = [], [], [], []
             for blob, spans_of in zip(b.column(n), b.column(n + 1), strict=True):
                 text = unpack(blob.as_py())

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 MULT = np.uint64(0x9E3779B97F4A7C15)
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
@@ -64,6 +64,25 @@ def chunks(column, limit: int = CHUNK):
         a = b
 
 
+def lean() -> None:
+    """Let freed Arrow memory of a Python worker go back to the machine."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = CHUNK):
+    """``batch`` in slices of about ``limit`` bytes of one string or binary column."""
+    arr = batch.column(column).cast(pa.large_binary())
+    n = len(arr)
+    if n == 0:
+        return
+    offsets = np.frombuffer(arr.buffers()[1], dtype=np.int64, count=n + 1 + arr.offset)[arr.offset:]
+    a = 0
+    while a < n:
+        b = min(n, max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 _POWERS: dict[str, np.ndarray] = {}
 
 
