@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.llm.decontaminate import scored
+from riskloom.llm.language_id import predicted
+from riskloom.llm.near_dedup import near_classes
 from riskloom.llm.registry import ORACLE, QUERIES, query, table
 from riskloom.llm.suffix_dedup import cut_repeats
 
 
+def remainder(of: int):
+    """crc32 of the id as text, modulo ``of``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % of
+
+
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark, sf_dir):
     out = cut_repeats(table(spark, sf_dir, "documents"))
@@ -15,6 +23,26 @@ def op2_suffix_dedup(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = scored(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_items", "best_item", F.col("best_score").alias("score"), (F.col("n_items") > 0).alias("contaminated"))
+
+
+@query("op9_near_dedup")
+def op9_near_dedup(spark, sf_dir):
+    out = near_classes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "class_size", "keep")
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = predicted(docs, learn=remainder(5) != 0)
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def queries():
     return dict(QUERIES)
 

@@ -24,17 +24,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_table(lower: bool = True, letters: bool = False) -> np.ndarray:
+def word_table(lower: bool = True, letters: bool = False, digits: bool = False) -> np.ndarray:
     """Byte to byte, 0 where a byte separates words.
 
     Words are runs of non-space bytes, or with ``letters`` of ASCII letters and
-    bytes of multi-byte characters. A zero byte counts as byte 255 of a word.
+    bytes of multi-byte characters, with ``digits`` also of digits. A zero byte
+    counts as byte 255 of a word.
     """
     t = np.arange(256, dtype=np.uint8)
     t[0] = 255
     if letters:
         keep = np.zeros(256, bool)
         keep[65:91] = keep[97:123] = keep[128:] = True
+        keep[48:58] = digits
         t[~keep] = 0
     else:
         t[list(SPACES)] = 0
