@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.llm import quality_crf
 from riskloom.llm.decontaminate import scored
 from riskloom.llm.language_id import predicted
 from riskloom.llm.near_dedup import near_classes
 from riskloom.llm.registry import ORACLE, QUERIES, query, table
 from riskloom.llm.suffix_dedup import cut_repeats
+from riskloom.llm.token_counts import histogram, lengths
 
 
 def remainder(of: int):
@@ -23,6 +25,11 @@ def op2_suffix_dedup(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op4_token_counts")
+def op4_token_counts(spark, sf_dir):
+    return histogram(lengths(table(spark, sf_dir, "documents").select("text")))
+
+
 @query("op7_decontaminate")
 def op7_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +37,14 @@ def op7_decontaminate(spark, sf_dir):
     return out.select("doc_id", "n_items", "best_item", F.col("best_score").alias("score"), (F.col("n_items") > 0).alias("contaminated"))
 
 
+@query("op8_quality_crf")
+def op8_quality_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_crf.fit(docs, table(spark, sf_dir, "labels"), learn=remainder(4) != 2)
+    return quality_crf.scored(docs, field).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op9_near_dedup")
 def op9_near_dedup(spark, sf_dir):
     out = near_classes(table(spark, sf_dir, "documents"))
