@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import quality_crf
+from riskloom.llm import chat_format, oracles, quality_crf, quality_rules, url_filter
 from riskloom.llm.decontaminate import scored
 from riskloom.llm.language_id import predicted
+from riskloom.llm.mixing import mixed
 from riskloom.llm.near_dedup import near_classes
 from riskloom.llm.registry import ORACLE, QUERIES, query, table
 from riskloom.llm.suffix_dedup import cut_repeats
@@ -18,6 +19,12 @@ def remainder(of: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % of
 
 
+@query("op1_url_filter")
+def op1_url_filter(spark, sf_dir):
+    out = url_filter.judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark, sf_dir):
     out = cut_repeats(table(spark, sf_dir, "documents"))
@@ -25,11 +32,38 @@ def op2_suffix_dedup(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op3_chat_format", oracles.CHAT_FORMAT)
+def op3_chat_format(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    out = chat_format.formatted(talks.unionByName(probe))
+    turns = chat_format.turns_of(F.col("formatted"))
+    loss = chat_format.loss_text(F.col("segments"))
+    return (out.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+            .select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                    F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
+                    F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+                    "formatted_chars", "valid"))
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark, sf_dir):
     return histogram(lengths(table(spark, sf_dir, "documents").select("text")))
 
 
+@query("op5_mixing")
+def op5_mixing(spark, sf_dir):
+    return mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@query("op6_quality_rules", oracles.QUALITY_RULES)
+def op6_quality_rules(spark, sf_dir):
+    out = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "kept")
+
+
 @query("op7_decontaminate")
 def op7_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

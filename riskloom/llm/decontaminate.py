@@ -201,8 +201,11 @@ def _scores(items: Items, column: int, threshold: float, n_cols: int, names: lis
 
 def scored(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
            seed: int = SEED, rare: float = RARE, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``n_items`` (items found), ``best_item`` and ``best_score``; ``n_items > 0`` means contaminated."""
-    cols = docs.columns
+    """``docs`` with ``n_items`` (items found), ``best_item`` and ``best_score``; ``n_items > 0`` means contaminated.
+
+    These replace input columns of the same names.
+    """
+    cols = [c for c in docs.columns if c not in ("n_items", "best_item", "best_score")]
     out = docs.select(*[F.col(f"`{c}`") for c in cols], F.lit(0).cast("long").alias("n_items"),
                       F.lit(None).cast("long").alias("best_item"), F.lit(0.0).alias("best_score"))
     names, at = out.columns, cols.index(text_col)

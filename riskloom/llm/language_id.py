@@ -272,7 +272,7 @@ def predicted(docs: DataFrame, learn: Column, text_col: str = "text", lang_col:
             counts[r.lang, r.piece] += r.n
     prob = np.ascontiguousarray((counts / counts.sum(axis=1, keepdims=True)).T)
     prior = np.array([shares[x] for x in langs], float)
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "lang_pred", "lang_score")]
     given = docs.select(*[F.col(f"`{c}`") for c in rest], F.coalesce(text, F.lit("")).alias("__text"))
     schema = given.select(*[F.col(f"`{c}`") for c in rest]).schema.add("lang_pred", "string").add("lang_score", "double")
     return given.mapInArrow(_predict_rows(pieces, langs, prob, prior / max(prior.sum(), 1), len(rest), schema.names), schema)

@@ -239,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
 def scored(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` but the text, with ``score``."""
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "score")]
     given = docs.select(*[F.col(f"`{c}`") for c in rest], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
     schema = given.select(*[F.col(f"`{c}`") for c in rest]).schema.add("score", "double")
     n, names = len(rest), schema.names

@@ -336,19 +336,22 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200, **limits) -> DataFrame:
-    """``docs`` with ``kept`` (binary, what remains of the text), ``n_bytes``, ``n_removed`` and ``spans``.
-
-    ``spans`` are the maximal removed byte runs ``(a, b)``. Every other column
-    but the text stays; one row comes out for each row that goes in.
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200,
+                as_text: bool = False, **limits) -> DataFrame:
+    """``docs`` with ``kept`` (what remains of the text), ``n_bytes``, ``n_removed`` and ``spans``.
+
+    ``kept`` is binary, or with ``as_text`` a string without the characters that
+    a cut left in part. ``spans`` are the maximal removed byte runs ``(a, b)``.
+    Every other column but the text stays, except of these names; one row comes
+    out for each row that goes in.
     """
     spans = (repeated_runs(docs, id_col, text_col, min_bytes, **limits).distinct()
              .groupBy(*KEY).agg(F.collect_list(F.struct("a", "b")).alias("__spans")))
     rows = packed(docs, id_col, text_col).join(spans, KEY, "left")
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "kept", "n_bytes", "n_removed", "spans")]
     given = rows.select(*[F.col(f"`{c}`") for c in rest], BLOB, "__spans")
     schema = given.select(*[F.col(f"`{c}`") for c in rest]).schema
-    schema = (schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long")
+    schema = (schema.add("kept", "string" if as_text else "binary").add("n_bytes", "long").add("n_removed", "long")
               .add("spans", T.ArrayType(T.StructType().add("a", "integer").add("b", "integer"))))
     n = len(rest)
 
@@ -368,7 +371,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 removed.append(len(text) - len(kept[-1]))
                 cuts.append([{"a": x, "b": y} for x, y in cut])
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:n], pa.array(kept, pa.binary()), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+                [*b.columns[:n], pa.array([x.decode(errors="ignore") for x in kept]) if as_text else pa.array(kept, pa.binary()), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(cuts, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))],
                 names=[*rest, "kept", "n_bytes", "n_removed", "spans"])
 

@@ -36,7 +36,7 @@ def lengths(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULAR
     """All columns of ``docs`` but the text, with ``n_tokens``."""
     with open(vocabulary, "rb") as f:
         raw = f.read()  # about 1 MB; goes to the tasks, which need no file
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "n_tokens")]
     given = docs.select(*[F.col(f"`{c}`") for c in rest], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
     schema = given.select(*[F.col(f"`{c}`") for c in rest]).schema.add("n_tokens", "long")
     n, names = len(rest), schema.names
