@@ -12,9 +12,9 @@ it. Two texts are near copies if their probability Jaccard similarity
    comes later than the latest component of its text.
 3. *Banding*: ``BANDS`` keys of ``ROWS`` components. A pair at 0.8 shares no
    key with probability 0.0007, at 0.9 with 1e-8.
-4. *Verification*: first each node against the least node of each of its
-   buckets, which is linear however large a bucket is. Equal components need
-   no more. Where a bucket still holds several components, nodes of different
+4. *Verification*: first each node against the least and the greatest node of
+   each of its buckets, which is linear however large a bucket is. Buckets of
+   one component need no more. Where a bucket still holds several components, nodes of different
    ones are compared; a bucket over ``SPLIT`` nodes is split first by each
    second key, as near copies share several (6 of 24 at 0.8).
 5. Connected components over the verified links are the classes.
@@ -38,7 +38,7 @@ from riskloom.llm.shared import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
-SPLIT = 128
+SPLIT = 8
 SMALL = 64  # texts with fewer shingles are signed together, batch by batch
 
 
@@ -202,8 +202,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = stored(nodes.mapInArrow(_band_rows(bands, rows), "node long, bands array<long>")
                     .groupBy("node").agg(F.first("bands").alias("bands")), "bands")
     members = signed.select("node", F.explode("bands").alias("key"))
-    heads = (members.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a"))
-    first = stored(members.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    heads = stored(members.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y"), "heads")
+    first = stored(members.join(heads, "key").select("node", F.explode(F.array("x", "y")).alias("head")).where("node <> head")
+                   .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), "pairs")
     links = stored(verified(first, docs, id_col, text_col, threshold), "links")
     labels = stored(components(links), "labels")
 

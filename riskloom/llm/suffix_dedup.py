@@ -299,7 +299,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Byte runs ``[a, b)`` of each document (keys of ``packed``) that repeated strings cover, unmerged."""
     slim = docs.select(*keys(id_col, text_col), text_of(text_col).alias("text"))
     found = slim.mapInArrow(_segment_rows(min_bytes), SEGMENT_SCHEMA)
-    twice = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    # written, so that both sides of the join are plain exchanges, whose hot partitions Spark splits
+    twice = stored(found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"), "grams")
     found = stored(found.join(twice, "fp"), "segments")
 
     distinct = stored(found.groupBy("fp", "sg").agg(
