@@ -14,9 +14,15 @@ it. Two texts are near copies if their probability Jaccard similarity
    key with probability 0.0007, at 0.9 with 1e-8.
 4. *Verification*: first each node against the least and the greatest node of
    each of its buckets, which is linear however large a bucket is. Buckets of
-   one component need no more. Where a bucket still holds several components, nodes of different
-   ones are compared; a bucket over ``SPLIT`` nodes is split first by each
-   second key, as near copies share several (6 of 24 at 0.8).
+   one component need no more. Where several are left, a bucket of up to
+   ``SPLIT`` nodes compares nodes of different components. In larger ones, the
+   shingles that no other such text has bound what a text can share: texts that
+   can't reach the threshold with any other go, the rest are compared with the
+   bucket's centre, its text of the least share of own shingles. Two texts that
+   still are in different components can only be near if they share a shingle
+   outside the centre, or if their sizes let their parts of the centre suffice;
+   just those pairs are compared. So no link of a bucket is lost, but neither
+   texts that merely share a passage nor the copies of one text are all paired.
 5. Connected components over the verified links are the classes.
 
 Nulls and texts without words have no shingles: they are near no other text,
@@ -168,21 +174,89 @@ def _verified(threshold: float):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose texts are near copies."""
+def _node_texts(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The compressed texts of the nodes of some pairs."""
     slim = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     need = pairs.select(F.col("a").alias(TEXT_KEY)).unionByName(pairs.select(F.col("b").alias(TEXT_KEY))).distinct()
-    owner = (slim.select(*keys(id_col, text_col)).join(need, TEXT_KEY)
-             .groupBy(TEXT_KEY).agg(F.min(ID).alias(ID)))
-    texts = stored(packed(slim, id_col, text_col).join(owner, KEY).select(TEXT_KEY, BLOB), "texts")
-    left = texts.select(F.col(TEXT_KEY).alias("a"), F.col(BLOB).alias("za"))
-    right = texts.select(F.col(TEXT_KEY).alias("b"), F.col(BLOB).alias("zb"))
+    owner = slim.select(*keys(id_col, text_col)).join(need, TEXT_KEY).groupBy(TEXT_KEY).agg(F.min(ID).alias(ID))
+    rows = packed(slim, id_col, text_col).join(owner, KEY)
+    return stored(rows.select(F.col(TEXT_KEY).alias("node"), BLOB), "texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose texts are near copies."""
+    left = texts.select(F.col("node").alias("a"), F.col(BLOB).alias("za"))
+    right = texts.select(F.col("node").alias("b"), F.col(BLOB).alias("zb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "za", "zb")
-    return both.mapInArrow(_verified(threshold), "a long, b long")
+    return stored(both.mapInArrow(_verified(threshold), "a long, b long"), "links")
+
+
+def _shingle_rows(batches):
+    tb.lean()
+    for b in (x for whole in batches for x in tb.slices(whole, 1, 1 << 18)):
+        for node, (elem, weight) in zip(b.column(0).to_pylist(), _weighted(b.column(1).to_pylist()), strict=True):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(elem), node), pa.int64()), pa.array(elem.view(np.int64)), pa.array(weight)], names=["node", "elem", "w"])
+
+
+def own_share(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """For each node its weight ``s``, its greatest single weight, and ``u``, the weight that no other node has."""
+    rows = stored(texts.join(nodes, "node").select("node", BLOB).mapInArrow(_shingle_rows, "node long, elem long, w double"), "shingles")
+    alone = (rows.groupBy("elem").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).where("n = 1")
+             .groupBy("node").agg(F.sum("w").alias("u")))
+    sizes = rows.groupBy("node").agg(F.sum("w").alias("s"), F.max("w").alias("top"))
+    return sizes.join(alone, "node", "left").fillna(0.0, ["u"])
+
+
+def _against_centre(batches):
+    """Rows (node, centre, both texts) to what a text shares with its centre, and its shingles outside."""
+    tb.lean()
+    for b in (y for whole in batches for x in tb.slices(whole, 2, 1 << 18) for y in tb.slices(x, 3, 1 << 18)):
+        centres: dict[int, int] = {}
+        blobs = []
+        for node, blob in zip(b.column(1).to_pylist(), b.column(3), strict=True):
+            if node not in centres:
+                centres[node] = len(blobs)
+                blobs.append(blob.as_py())
+        theirs, inside, outside = _weighted(blobs), [], []
+        for centre, (elem, weight) in zip(b.column(1).to_pylist(), _weighted(b.column(2).to_pylist()), strict=True):
+            shared = np.isin(elem, theirs[centres[centre]][0], assume_unique=True)
+            inside.append(weight[shared].sum())
+            outside.append(elem[~shared].view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(inside, pa.float64()), pa.array(outside, pa.list_(pa.int64()))], names=["node", "centre", "inside", "outside"])
+
+
+def around_centres(large: DataFrame, centres: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components of large buckets that may be near although one isn't near the centre.
+
+    If texts x and y share nothing outside centre c, they share at most what
+    each has in c. With equal weights their similarity is then at most
+    ``in / (s_x + s_y - in)`` for the smaller ``in``, which bounds the other's
+    size; with counts it's at most each one's share of weight in c.
+    """
+    near = large.join(centres.select("key", F.col("r.node").alias("centre")), "key").select("node", "label", "s", "top", "centre").distinct()
+    both = (near.select("node", "centre").join(texts, "node").withColumnRenamed(BLOB, "zx")
+            .join(texts.select(F.col("node").alias("centre"), F.col(BLOB).alias("zc")), "centre").select("node", "centre", "zx", "zc"))
+    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, outside array<long>")
+    near = stored(near.join(parts, ["node", "centre"]), "around")
+    members = near.select("centre", F.explode("outside").alias("elem"), "node", "label").select(F.xxhash64("centre", "elem").alias("key"), "node", "label")
+    shared = _across(_mixed(members).select("key", "node", "label"))
+    limit = F.when(F.col("inside") < (threshold - 1e-9) * F.col("s"), F.lit(0.0)).when(F.col("top") > 1, F.lit(float("inf"))).otherwise(
+        F.col("inside") * (1 + threshold) / (threshold - 1e-9) - F.col("s"))
+    sized = near.select("node", "label", "s", "top", "centre", limit.alias("limit"))
+    least = sized.groupBy("centre").agg(F.min("s").alias("least"), F.max((F.col("top") > 1).cast("int")).alias("counts"),
+                                        F.max(F.when(F.col("node") == F.col("centre"), F.col("label"))).alias("own"))
+    apart = sized.join(least, "centre").where((F.col("label") != F.col("own")) & ((F.col("limit") >= F.col("least")) | ((F.col("counts") == 1) & (F.col("limit") > 0))))
+    fits = ((F.col("l.centre") == F.col("r.centre")) & (F.col("l.label") != F.col("r.label"))
+            & (((F.col("r.s") <= F.col("l.limit")) & (F.col("l.s") <= F.col("r.limit")))
+               | ((F.greatest("l.top", "r.top") > 1) & (F.col("l.limit") > 0) & (F.col("r.limit") > 0))))
+    by_size = apart.alias("l").join(sized.alias("r"), fits).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+    return shared.unionByName(by_size).distinct()
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Rows (key, node, label) of buckets that hold several components, with the bucket's size."""
+    """Rows of buckets that hold several components, with the bucket's ``size``."""
     spread = (members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size"))
               .where("x <> y").select("key", "size"))
     return members.join(spread, "key")
@@ -190,9 +264,47 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 def _across(members: DataFrame) -> DataFrame:
     """Pairs of nodes of different components in a bucket."""
-    other = members.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    return (members.select("key", F.col("node").alias("a"), "label").join(other, "key").where("label < label_b")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    on = (F.col("l.key") == F.col("r.key")) & (F.col("l.label") < F.col("r.label"))
+    joined = members.alias("l").join(members.alias("r"), on)
+    return joined.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    rest = [c for c in rows.columns if c != "label"]
+    return rows.select(*rest).join(labels, "node", "left").select(*rest, F.coalesce("label", "node").alias("label"))
+
+
+def near_nodes(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float, split: int) -> DataFrame:
+    """``(node, label)`` for nodes that have a near copy, from ``(node, bands)``."""
+    members = signed.select("node", F.explode("bands").alias("key"))
+    heads = stored(members.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y"), "heads")
+    done = stored(members.join(heads, "key").select("node", F.explode(F.array("x", "y")).alias("head")).where("node <> head")
+                  .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), "pairs")
+    texts = _node_texts(done, docs, id_col, text_col)
+    labels = stored(components(verified(done, texts, threshold)), "labels")
+
+    def linked(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        more = verified(pairs, texts, threshold)
+        if more.isEmpty():
+            return labels
+        return stored(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)), "labels")
+
+    mixed = stored(_mixed(_relabelled(members.join(heads.select("key"), "key"), labels)), "mixed")
+    large = mixed.where(F.col("size") > split)
+    shares = own_share(large.select("node").distinct(), texts).where(F.col("s") - F.col("u") >= (threshold - 1e-9) * F.col("s"))
+    large = stored(large.select("key", "node", "label").join(shares, "node"), "large")
+    centre = stored(large.groupBy("key").agg(F.min_by(F.struct("node", "label", "s", "u", "top"), F.struct(F.col("u") / F.col("s"), F.col("node"))).alias("r")), "centres")
+    to_centre = (large.select("key", F.struct("node", "label", "s", "u", "top").alias("l")).join(centre, "key")
+                 .where(F.col("l.label") != F.col("r.label"))
+                 .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")))
+    pairs = stored(_across(mixed.where(F.col("size") <= split)).unionByName(to_centre).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+    labels = linked(labels, pairs)
+    done = done.unionByName(pairs)
+    left = stored(_mixed(_relabelled(large, labels)), "mixed")
+    if left.isEmpty():
+        return labels
+    rest = around_centres(left, centre, texts, threshold).join(done, ["a", "b"], "left_anti")
+    return linked(labels, stored(rest, "pairs"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -201,28 +313,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
     signed = stored(nodes.mapInArrow(_band_rows(bands, rows), "node long, bands array<long>")
                     .groupBy("node").agg(F.first("bands").alias("bands")), "bands")
-    members = signed.select("node", F.explode("bands").alias("key"))
-    heads = stored(members.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y"), "heads")
-    first = stored(members.join(heads, "key").select("node", F.explode(F.array("x", "y")).alias("head")).where("node <> head")
-                   .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), "pairs")
-    links = stored(verified(first, docs, id_col, text_col, threshold), "links")
-    labels = stored(components(links), "labels")
-
-    labelled = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = stored(_mixed(labelled), "mixed")
-    large = mixed.where(F.col("size") > split).select(F.col("key").alias("key1"), "node", "label").join(signed, "node")
-    second = (large.select("key1", "node", "label", F.explode("bands").alias("key2")).where("key1 <> key2")
-              .select(F.xxhash64(F.least("key1", "key2"), F.greatest("key1", "key2")).alias("key"), "node", "label").distinct())
-    pairs = (_across(mixed.where(F.col("size") <= split).select("key", "node", "label"))
-             .unionByName(_across(_mixed(second).select("key", "node", "label"))).distinct()
-             .join(first, ["a", "b"], "left_anti"))
-    more = stored(verified(stored(pairs, "pairs"), docs, id_col, text_col, threshold), "links")
-    if not more.isEmpty():
-        edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
-        labels = stored(components(edges), "labels")
-
+    labels = near_nodes(signed, docs, id_col, text_col, threshold, split)
     rows_of = docs.select(*keys(id_col, text_col), F.col(f"`{id_col}`").cast("long").alias("__own"))
     placed = rows_of.join(labels, rows_of[TEXT_KEY] == labels["node"], "left").select(*KEY, "__own", F.coalesce("label", TEXT_KEY).alias("__label"))
-    classes = placed.groupBy("__label").agg(F.min("__own").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    classes = stored(placed.groupBy("__label").agg(F.min("__own").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
     return (placed.join(classes, "__label")
             .select(*KEY, F.col("__own").alias(id_col), "class_id", "class_size", F.col("__own").eqNullSafe(F.col("class_id")).alias("keep")))
