@@ -30,14 +30,16 @@ def clip01(x) -> Column:
 def parse_prob(text, *, strict: bool = True) -> Column:
     """Probability from a model response.
 
-    1. JSON object with key ``p`` (number or numeric string) -> clamped to [0, 1];
+    1. text that is a JSON object with key ``p`` (number or numeric string, not NaN) -> clamped to [0, 1];
     2. else the first number in the text that lies in [0, 1] (not clamped);
     3. else null. ``strict`` makes responses that start with ``Error`` null
        instead of reading numbers out of the error message.
     """
     t = F.trim(_c(text))
     jp = F.get_json_object(t, "$.p").try_cast("double")
-    is_obj = t.startswith("{")
+    # the whole text must be one JSON value (as an array's only element no text may follow it), and NaN is no probability
+    is_obj = t.startswith("{") & F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).isNotNull()
+    jp = F.when(~F.isnan(jp), jp)
     nums = F.regexp_extract_all(t, F.lit(FLOAT_RE), 0)
     in01 = F.filter(nums, lambda s: s.try_cast("double").between(0.0, 1.0))
     fb = F.try_element_at(in01, F.lit(1)).try_cast("double")

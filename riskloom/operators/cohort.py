@@ -22,7 +22,7 @@ def filter_exclusion_set(df: DataFrame, col: str = "discharge_disposition_id",
 
     A literal IN-list is pushed to the parquet scan as a data filter.
     """
-    return df.where(F.coalesce(~F.col(col).isin(list(excluded)), F.lit(True)))
+    return df.where(F.col(col).isNull() | ~F.col(col).isin(list(excluded)))
 
 
 def drop_if_present(df: DataFrame, cols: Iterable[str] = DROP_COLUMNS,

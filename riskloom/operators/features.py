@@ -41,9 +41,9 @@ def drug_col(name: str) -> str:
 
 
 def row_count_if(df: DataFrame, cols: Sequence[str] = DRUG_COLUMNS) -> DataFrame:
-    """Per row: # drugs not 'No' and # drugs Up/Down (sum of CASE over columns)."""
-    active = sum((F.col(drug_col(c)) != "No").cast("int") for c in cols)
-    changed = sum(F.col(drug_col(c)).isin("Up", "Down").cast("int") for c in cols)
+    """Per row: # drugs not 'No' and # drugs Up/Down. A null drug is active and not changed."""
+    active = sum(F.coalesce(F.col(drug_col(c)) != "No", F.lit(True)).cast("int") for c in cols)
+    changed = sum(F.coalesce(F.col(drug_col(c)).isin("Up", "Down"), F.lit(False)).cast("int") for c in cols)
     return df.withColumn("num_drugs_active", active).withColumn("num_drugs_changed", changed)
 
 

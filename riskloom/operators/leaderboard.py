@@ -22,19 +22,22 @@ def _desc_key(metric: str, tiebreak: str) -> Column:
 
 
 def best_run(runs: DataFrame, metric: str = "metric_value", id_col: str = "id",
-             status: str | None = "complete") -> DataFrame:
+             status: str | None = "complete", seq_col: str = "seq") -> DataFrame:
+    """The best run; of equal metrics, the first in history (``seq_col``)."""
     x = runs.where(F.col(metric).isNotNull())
     if status:
         x = x.where(F.col("status") == status)
-    return x.agg(F.min_by(F.struct(id_col, metric), _desc_key(metric, id_col)).alias("b")).select("b.*")
+    return x.agg(F.min_by(F.struct(id_col, metric), _desc_key(metric, seq_col)).alias("b")).select("b.*")
 
 
-def best_per_task(runs: DataFrame, task: str, metric: str = "metric_value", id_col: str = "id") -> DataFrame:
+def best_per_task(runs: DataFrame, task: str, metric: str = "metric_value", id_col: str = "id", seq_col: str = "seq") -> DataFrame:
     """Best complete run per task (null metric counts as 0); when a task has no
-    complete run, its best over all runs. Also the task's run count."""
+    complete run, its best over all runs. Also the task's run count. Of equal
+    metrics the first in history wins; rows without a task are skipped."""
+    runs = runs.where(F.col(task).isNotNull())
     m0 = F.coalesce(F.col(metric), F.lit(0.0))
     done = F.col("status") == "complete"
-    key_all = F.struct((-m0).alias("m"), F.col(id_col).alias("t"))
+    key_all = F.struct((-m0).alias("m"), F.col(seq_col).alias("t"))
     key_done = F.when(done, key_all)
     g = runs.groupBy(task).agg(
         F.count(F.lit(1)).alias("n_runs"),

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import text as T
 from riskloom.functions.vocab import ADMISSION_TYPE_LABELS, ERROR_PREFIXES, PROMPT_FORMATS
 from riskloom.operators.lookup import lookup_int_label
+from riskloom.session import path_exists
 
 CACHE_SCHEMA = "row_id long, prompt_format string, response string, parsed_p double"
 
@@ -134,8 +135,15 @@ def seed_cache(own_rows: DataFrame, earlier_caches: Sequence[DataFrame], key: st
     return g.select(key, "prompt_format", "_r.response", "_r.parsed_p")
 
 
-def parse_coverage(cache: DataFrame, n_requested: DataFrame | None = None) -> DataFrame:
-    """Per format: n, n_valid, n_valid / n."""
+def parse_coverage(cache: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """Per format: n, n_valid, n_valid / n.
+
+    ``n`` counts the requested pairs, so a request without a response lowers
+    coverage; without ``requests``, the pairs in the cache.
+    """
+    if requests is not None:
+        keys = ["row_id", "prompt_format"]
+        cache = requests.select(*keys).distinct().join(cache.select(*keys, "parsed_p"), keys, "left")
     return cache.groupBy("prompt_format").agg(
         F.count(F.lit(1)).alias("n"), F.count("parsed_p").alias("n_valid")).withColumn(
         "coverage", F.round(F.col("n_valid") / F.col("n"), 6) + F.lit(0.0))
@@ -149,9 +157,8 @@ def score_resume(requests: DataFrame, cache_dir: str, scorer: Callable[[str], st
     failed task is retried by Spark, a failed job resumes from the anti join.
     Returns the full cache after the append.
     """
-    import os
     spark = requests.sparkSession
-    cache = (spark.read.schema(CACHE_SCHEMA).parquet(cache_dir) if os.path.isdir(cache_dir)
+    cache = (spark.read.schema(CACHE_SCHEMA).parquet(cache_dir) if path_exists(spark, cache_dir)
              else spark.createDataFrame([], CACHE_SCHEMA))
     pending = anti_pending(requests, cache)
     score_batch(pending, scorer, n_partitions=n_partitions).write.mode("append").parquet(cache_dir)

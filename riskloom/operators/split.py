@@ -71,14 +71,15 @@ def kfold_stratified_group(df: DataFrame, group: str, label: str, k: int = 5, *,
     """Folds where a group never straddles folds and positive groups are spread evenly.
 
     Groups are summarised (map-side combined), stratified by whether they hold
-    any positive, hash-ranked within the stratum and dealt round-robin.
+    any positive, hash-ranked within the stratum and dealt round-robin. Rows
+    without a group are kept, in fold 0.
     """
     g = (df.where(F.col(group).isNotNull()).groupBy(group)
            .agg(F.max(F.col(label).cast("int")).alias("_any_pos")))
     g = g.withColumn("_h", keyed_hash(group, seed=seed, purpose=purpose))
     r = hash_rank(g, ["_any_pos"], "_h", [group])
     gf = r.select(group, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias(out))
-    return df.join(gf, group, "inner")
+    return df.join(gf, group, "left").fillna({out: 0})
 
 
 def sample_stratified_n(df: DataFrame, key: str, label: str, n_rows: int, *,

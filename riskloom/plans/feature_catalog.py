@@ -50,14 +50,17 @@ def q_log1p_counts(spark, sf):
     return c.select("row_id", *[sr6(F.log1p(F.col(x).cast("double"))).alias(f"{x}_log1p") for x in FE.LOG1P_COLS])
 
 
-_ACTIVE_SQL = " + ".join(f"cast({FE.drug_col(d)} <> 'No' as int)" for d in DRUG_COLUMNS)
-_CHANGED_SQL = " + ".join(f"cast({FE.drug_col(d)} in ('Up', 'Down') as int)" for d in DRUG_COLUMNS)
+_ACTIVE_SQL = " + ".join(f"cast(coalesce({FE.drug_col(d)}, '') <> 'No' as int)" for d in DRUG_COLUMNS)
+_CHANGED_SQL = " + ".join(f"cast(coalesce({FE.drug_col(d)}, '') in ('Up', 'Down') as int)" for d in DRUG_COLUMNS)
+_SOME_NULL = FE.drug_col(DRUG_COLUMNS[0])  # a drug that the row_count_if query makes null in a seventh of the rows
 
 
 @query("row_count_if", cte("encounters") + f"""
-select encounter_id, {_ACTIVE_SQL} as num_drugs_active, {_CHANGED_SQL} as num_drugs_changed from encounters""")
+select encounter_id, {_ACTIVE_SQL} as num_drugs_active, {_CHANGED_SQL} as num_drugs_changed
+from (select * replace (case when encounter_id % 7 <> 0 then {_SOME_NULL} end as {_SOME_NULL}) from encounters) x""")
 def q_row_count_if(spark, sf):
-    e = FE.row_count_if(view(spark, sf, "encounters"))
+    e = view(spark, sf, "encounters")
+    e = FE.row_count_if(e.withColumn(_SOME_NULL, F.when(F.col("encounter_id") % 7 != 0, F.col(_SOME_NULL))))
     return e.select("encounter_id", F.col("num_drugs_active").cast("int").alias("num_drugs_active"),
                     F.col("num_drugs_changed").cast("int").alias("num_drugs_changed"))
 
@@ -187,7 +190,7 @@ def q_interact_products(spark, sf):
 
 def _sql_parse_prob(t: str, strict: bool) -> str:
     tt = f"trim({t})"
-    jp = f"(case when json_valid({tt}) and starts_with({tt}, '{{') then try_cast(json_extract_string({tt}, '$.p') as double) end)"
+    jp = f"(case when json_valid({tt}) and starts_with({tt}, '{{') then nullif(try_cast(json_extract_string({tt}, '$.p') as double), 'NaN'::double) end)"
     fb = (f"try_cast(list_filter(regexp_extract_all({tt}, '{T.FLOAT_RE}'), lambda s: try_cast(s as double) between 0 and 1)[1] as double)")
     e = f"(case when {jp} is not null then least(greatest({jp}, 0.0e0), 1.0e0) else {fb} end)"
     if strict:

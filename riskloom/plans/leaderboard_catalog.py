@@ -26,15 +26,15 @@ def runs_df(spark, sf):
 
 
 @query("best_run", _RUNS + "select id, metric_value from rr where status = 'complete' and metric_value is not null "
-       "order by metric_value desc, id limit 1")
+       "order by metric_value desc, seq limit 1")
 def q_best_run(spark, sf):
     return LB.best_run(runs_df(spark, sf))
 
 
 @query("best_per_task", _RUNS + """, t as (select phase, count(*)::BIGINT as n_runs, sum(case when status = 'complete' then 1 else 0 end) as nc from rr group by phase),
-bd as (select * from (select phase, id, coalesce(metric_value, 0.0e0) as m, row_number() over (partition by phase order by coalesce(metric_value, 0.0e0) desc, id) as rn
+bd as (select * from (select phase, id, coalesce(metric_value, 0.0e0) as m, row_number() over (partition by phase order by coalesce(metric_value, 0.0e0) desc, seq) as rn
   from rr where status = 'complete') x where rn = 1),
-ba as (select * from (select phase, id, coalesce(metric_value, 0.0e0) as m, row_number() over (partition by phase order by coalesce(metric_value, 0.0e0) desc, id) as rn
+ba as (select * from (select phase, id, coalesce(metric_value, 0.0e0) as m, row_number() over (partition by phase order by coalesce(metric_value, 0.0e0) desc, seq) as rn
   from rr) x where rn = 1)
 select t.phase, t.n_runs, case when t.nc > 0 then bd.id else ba.id end as best_id,
   case when t.nc > 0 then bd.m else ba.m end as best_metric

@@ -45,7 +45,7 @@ def q_shift_eval(spark, sf):
     """Train on < 50, AUC in (held-out < 50) and out (>= 50)."""
     coh = FE.features_slim(C.cohort_mask(cohort_df(spark, sf))).join(
         C.cohort_mask(cohort_df(spark, sf, ["age"])).select("row_id", "cohort"), "row_id")
-    return MD.shift_eval(coh, _NUM, _CAT, lambda: MD.logreg(C=1.0, penalty="l2"))
+    return MD.shift_eval(coh, _NUM, _CAT, lambda n: MD.logreg(n, C=1.0, penalty="l2"))
 
 
 @query("fit_gbt")

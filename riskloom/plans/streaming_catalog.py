@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
-from pyspark.sql import functions as F
-
 from riskloom.functions import text as T
 from riskloom.plans.feature_catalog import _sql_parse_prob
 from riskloom.plans.registry import query, r6
@@ -19,7 +16,7 @@ from riskloom.streaming.collect import stream_collect
 def _write_chunks(spark, sf, root):
     """The responses cache as the chunk jobs would leave it: one folder per chunk."""
     r = view(spark, sf, "responses").withColumn("parsed_p", T.parse_prob("response"))
-    src = os.path.join(root, "chunks")
+    src = f"{root}/chunks"
     (r.select("row_id", "prompt_format", "response", "parsed_p", "chunk_id")
       .write.mode("overwrite").partitionBy("chunk_id").parquet(src))
     return src
@@ -33,9 +30,9 @@ _STRICT = _sql_parse_prob("response", True)
 def q_stream_collect(spark, sf):
     """File-stream collector (availableNow, checkpointed) over all chunk files;
     returns the newest collected version: one row per (row_id, prompt_format)."""
-    root = os.path.join(checkpoint_dir(spark), f"stream-collect-{uuid.uuid4().hex}")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-collect-{uuid.uuid4().hex}"
     src = _write_chunks(spark, sf, root)
-    v = stream_collect(spark, src, os.path.join(root, "out"), os.path.join(root, "ckpt"),
+    v = stream_collect(spark, src, f"{root}/out", f"{root}/ckpt",
                        max_files_per_trigger=8)
     return spark.read.parquet(v).select("row_id", "prompt_format", "parsed_p")
 
@@ -43,12 +40,8 @@ def q_stream_collect(spark, sf):
 @query("stream_coverage", cte("responses") + f"""select prompt_format, count(*)::BIGINT as n, count(p)::BIGINT as n_valid,
   {r6('count(p) * 1.0e0 / count(*)')} as coverage from (select prompt_format, {_STRICT} as p from responses) x group by prompt_format""")
 def q_stream_coverage(spark, sf):
-    """Live coverage per format over distinct (row, format) pairs, to a memory table."""
+    """Coverage per format from the collected keep-last table."""
     from riskloom.streaming.collect import stream_coverage
-    root = os.path.join(checkpoint_dir(spark), f"stream-cov-{uuid.uuid4().hex}")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-cov-{uuid.uuid4().hex}"
     src = _write_chunks(spark, sf, root)
-    name = "cov_" + uuid.uuid4().hex[:8]
-    q = stream_coverage(spark, src, name, os.path.join(root, "ckpt"))
-    q.awaitTermination()
-    return spark.sql(f"select * from {name}").select(
-        "prompt_format", "n", "n_valid", (F.round(F.col("n_valid") / F.col("n"), 6) + F.lit(0.0)).alias("coverage"))
+    return stream_coverage(spark, src, f"{root}/out", f"{root}/ckpt", max_files_per_trigger=8)

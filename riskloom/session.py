@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,8 +41,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     Uses ``spark.checkpoint.dir`` from the session (on a cluster it names a
-    shared folder), else a directory already registered on the context. Only
-    when neither is set — local runs and tests — a scratch folder is created.
+    shared folder), else a directory already registered on the context. Where
+    neither is set, a local master (one process) gets a scratch folder; a
+    cluster raises, since a machine-local folder would lose rows there.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
@@ -53,11 +54,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="riskloom-ckpt-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = f"file:///tmp/riskloom-ckpt-{uuid.uuid4().hex}"
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in whatever store its URI names."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder in any store; empty where there is none."""
+    p, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

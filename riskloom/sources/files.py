@@ -35,19 +35,33 @@ def encounter_schema() -> T.StructType:
 
 
 def scan_encounters(spark: SparkSession, path: str) -> DataFrame:
-    """Raw encounter CSV with the declared schema; '-' in drug names -> '_'."""
-    df = (spark.read.schema(encounter_schema()).option("header", True).option("nullValue", "")
-          .option("mode", "FAILFAST").csv(path))
-    return df.toDF(*[c.replace("-", "_").lower() for c in df.columns])
+    """Raw encounter CSV, bound by header name in whatever order the file has its
+    columns; '-' in drug names -> '_'. A missing column fails, a further one is ignored."""
+    raw = spark.read.option("header", True).option("nullValue", "").option("inferSchema", False).option("mode", "FAILFAST").csv(path)
+    own = {c.lower().replace("-", "_"): c for c in raw.columns}
+    names = [(f.name.lower().replace("-", "_"), f.dataType) for f in encounter_schema().fields]
+    missing = [n for n, _ in names if n not in own]
+    if missing:
+        raise ValueError(f"columns not in {path}: {missing}")
+    return raw.select(*[F.col(f"`{own[n]}`").cast(t).alias(n) for n, t in names])
 
 
 def scan_id_list(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).option("header", True).load(path)
 
 
-def scan_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """All chunk caches under ``path`` with provenance (file, position in file)."""
+def scan_chunks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """All chunk caches under ``path`` with provenance (file, position in file).
+
+    ``fmt`` csv reads header-bound files; their position is the order of rows
+    as one task reads a whole file.
+    """
     from riskloom.operators.scoring import CACHE_SCHEMA
+    if fmt == "csv":
+        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        df = raw.select(F.col("row_id").cast("long").alias("row_id"), "prompt_format", "response",
+                        F.col("parsed_p").cast("double").alias("parsed_p"))
+        return df.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
     df = spark.read.schema(CACHE_SCHEMA).parquet(path)
     return df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
 

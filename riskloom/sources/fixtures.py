@@ -70,7 +70,7 @@ RESPONSES_SQL = """select o.o_orderkey as row_id, f.fmt as prompt_format,
  case (o.o_orderkey * 3 + f.i) % 20
    when 0 then 'Error in API response: throttled' when 1 then 'Error: 503 retry 1'
    when 2 then 'I''m sorry, but I can''t comply with that.' when 3 then '{"p": 1.3}'
-   when 4 then 'The probability is 70% (0.7)'
+   when 4 then 'The probability is 70% (0.7)' when 5 then '{"p": 1.3} sorry, say 0.2' when 6 then '{"p": "NaN"}'
    else concat('{"p": 0.', lpad(concat('', 5 + 12 * ((o.o_orderkey * 17) % 6) + o.o_orderkey % 11), 2, '0'), '}') end as response
 from orders o cross join (select 0 as i, 'structured' as fmt union all select 1, 'natural' union all select 2, 'abbreviated') f"""
 
@@ -79,6 +79,10 @@ RUNS_SQL = """select concat('cand_', p_partkey) as id, p_type as method, p_brand
  case when p_partkey % 10 > 1 then 0.6e0 + cast((p_partkey * 37) % 1000 as double) / 1e4 end as metric_value
 from part"""
 
+_FORMATS_JOIN = "cross join (select 0 as i, 'structured' as fmt union all select 1, 'natural' union all select 2, 'abbreviated') f"
+# Spark explodes a literal array in place instead of joining three rows
+_SPARK_FORMATS = "lateral view posexplode(array('structured', 'natural', 'abbreviated')) f as i, fmt"
+
 VIEWS = {
     "encounters": (ENCOUNTERS_SQL, ("orders",)),
     "responses": (RESPONSES_SQL, ("orders",)),
@@ -90,7 +94,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Materialise-free derived view over the driver parquet tables."""
     sql, deps = VIEWS[name]
     register_tables(spark, sf_dir, *deps)
-    return spark.sql(sql)
+    return spark.sql(sql.replace(_FORMATS_JOIN, _SPARK_FORMATS))
 
 
 def cte(*names: str) -> str:

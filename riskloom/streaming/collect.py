@@ -6,17 +6,18 @@ row from the latest file (then latest position) — the same answer as the
 batch ``dedupe_keep_last`` over all files. The checkpoint location makes a
 restarted collector resume without re-reading committed files; each
 micro-batch writes a new version of the collected table (plain parquet has no
-MERGE), so a crash mid-batch leaves the previous version intact.
+MERGE) from the version of an earlier epoch, so a crash mid-batch leaves the
+previous version intact and a replayed epoch never reads what it overwrites.
+Paths may be in any store that Spark reads.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.scoring import CACHE_SCHEMA, dedupe_keep_last
+from riskloom.operators.scoring import CACHE_SCHEMA, dedupe_keep_last, parse_coverage
+from riskloom.session import list_names, path_exists
 
 KEYS = ["row_id", "prompt_format"]
 
@@ -30,12 +31,17 @@ def chunk_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int |
                     F.col("_metadata.row_index").alias("pos"))
 
 
-def _latest_version(out_dir: str) -> str | None:
-    if not os.path.isdir(out_dir):
-        return None
-    vs = sorted(d for d in os.listdir(out_dir) if d.startswith("v=") and
-                os.path.exists(os.path.join(out_dir, d, "_SUCCESS")))
-    return os.path.join(out_dir, vs[-1]) if vs else None
+def _version(out_dir: str, epoch: int) -> str:
+    return f"{out_dir.rstrip('/')}/v={epoch:010d}"
+
+
+def _latest_version(spark: SparkSession, out_dir: str, before: int | None = None) -> str | None:
+    """The newest committed version, of the epochs before ``before`` if given."""
+    epochs = [int(d[2:]) for d in list_names(spark, out_dir) if d.startswith("v=")]
+    for e in sorted(epochs, reverse=True):
+        if (before is None or e < before) and path_exists(spark, f"{_version(out_dir, e)}/_SUCCESS"):
+            return _version(out_dir, e)
+    return None
 
 
 def stream_collect(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
@@ -43,29 +49,24 @@ def stream_collect(spark: SparkSession, src_dir: str, out_dir: str, checkpoint:
     """Run the collector until all present files are processed; returns the
     path of the newest collected version."""
     def upsert(batch: DataFrame, epoch: int) -> None:
-        cur = _latest_version(out_dir)
+        cur = _latest_version(spark, out_dir, before=epoch)
         b = dedupe_keep_last(batch, KEYS, ["file", "pos"], keep_order=True)
         if cur is not None:
             prev = spark.read.parquet(cur)
             b = dedupe_keep_last(prev.unionByName(b), KEYS, ["file", "pos"], keep_order=True)
-        b.write.mode("overwrite").parquet(os.path.join(out_dir, f"v={epoch:010d}"))
+        b.write.mode("overwrite").parquet(_version(out_dir, epoch))
 
     q = (chunk_stream(spark, src_dir, max_files_per_trigger).writeStream
          .foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _latest_version(out_dir)
-
+    return _latest_version(spark, out_dir)
 
-def stream_coverage(spark: SparkSession, src_dir: str, query_name: str, checkpoint: str):
-    """Live parsed / total per format over distinct (row, format) pairs.
 
-    ``dropDuplicates`` keeps state per key; it is bounded by the request set
-    (no event time exists, so no watermark is invented). Complete mode to a
-    memory table for inspection.
-    """
-    s = chunk_stream(spark, src_dir).dropDuplicates(KEYS)
-    agg = s.groupBy("prompt_format").agg(F.count(F.lit(1)).alias("n"),
-                                         F.count("parsed_p").alias("n_valid"))
-    return (agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def stream_coverage(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Parsed / total per format after all present chunks, from the keep-last
+    table: a retried call counts by its latest response, and no state is held."""
+    v = stream_collect(spark, src_dir, out_dir, checkpoint, max_files_per_trigger)
+    got = spark.read.parquet(v) if v else spark.createDataFrame([], CACHE_SCHEMA)
+    return parse_coverage(got)

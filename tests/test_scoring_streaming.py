@@ -60,10 +60,38 @@ def test_stream_collect_equals_batch_and_resumes(spark, scratch):
     assert got.count() == base.count()
     assert sorted(got.select("row_id", "prompt_format", "parsed_p").collect()) == \
         sorted(batch.select("row_id", "prompt_format", "parsed_p").collect())
-    q = stream_coverage(spark, src, "cov_test", os.path.join(scratch, "ck2"))
-    q.awaitTermination()
-    cov = {r.prompt_format: (r.n, r.n_valid) for r in spark.sql("select * from cov_test").collect()}
-    assert set(cov) == {"structured", "natural"}
+    # by URI too, and a retry counts by its latest response
+    cov = stream_coverage(spark, f"file://{src}", f"file://{scratch}/out2", f"file://{scratch}/ck2", max_files_per_trigger=1)
+    n_even, n_all = r.where("row_id % 2 = 0").count(), r.count()
+    assert {(x.prompt_format, x.n, x.n_valid) for x in cov.collect()} == {("structured", n_all, n_even), ("natural", n_all, n_even)}
+
+
+def test_collector_keeps_earlier_rows_on_a_uri_path(spark, scratch):
+    rows = spark.range(3).selectExpr("id as row_id", "'a' as prompt_format", "'x' as response", "0.5D as parsed_p")
+    src, out, ck = (f"file://{scratch}/{x}" for x in ("src", "out", "ck"))
+    rows.write.parquet(f"{src}/c1")
+    stream_collect(spark, src, out, ck)
+    rows.where("row_id = 0").write.parquet(f"{src}/c2")
+    assert spark.read.parquet(stream_collect(spark, src, out, ck)).count() == 3
+
+
+def test_resume_on_a_uri_path_scores_once(spark, scratch):
+    req = spark.range(5).selectExpr("id as row_id", "'a' as prompt_format", "concat('p', id) as prompt")
+    for _ in range(2):
+        got = SC.score_resume(req, f"file://{scratch}/cache", lambda p: '{"p": 0.5}', n_partitions=2)
+    assert got.count() == 5
+
+
+def test_coverage_counts_requests_without_a_response(spark):
+    req = spark.range(4).selectExpr("id as row_id", "'a' as prompt_format")
+    cache = spark.range(3).selectExpr("id as row_id", "'a' as prompt_format", "case when id > 0 then 0.5D end as parsed_p")
+    assert tuple(SC.parse_coverage(cache, req).first()) == ("a", 4, 2, 0.5)
+
+
+def test_parse_prob_needs_whole_json_and_a_number(spark):
+    from riskloom.functions import text as T
+    d = spark.createDataFrame([('{"p": 1.3} sorry, say 0.2',), ('{"p": "NaN"}',), ('{"p": "0.4"}',)], "t string")
+    assert [r[0] for r in d.select(T.parse_prob("t")).collect()] == [0.2, None, 0.4]
 
 
 def test_score_resume_only_scores_missing_pairs(spark, scratch):

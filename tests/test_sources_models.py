@@ -20,7 +20,7 @@ from riskloom.sources.tables import DRIVER_TABLES
 
 
 def test_scan_encounters_keeps_codes_and_tokens(spark, scratch):
-    names = [f.name for f in FS.encounter_schema().fields]
+    names = [f.name for f in FS.encounter_schema().fields][::-1]  # bound by name, not by place
     vals = {n: "No" for n in names}
     vals.update(encounter_id="1", patient_nbr="9", race="?", gender="Female", age="[70-80)", weight="?",
                 admission_type_id="1", discharge_disposition_id="11", admission_source_id="7",
@@ -76,7 +76,7 @@ def test_model_gate_all_encounters_group_split(spark, scratch):
     slim = FE.features_slim(enc).join(enc.select("row_id", "patient_nbr"), "row_id")
     s = S.split_group(slim, "patient_nbr")
     train = MD.prepare(s.where("split = 'train'"))
-    m = MD.fit(train, list(FE.SLIM_NUMERIC), list(FE.SLIM_CATEGORICAL), MD.logreg(C=1.0, penalty="l2"))
+    m = MD.fit(train, list(FE.SLIM_NUMERIC), list(FE.SLIM_CATEGORICAL), MD.logreg(train.count(), C=1.0, penalty="l2"))
     pred = MD.predict_proba(m, s.where("split = 'test'"), model_name="lr")
     auc = MD.verify_roundtrip(spark, pred, os.path.join(scratch, "pred"))
     assert auc > 0.6
@@ -109,7 +109,7 @@ def test_persist_model_roundtrip(spark, scratch):
     df = spark.createDataFrame([(i, float(i % 7), "a" if i % 3 else "b", int(i % 5 == 0)) for i in range(200)],
                                "row_id long, x double, c string, y_30d int")
     tr = MD.prepare(df, balanced=False)
-    m = MD.fit(tr, ["x"], ["c"], MD.logreg(C=1.0, weight_col=None))
+    m = MD.fit(tr, ["x"], ["c"], MD.logreg(tr.count(), C=1.0, weight_col=None))
     p = os.path.join(scratch, "model")
     MD.persist_model(m, p)
     back = PipelineModel.load(p)
