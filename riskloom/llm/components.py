@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.shared import stored
+from riskloom.llm.shared import scratch, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,13 +29,20 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder; only its row count and a checksum reach the
     driver.
     """
+    with scratch(edges.sparkSession) as keep:
+        now = _converged(edges)
+        keep(now)
+    roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+
+
+def _converged(edges: DataFrame) -> DataFrame:
+    """Edges ``(u, v)`` from every node to its component's least node."""
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     seen = None
     while True:
         now = stored(_star(_star(now, True), False), "stars")
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen or state[0] == 0:
-            break
+            return now
         seen = state
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)

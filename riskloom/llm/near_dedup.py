@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from riskloom.llm import textbytes as tb
 from riskloom.llm.components import components
 from riskloom.llm.packed import BLOB, ID, KEY, TEXT_KEY, keys, packed, text_of, unpack
-from riskloom.llm.shared import stored
+from riskloom.llm.shared import scratch, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
@@ -311,11 +311,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  bands: int = BANDS, rows: int = ROWS, split: int = SPLIT) -> DataFrame:
     """``(__id, __tk, class_id, class_size, keep)`` for each row of ``docs``; ``keep`` marks a class's least id."""
     nodes = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
-    signed = stored(nodes.mapInArrow(_band_rows(bands, rows), "node long, bands array<long>")
-                    .groupBy("node").agg(F.first("bands").alias("bands")), "bands")
-    labels = near_nodes(signed, docs, id_col, text_col, threshold, split)
-    rows_of = docs.select(*keys(id_col, text_col), F.col(f"`{id_col}`").cast("long").alias("__own"))
-    placed = rows_of.join(labels, rows_of[TEXT_KEY] == labels["node"], "left").select(*KEY, "__own", F.coalesce("label", TEXT_KEY).alias("__label"))
-    classes = stored(placed.groupBy("__label").agg(F.min("__own").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
+    with scratch(docs.sparkSession) as keep:
+        signed = stored(nodes.mapInArrow(_band_rows(bands, rows), "node long, bands array<long>")
+                        .groupBy("node").agg(F.first("bands").alias("bands")), "bands")
+        labels = near_nodes(signed, docs, id_col, text_col, threshold, split)
+        rows_of = docs.select(*keys(id_col, text_col), F.col(f"`{id_col}`").cast("long").alias("__own"))
+        placed = rows_of.join(labels, rows_of[TEXT_KEY] == labels["node"], "left").select(*KEY, "__own", F.coalesce("label", TEXT_KEY).alias("__label"))
+        classes = stored(placed.groupBy("__label").agg(F.min("__own").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
+        keep(labels)
+        keep(classes)
     return (placed.join(classes, "__label")
             .select(*KEY, F.col("__own").alias(id_col), "class_id", "class_size", F.col("__own").eqNullSafe(F.col("class_id")).alias("keep")))

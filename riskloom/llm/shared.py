@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,5 +40,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Compressed columns, so cheaper on disk than a checkpoint of the same rows.
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["stored_at"] = path
+    return out
+
+
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete the tables that ``stored`` writes in this block when it ends.
+
+    The block gets a function that keeps a stored table, which whatever is
+    returned and still to be computed must read. An enclosing block then owns
+    it.
+    """
+    mine: list[str] = []
+    kept: list[str] = []
+    token = _SCOPE.set(mine)
+    try:
+        yield lambda df: kept.append(df.__dict__["stored_at"])
+    finally:
+        _SCOPE.reset(token)
+        if (outer := _SCOPE.get()) is not None:
+            outer.extend(kept)
+        for path in set(mine) - set(kept):
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

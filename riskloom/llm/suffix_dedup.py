@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm import textbytes as tb
 from riskloom.llm.packed import BLOB, ID, KEY, TEXT_KEY, keys, packed, text_of, unpack
-from riskloom.llm.shared import stored
+from riskloom.llm.shared import scratch, stored
 
 GRAM = 32
 BLOCK = 1 << 19  # symbols of a block; ranks of 20 bits leave room for twice that
@@ -346,8 +346,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Every other column but the text stays, except of these names; one row comes
     out for each row that goes in.
     """
-    spans = (repeated_runs(docs, id_col, text_col, min_bytes, **limits).distinct()
-             .groupBy(*KEY).agg(F.collect_list(F.struct("a", "b")).alias("__spans")))
+    with scratch(docs.sparkSession) as keep:
+        spans = stored(repeated_runs(docs, id_col, text_col, min_bytes, **limits).distinct()
+                       .groupBy(*KEY).agg(F.collect_list(F.struct("a", "b")).alias("__spans")), "spans")
+        keep(spans)
     rows = packed(docs, id_col, text_col).join(spans, KEY, "left")
     rest = [c for c in docs.columns if c not in (text_col, "kept", "n_bytes", "n_removed", "spans")]
     given = rows.select(*[F.col(f"`{c}`") for c in rest], BLOB, "__spans")
