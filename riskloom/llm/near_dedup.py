@@ -19,9 +19,9 @@ it. Two texts are near copies if their probability Jaccard similarity
    shingles that no other such text has bound what a text can share: texts that
    can't reach the threshold with any other go, the rest are compared with the
    bucket's centre, its text of the least share of own shingles. Two texts that
-   still are in different components can only be near if they share a shingle
-   outside the centre, or if their sizes let their parts of the centre suffice;
-   just those pairs are compared. So no link of a bucket is lost, but neither
+   still are in different components can only be near if they share enough
+   shingles outside the centre, or if their sizes let their parts of the centre
+   suffice; just those pairs are compared. So no link of a bucket is lost, but neither
    texts that merely share a passage nor the copies of one text are all paired.
 5. Connected components over the verified links are the classes.
 
@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
@@ -200,11 +200,11 @@ def _shingle_rows(batches):
 
 
 def own_share(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """For each node its weight ``s``, its greatest single weight, and ``u``, the weight that no other node has."""
+    """For each node its weight ``s``, its ``extra`` weight beyond one for each shingle, and ``u``, the weight that no other node has."""
     rows = stored(texts.join(nodes, "node").select("node", BLOB).mapInArrow(_shingle_rows, "node long, elem long, w double"), "shingles")
     alone = (rows.groupBy("elem").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).where("n = 1")
              .groupBy("node").agg(F.sum("w").alias("u")))
-    sizes = rows.groupBy("node").agg(F.sum("w").alias("s"), F.max("w").alias("top"))
+    sizes = rows.groupBy("node").agg(F.sum("w").alias("s"), (F.sum("w") - F.count(F.lit(1))).alias("extra"))
     return sizes.join(alone, "node", "left").fillna(0.0, ["u"])
 
 
@@ -222,35 +222,87 @@ def _against_centre(batches):
         for centre, (elem, weight) in zip(b.column(1).to_pylist(), _weighted(b.column(2).to_pylist()), strict=True):
             shared = np.isin(elem, theirs[centres[centre]][0], assume_unique=True)
             inside.append(weight[shared].sum())
-            outside.append(elem[~shared].view(np.int64))
+            outside.append(pa.StructArray.from_arrays([pa.array(elem[~shared].view(np.int64)), pa.array(weight[~shared])], names=["elem", "w"]))
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in outside])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(inside, pa.float64()), pa.array(outside, pa.list_(pa.int64()))], names=["node", "centre", "inside", "outside"])
+            [b.column(0), b.column(1), pa.array(inside, pa.float64()), pa.ListArray.from_arrays(edges, pa.concat_arrays(outside))],
+            names=["node", "centre", "inside", "outside"])
+
+
+def _chief_centres(large: DataFrame, centres: DataFrame) -> DataFrame:
+    """Members of buckets with one centre for all buckets whose centres are in one component.
+
+    Any text may serve as a centre; a node thus meets one for each component
+    instead of one for each bucket. The centre of the most members is taken.
+    """
+    here = large.join(centres.select("key", F.col("r.node").alias("centre")), "key")
+    own = here.where("node = centre").select("centre", "label").distinct()
+    chief = (here.groupBy("centre").agg(F.count(F.lit(1)).alias("n")).join(own, "centre")
+             .groupBy("label").agg(F.max_by("centre", F.struct("n", "centre")).alias("chief")))
+    place = own.join(chief, "label").select("centre", "chief")
+    return here.join(place, "centre").select("node", "label", "s", "extra", F.col("chief").alias("centre")).distinct()
+
+
+def _bound(shared, s, s_other, extra_other):
+    """Upper bound of the similarity of two texts of which one, of weight ``s``, shares at most ``shared``.
+
+    With x's shared weight S, y's weight alone A, and B the shared weight of x
+    whose counts are greater in y, similarity is at most
+    ``(S - B) / (s + A) + B / s``. Counts are whole, so B is at most y's extra
+    weight, and A at least ``s_y - S - extra_y``. The bound grows with ``shared``
+    and the other's extra weight, and falls with the other's weight.
+    """
+    alone = F.greatest(s_other - shared - extra_other, F.lit(0.0))
+    return (shared + F.least(extra_other, shared) * alone / s) / (s + alone)
+
+
+def _reaches(left: str, right: str, shared: str, threshold: float):
+    return _bound(F.col(f"{left}.{shared}"), F.col(f"{left}.s"), F.col(f"{right}.s"), F.col(f"{right}.extra")) >= threshold - 1e-9
+
+
+def _sharing_outside(near: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components that share enough outside their centre.
+
+    Of the shingles outside the centre that another component has too, each text
+    takes the rarest first. A pair's first common one, at which both still have
+    ``most`` to share, must leave room for a similarity of ``threshold``.
+    """
+    # exploding makes many rows of one: dealt out evenly first, since a hot centre's texts lie together
+    even = near.repartition(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    members = even.select("centre", F.explode("outside").alias("o"), "node", "label", "s", "extra", "inside").select("*", "o.*").drop("o")
+    held = (members.groupBy("centre", "elem").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"))
+            .where("x <> y").select("centre", "elem", "n"))
+    rest = Window.partitionBy("centre", "node").orderBy("n", "elem").rowsBetween(0, Window.unboundedFollowing)
+    most = F.col("inside") + F.sum("w").over(rest)
+    ranked = stored(members.join(held, ["centre", "elem"]).select("centre", "elem", "node", "label", "s", "extra", most.alias("most")), "outside")
+    widest = near.groupBy("centre").agg(F.max("extra").alias("widest"))
+    least = ranked.join(widest, "centre").where(_bound(F.col("most"), F.col("s"), F.col("s"), F.col("widest")) >= threshold - 1e-9)
+    on = ((F.col("l.centre") == F.col("r.centre")) & (F.col("l.elem") == F.col("r.elem")) & (F.col("l.label") != F.col("r.label"))
+          & ((F.col("l.s") < F.col("r.s")) | ((F.col("l.s") == F.col("r.s")) & (F.col("l.node") < F.col("r.node"))))
+          & _reaches("l", "r", "most", threshold) & _reaches("r", "l", "most", threshold))
+    return (least.alias("l").join(ranked.alias("r"), on)
+            .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")))
 
 
 def around_centres(large: DataFrame, centres: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components of large buckets that may be near although one isn't near the centre.
 
-    If texts x and y share nothing outside centre c, they share at most what
-    each has in c. With equal weights their similarity is then at most
-    ``in / (s_x + s_y - in)`` for the smaller ``in``, which bounds the other's
-    size; with counts it's at most each one's share of weight in c.
+    Such a pair shares shingles outside centre c, or at most what each of the two
+    has in c, which bounds their similarity by their weights.
     """
-    near = large.join(centres.select("key", F.col("r.node").alias("centre")), "key").select("node", "label", "s", "top", "centre").distinct()
+    near = stored(_chief_centres(large, centres), "near")
     both = (near.select("node", "centre").join(texts, "node").withColumnRenamed(BLOB, "zx")
             .join(texts.select(F.col("node").alias("centre"), F.col(BLOB).alias("zc")), "centre").select("node", "centre", "zx", "zc"))
-    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, outside array<long>")
+    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, outside array<struct<elem:long,w:double>>")
     near = stored(near.join(parts, ["node", "centre"]), "around")
-    members = near.select("centre", F.explode("outside").alias("elem"), "node", "label").select(F.xxhash64("centre", "elem").alias("key"), "node", "label")
-    shared = _across(_mixed(members).select("key", "node", "label"))
-    limit = F.when(F.col("inside") < (threshold - 1e-9) * F.col("s"), F.lit(0.0)).when(F.col("top") > 1, F.lit(float("inf"))).otherwise(
-        F.col("inside") * (1 + threshold) / (threshold - 1e-9) - F.col("s"))
-    sized = near.select("node", "label", "s", "top", "centre", limit.alias("limit"))
-    least = sized.groupBy("centre").agg(F.min("s").alias("least"), F.max((F.col("top") > 1).cast("int")).alias("counts"),
+    shared = _sharing_outside(near, threshold)
+    sized = near.select("node", "label", "s", "extra", "centre", "inside")
+    group = sized.groupBy("centre").agg(F.min("s").alias("least"), F.max("extra").alias("widest"),
                                         F.max(F.when(F.col("node") == F.col("centre"), F.col("label"))).alias("own"))
-    apart = sized.join(least, "centre").where((F.col("label") != F.col("own")) & ((F.col("limit") >= F.col("least")) | ((F.col("counts") == 1) & (F.col("limit") > 0))))
+    apart = sized.join(group, "centre").where(
+        (F.col("label") != F.col("own")) & (_bound(F.col("inside"), F.col("s"), F.col("least"), F.col("widest")) >= threshold - 1e-9))
     fits = ((F.col("l.centre") == F.col("r.centre")) & (F.col("l.label") != F.col("r.label"))
-            & (((F.col("r.s") <= F.col("l.limit")) & (F.col("l.s") <= F.col("r.limit")))
-               | ((F.greatest("l.top", "r.top") > 1) & (F.col("l.limit") > 0) & (F.col("r.limit") > 0))))
+            & _reaches("l", "r", "inside", threshold) & _reaches("r", "l", "inside", threshold))
     by_size = apart.alias("l").join(sized.alias("r"), fits).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
     return shared.unionByName(by_size).distinct()
 
@@ -293,8 +345,8 @@ def near_nodes(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, t
     large = mixed.where(F.col("size") > split)
     shares = own_share(large.select("node").distinct(), texts).where(F.col("s") - F.col("u") >= (threshold - 1e-9) * F.col("s"))
     large = stored(large.select("key", "node", "label").join(shares, "node"), "large")
-    centre = stored(large.groupBy("key").agg(F.min_by(F.struct("node", "label", "s", "u", "top"), F.struct(F.col("u") / F.col("s"), F.col("node"))).alias("r")), "centres")
-    to_centre = (large.select("key", F.struct("node", "label", "s", "u", "top").alias("l")).join(centre, "key")
+    centre = stored(large.groupBy("key").agg(F.min_by(F.struct("node", "label", "s", "u", "extra"), F.struct(F.col("u") / F.col("s"), F.col("node"))).alias("r")), "centres")
+    to_centre = (large.select("key", F.struct("node", "label", "s", "u", "extra").alias("l")).join(centre, "key")
                  .where(F.col("l.label") != F.col("r.label"))
                  .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")))
     pairs = stored(_across(mixed.where(F.col("size") <= split)).unionByName(to_centre).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
