@@ -94,16 +94,18 @@ def test_probminhash_estimates_similarity():
 
 
 def test_bound_holds(spark):
+    from pyspark.sql import functions as F
     rng = np.random.default_rng(4)
     rows = []
     for _ in range(2000):
         a = np.sort(rng.choice(30, rng.integers(1, 30), replace=False)).astype(np.uint64)
         b = np.sort(np.unique(np.where(rng.random(len(a)) < 0.8, a, rng.integers(30, 60, len(a))))).astype(np.uint64)
         wa, wb = (1.0 + rng.integers(0, 4, len(x)) * (rng.random(len(x)) < rng.choice([0, 0.1, 0.9])) for x in (a, b))
-        rows.append((float(wa[np.isin(a, b)].sum()), float(wa.sum()), float(wb.sum()), float((wb - 1).sum()), near_dedup.similarity(a, wa, b, wb)))
-    found = spark.createDataFrame(rows, "shared double, s double, other double, extra double, exact double")
-    bound = near_dedup._bound(F.col("shared"), F.col("s"), F.col("other"), F.col("extra"))
-    assert found.where(bound < F.col("exact") - 1e-9).count() == 0
+        rows.append((float(wa[np.isin(a, b)].sum()), float(wa.sum()), float(wb.sum()), float((wb - 1).sum()), float(wb[~np.isin(b, a)].sum()), near_dedup.similarity(a, wa, b, wb)))
+    found = spark.createDataFrame(rows, "shared double, s double, other double, extra double, alone double, exact double")
+    given = [F.col(c) for c in ("shared", "s", "other", "extra")]
+    for bound in (near_dedup._bound(*given), near_dedup._bound(*given, F.col("alone"))):
+        assert found.where(bound < F.col("exact") - 1e-9).count() == 0
 
 
 def near_brute(texts):
