@@ -20,7 +20,7 @@ it. Two texts are near copies if their probability Jaccard similarity
    can't reach the threshold with any other go, the rest are compared with the
    bucket's centre, its text of the least share of own shingles. Two texts that
    still are in different components can only be near if they share enough
-   shingles outside the centre, or if their common part of the centre suffices; just those pairs are compared. So no link of a bucket is lost, but neither
+   shingles outside the centre, or if their parts of the centre suffice; just those pairs are compared. So no link of a bucket is lost, but neither
    texts that merely share a passage nor the copies of one text are all paired.
 5. Connected components over the verified links are the classes.
 
@@ -208,7 +208,7 @@ def own_share(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _against_centre(batches):
-    """Rows (node, centre, both texts) to what a text shares with its centre, its shingles outside, and those of the centre that it lacks."""
+    """Rows (node, centre, both texts) to what a text shares with its centre, and its shingles outside."""
     tb.lean()
     for b in (y for whole in batches for x in tb.slices(whole, 2, 1 << 18) for y in tb.slices(x, 3, 1 << 18)):
         centres: dict[int, int] = {}
@@ -217,17 +217,15 @@ def _against_centre(batches):
             if node not in centres:
                 centres[node] = len(blobs)
                 blobs.append(blob.as_py())
-        theirs, inside, outside, lacks = _weighted(blobs), [], [], []
+        theirs, inside, outside = _weighted(blobs), [], []
         for centre, (elem, weight) in zip(b.column(1).to_pylist(), _weighted(b.column(2).to_pylist()), strict=True):
-            middle = theirs[centres[centre]][0]
-            shared = np.isin(elem, middle, assume_unique=True)
-            lacks.append(middle[~np.isin(middle, elem, assume_unique=True)].view(np.int64))
+            shared = np.isin(elem, theirs[centres[centre]][0], assume_unique=True)
             inside.append(weight[shared].sum())
             outside.append(pa.StructArray.from_arrays([pa.array(elem[~shared].view(np.int64)), pa.array(weight[~shared])], names=["elem", "w"]))
         edges = np.concatenate([[0], np.cumsum([len(x) for x in outside])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(inside, pa.float64()), pa.ListArray.from_arrays(edges, pa.concat_arrays(outside)),
-             pa.array(lacks, pa.list_(pa.int64()))], names=["node", "centre", "inside", "outside", "lacks"])
+            [b.column(0), b.column(1), pa.array(inside, pa.float64()), pa.ListArray.from_arrays(edges, pa.concat_arrays(outside))],
+            names=["node", "centre", "inside", "outside"])
 
 
 def _chief_centres(large: DataFrame, centres: DataFrame) -> DataFrame:
@@ -264,14 +262,6 @@ def _reaches(left: str, right: str, shared: str, threshold: float):
     return _bound(x(shared), x("s"), y("s"), y("extra"), y("s") - y(shared)) >= threshold - 1e-9
 
 
-def _reaches_within(left: str, right: str, threshold: float):
-    """Whether a pair may be near that shares shingles of its centre only: none of those that one of the two lacks."""
-    x, y = (lambda c: F.col(f"{left}.{c}")), (lambda c: F.col(f"{right}.{c}"))
-    lost = F.size(F.array_except(y("lacks"), x("lacks")))
-    alone = y("s") - y("inside") + F.size(F.array_except(x("lacks"), y("lacks")))
-    return _bound(F.greatest(x("inside") - lost, F.lit(0.0)), x("s"), y("s"), y("extra"), alone) >= threshold - 1e-9
-
-
 def _sharing_outside(near: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components that share enough outside their centre.
 
@@ -299,24 +289,22 @@ def _sharing_outside(near: DataFrame, threshold: float) -> DataFrame:
 def around_centres(large: DataFrame, centres: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components of large buckets that may be near although one isn't near the centre.
 
-    Such a pair shares shingles outside centre c, or only what each of the two
-    has in c without what the other lacks of it.
+    Such a pair shares shingles outside centre c, or at most what each of the two
+    has in c, and each has the rest alone.
     """
     near = stored(_chief_centres(large, centres), "near")
     both = (near.select("node", "centre").join(texts, "node").withColumnRenamed(BLOB, "zx")
             .join(texts.select(F.col("node").alias("centre"), F.col(BLOB).alias("zc")), "centre").select("node", "centre", "zx", "zc"))
-    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, outside array<struct<elem:long,w:double>>, lacks array<long>")
+    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, outside array<struct<elem:long,w:double>>")
     near = stored(near.join(parts, ["node", "centre"]), "around")
     shared = _sharing_outside(near, threshold)
-    sized = near.select("node", "label", "s", "extra", "centre", "inside", "lacks")
+    sized = near.select("node", "label", "s", "extra", "centre", "inside")
     group = sized.groupBy("centre").agg(F.min("s").alias("least"), F.max("extra").alias("widest"),
                                         F.max(F.when(F.col("node") == F.col("centre"), F.col("label"))).alias("own"))
     apart = sized.join(group, "centre").where(
         (F.col("label") != F.col("own")) & (_bound(F.col("inside"), F.col("s"), F.col("least"), F.col("widest")) >= threshold - 1e-9))
     fits = ((F.col("l.centre") == F.col("r.centre")) & (F.col("l.label") != F.col("r.label"))
-            # lists are only compared where the weights leave room
-            & F.when(_reaches("l", "r", "inside", threshold) & _reaches("r", "l", "inside", threshold),
-                     F.when(_reaches_within("l", "r", threshold), _reaches_within("r", "l", threshold))))
+            & _reaches("l", "r", "inside", threshold) & _reaches("r", "l", "inside", threshold))
     by_size = apart.alias("l").join(sized.alias("r"), fits).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
     return shared.unionByName(by_size).distinct()
 
