@@ -44,6 +44,7 @@ from riskloom.llm.shared import scratch, stored
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
 SPLIT = 8
+SIZES = ("node", "label", "s", "extra", "over", "under")
 SMALL = 64  # texts with fewer shingles are signed together, batch by batch
 
 
@@ -208,7 +209,11 @@ def own_share(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _against_centre(batches):
-    """Rows (node, centre, both texts) to what a text shares with its centre, and its shingles outside."""
+    """Rows (node, centre, both texts) to what a text shares with its centre, and its shingles outside.
+
+    ``over`` is how much a text's counts exceed the centre's, and one for each
+    shingle outside; ``under`` how much the centre's counts exceed the text's.
+    """
     tb.lean()
     for b in (y for whole in batches for x in tb.slices(whole, 2, 1 << 18) for y in tb.slices(x, 3, 1 << 18)):
         centres: dict[int, int] = {}
@@ -217,15 +222,20 @@ def _against_centre(batches):
             if node not in centres:
                 centres[node] = len(blobs)
                 blobs.append(blob.as_py())
-        theirs, inside, outside = _weighted(blobs), [], []
+        theirs, inside, over, under, outside = _weighted(blobs), [], [], [], []
         for centre, (elem, weight) in zip(b.column(1).to_pylist(), _weighted(b.column(2).to_pylist()), strict=True):
-            shared = np.isin(elem, theirs[centres[centre]][0], assume_unique=True)
+            base, counts = theirs[centres[centre]]
+            shared = np.isin(elem, base, assume_unique=True)
+            beyond = weight[shared] - counts[np.searchsorted(base, elem[shared])]
             inside.append(weight[shared].sum())
+            over.append(np.maximum(beyond, 0).sum() + (weight[~shared] - 1).sum())
+            under.append(np.maximum(-beyond, 0).sum())
             outside.append(pa.StructArray.from_arrays([pa.array(elem[~shared].view(np.int64)), pa.array(weight[~shared])], names=["elem", "w"]))
         edges = np.concatenate([[0], np.cumsum([len(x) for x in outside])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(inside, pa.float64()), pa.ListArray.from_arrays(edges, pa.concat_arrays(outside))],
-            names=["node", "centre", "inside", "outside"])
+            [b.column(0), b.column(1), *(pa.array(x, pa.float64()) for x in (inside, over, under)),
+             pa.ListArray.from_arrays(edges, pa.concat_arrays(outside))],
+            names=["node", "centre", "inside", "over", "under", "outside"])
 
 
 def _chief_centres(large: DataFrame, centres: DataFrame) -> DataFrame:
@@ -242,24 +252,33 @@ def _chief_centres(large: DataFrame, centres: DataFrame) -> DataFrame:
     return here.join(place, "centre").select("node", "label", "s", "extra", F.col("chief").alias("centre")).distinct()
 
 
-def _bound(shared, s, s_other, extra_other, alone_other=None):
+def _bound(shared, s, s_other, excess, alone_other=None):
     """Upper bound of the similarity of two texts of which one, of weight ``s``, shares at most ``shared``.
 
-    With x's shared weight S, y's weight alone A, and B the shared weight of x
-    whose counts are greater in y, similarity is at most
-    ``(S - B) / (s + A) + B / s``. Counts are whole, so B is at most y's extra
-    weight, and A at least ``s_y - S - extra_y``, or what is given for it. The
-    bound grows with ``shared`` and the other's extra weight, and falls with the
-    other's weight and what it has alone.
+    With x's shared weight S, y's weight alone A, and E the sum of what y's
+    counts exceed x's on shared shingles, similarity is at most
+    ``(S + min(E, S) * A / s) / (s + A)``. E is at most ``excess``, and A at
+    least ``s_y - S - excess``, or what is given for it. The bound grows with
+    ``shared`` and ``excess``, and falls with the other's weight and what it has
+    alone.
+    """
+    alone = F.greatest(s_other - shared - excess, F.lit(0.0) if alone_other is None else alone_other, F.lit(0.0))
+    return (shared + F.least(excess, shared) * alone / s) / (s + alone)
+
+
+def _excess(under, over_other, extra_other):
+    """Upper bound of what the other's counts exceed a text's on shared shingles.
+
+    Counts are whole, so it is at most the other's extra weight; and at most what
+    the other's counts exceed the centre's and the centre's the text's.
     """
-    alone = F.greatest(s_other - shared - extra_other, F.lit(0.0) if alone_other is None else alone_other, F.lit(0.0))
-    return (shared + F.least(extra_other, shared) * alone / s) / (s + alone)
+    return F.least(extra_other, over_other + under)
 
 
 def _reaches(left: str, right: str, shared: str, threshold: float):
     """Whether a pair may be near of which each shares at most its column ``shared``."""
     x, y = (lambda c: F.col(f"{left}.{c}")), (lambda c: F.col(f"{right}.{c}"))
-    return _bound(x(shared), x("s"), y("s"), y("extra"), y("s") - y(shared)) >= threshold - 1e-9
+    return _bound(x(shared), x("s"), y("s"), _excess(x("under"), y("over"), y("extra")), y("s") - y(shared)) >= threshold - 1e-9
 
 
 def _sharing_outside(near: DataFrame, threshold: float) -> DataFrame:
@@ -271,14 +290,15 @@ def _sharing_outside(near: DataFrame, threshold: float) -> DataFrame:
     """
     # exploding makes many rows of one: dealt out evenly first, since a hot centre's texts lie together
     even = near.repartition(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    members = even.select("centre", F.explode("outside").alias("o"), "node", "label", "s", "extra", "inside").select("*", "o.*").drop("o")
+    members = even.select("centre", F.explode("outside").alias("o"), *SIZES, "inside").select("*", "o.*").drop("o")
     held = (members.groupBy("centre", "elem").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"))
             .where("x <> y").select("centre", "elem", "n"))
     rest = Window.partitionBy("centre", "node").orderBy("n", "elem").rowsBetween(0, Window.unboundedFollowing)
     most = F.col("inside") + F.sum("w").over(rest)
-    ranked = stored(members.join(held, ["centre", "elem"]).select("centre", "elem", "node", "label", "s", "extra", most.alias("most")), "outside")
-    widest = near.groupBy("centre").agg(F.max("extra").alias("widest"))
-    least = ranked.join(widest, "centre").where(_bound(F.col("most"), F.col("s"), F.col("s"), F.col("widest")) >= threshold - 1e-9)
+    ranked = stored(members.join(held, ["centre", "elem"]).select("centre", "elem", *SIZES, most.alias("most")), "outside")
+    widest = near.groupBy("centre").agg(F.max("extra").alias("widest"), F.max("over").alias("most_over"))
+    least = ranked.join(widest, "centre").where(
+        _bound(F.col("most"), F.col("s"), F.col("s"), _excess(F.col("under"), F.col("most_over"), F.col("widest"))) >= threshold - 1e-9)
     on = ((F.col("l.centre") == F.col("r.centre")) & (F.col("l.elem") == F.col("r.elem")) & (F.col("l.label") != F.col("r.label"))
           & ((F.col("l.s") < F.col("r.s")) | ((F.col("l.s") == F.col("r.s")) & (F.col("l.node") < F.col("r.node"))))
           & _reaches("l", "r", "most", threshold) & _reaches("r", "l", "most", threshold))
@@ -295,14 +315,14 @@ def around_centres(large: DataFrame, centres: DataFrame, texts: DataFrame, thres
     near = stored(_chief_centres(large, centres), "near")
     both = (near.select("node", "centre").join(texts, "node").withColumnRenamed(BLOB, "zx")
             .join(texts.select(F.col("node").alias("centre"), F.col(BLOB).alias("zc")), "centre").select("node", "centre", "zx", "zc"))
-    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, outside array<struct<elem:long,w:double>>")
+    parts = both.mapInArrow(_against_centre, "node long, centre long, inside double, over double, under double, outside array<struct<elem:long,w:double>>")
     near = stored(near.join(parts, ["node", "centre"]), "around")
     shared = _sharing_outside(near, threshold)
-    sized = near.select("node", "label", "s", "extra", "centre", "inside")
-    group = sized.groupBy("centre").agg(F.min("s").alias("least"), F.max("extra").alias("widest"),
+    sized = near.select(*SIZES, "centre", "inside")
+    group = sized.groupBy("centre").agg(F.min("s").alias("least"), F.max("extra").alias("widest"), F.max("over").alias("most_over"),
                                         F.max(F.when(F.col("node") == F.col("centre"), F.col("label"))).alias("own"))
     apart = sized.join(group, "centre").where(
-        (F.col("label") != F.col("own")) & (_bound(F.col("inside"), F.col("s"), F.col("least"), F.col("widest")) >= threshold - 1e-9))
+        (F.col("label") != F.col("own")) & (_bound(F.col("inside"), F.col("s"), F.col("least"), _excess(F.col("under"), F.col("most_over"), F.col("widest"))) >= threshold - 1e-9))
     fits = ((F.col("l.centre") == F.col("r.centre")) & (F.col("l.label") != F.col("r.label"))
             & _reaches("l", "r", "inside", threshold) & _reaches("r", "l", "inside", threshold))
     by_size = apart.alias("l").join(sized.alias("r"), fits).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))

@@ -108,6 +108,27 @@ def test_bound_holds(spark):
         assert found.where(bound < F.col("exact") - 1e-9).count() == 0
 
 
+def test_bound_around_a_centre_holds(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(2000):
+        centre = rng.integers(0, 9, 40) * (rng.random(40) < 0.6)
+        x, y = (np.maximum(centre + rng.integers(-3, 4, 40) * (rng.random(40) < rng.choice([0.05, 0.5])), 0)
+                + (centre == 0) * rng.integers(0, 3, 40) for _ in range(2))
+        if not x.any() or not y.any():
+            continue
+        over = (np.maximum(y - centre, 0) * (centre > 0)).sum() + np.maximum(y - 1, 0)[centre == 0].sum()
+        under = (np.maximum(centre - x, 0) * (x > 0)).sum()
+        (ex, wx), (ey, wy) = ((np.flatnonzero(v).astype(np.uint64), v[v > 0].astype(float)) for v in (x, y))
+        rows.append((float(x[y > 0].sum()), float(x.sum()), float(y.sum()), float(np.maximum(y - 1, 0).sum()), float(y[x == 0].sum()),
+                     float(over), float(under), near_dedup.similarity(ex, wx, ey, wy)))
+    found = spark.createDataFrame(rows, "shared double, s double, other double, extra double, alone double, over double, under double, exact double")
+    given = [F.col(c) for c in ("shared", "s", "other")] + [near_dedup._excess(F.col("under"), F.col("over"), F.col("extra"))]
+    for bound in (near_dedup._bound(*given), near_dedup._bound(*given, F.col("alone"))):
+        assert found.where(bound < F.col("exact") - 1e-9).count() == 0
+
+
 def near_brute(texts):
     sets = []
     for t in texts:
