@@ -24,11 +24,12 @@ def unpivot(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     return df.select(key, st.alias("s")).select(key, "s.feature", "s.value").where(F.col("value").isNotNull())
 
 
-def smd_sparse(long: DataFrame, groups: DataFrame, key: str, group_col: str, a: str, b: str) -> DataFrame:
+def smd_sparse(long: DataFrame, groups: DataFrame, key: str, group_col: str, a: str, b: str,
+               dense: Sequence[str] = ()) -> DataFrame:
     """(feature, mean_a, mean_b, std_all, smd, abs_diff) for stratum values a -> b.
 
     ``groups`` has one row per key with its stratum; rows missing in ``long``
-    for a feature count as 0.
+    for a feature count as 0, but are skipped for the ``dense`` (numeric) ones.
     """
     from riskloom.functions.stats import one_row
     sizes = one_row(groups.agg(F.sum((F.col(group_col) == a).cast("long")).alias("na"),
@@ -39,14 +40,19 @@ def smd_sparse(long: DataFrame, groups: DataFrame, key: str, group_col: str, a:
     agg = j.groupBy("feature").agg(
         F.sum(F.when(is_a, F.col("value")).otherwise(0.0)).alias("_sa"),
         F.sum(F.when(is_b, F.col("value")).otherwise(0.0)).alias("_sb"),
-        F.sum(F.when(is_a | is_b, F.col("value") * F.col("value")).otherwise(0.0)).alias("_ss"))
-    x = agg.withColumn("_na", sizes["na"]).withColumn("_nb", sizes["nb"])
+        F.sum(F.when(is_a | is_b, F.col("value") * F.col("value")).otherwise(0.0)).alias("_ss"),
+        F.count(F.when(is_a, F.col("value"))).alias("_ca"),
+        F.count(F.when(is_b, F.col("value"))).alias("_cb"),
+        F.stddev_samp(F.when(is_a | is_b, F.col("value"))).alias("_sd"))
+    numeric = F.col("feature").isin(*dense)
+    x = (agg.withColumn("_na", F.nullif(F.when(numeric, F.col("_ca")).otherwise(sizes["na"]), F.lit(0)))
+            .withColumn("_nb", F.nullif(F.when(numeric, F.col("_cb")).otherwise(sizes["nb"]), F.lit(0))))
     n = F.col("_na") + F.col("_nb")
     ma = F.col("_sa") / F.col("_na")
     mb = F.col("_sb") / F.col("_nb")
     tot = F.col("_sa") + F.col("_sb")
-    var = (F.col("_ss") - tot * tot / n) / (n - 1)
-    sd = F.sqrt(F.greatest(var, F.lit(0.0)))
+    var = (F.col("_ss") - tot * tot / n) / F.nullif(n - 1, F.lit(0))
+    sd = F.when(numeric, F.col("_sd")).otherwise(F.sqrt(F.greatest(var, F.lit(0.0))))
     return x.select("feature", r6(ma).alias("mean_a"), r6(mb).alias("mean_b"), r6(sd).alias("std_all"),
                     r6(F.when(sd > 1e-12, (mb - ma) / sd)).alias("smd"),
                     r6(F.abs(mb - ma)).alias("abs_diff"))

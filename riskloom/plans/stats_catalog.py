@@ -130,9 +130,11 @@ cl as ({cat_long}), firsts as (select var, min(lvl) as fl from cl group by var),
 long as ({num_long} union all select row_id, var || '_' || {_norm_sql('lvl')}, 1.0e0 from cl join firsts using (var) where lvl <> fl),
 sizes as (select sum(case when grp = 'young' then 1 else 0 end) as na, sum(case when grp = 'old' then 1 else 0 end) as nb from slim),
 agg as (select feature, sum(case when grp = 'young' then value else 0 end) as sa, sum(case when grp = 'old' then value else 0 end) as sb,
-  sum(value * value) as ss from long join slim using (row_id) group by feature),
-m as (select feature, sa / na as ma, sb / nb as mb,
-  sqrt(greatest((ss - (sa + sb) * (sa + sb) / (na + nb)) / (na + nb - 1), 0)) as sd from agg cross join sizes),
+  sum(value * value) as ss, feature in ({", ".join(f"'{c}'" for c in FE.SLIM_NUMERIC)}) as num, stddev_samp(value) as sd_num,
+  count(case when grp = 'young' then value end) as ca, count(case when grp = 'old' then value end) as cb
+  from long join slim using (row_id) group by feature),
+m as (select feature, sa / (case when num then ca else na end) as ma, sb / (case when num then cb else nb end) as mb,
+  case when num then sd_num else sqrt(greatest((ss - (sa + sb) * (sa + sb) / (na + nb)) / (na + nb - 1), 0)) end as sd from agg cross join sizes),
 s as (select feature, {r6('case when sd > 1e-12 then (mb - ma) / sd end')} as smd from m)
 select * from (select feature, smd, 'lowest' as "end" from s where smd is not null order by smd asc, feature limit 8)
 union all select * from (select feature, smd, 'highest' from s where smd is not null order by smd desc, feature limit 8)""")
@@ -147,7 +149,7 @@ def q_topk_smd(spark, sf):
     slim = cut_lineage(FE.features_slim(coh, keep=["cohort"]))
     long = SH.unpivot(slim, "row_id", FE.SLIM_NUMERIC).unionByName(FE.onehot_long(slim, "row_id", _SLIM_CATS))
     groups = slim.select("row_id", "cohort")
-    smd = SH.smd_sparse(long, groups, "row_id", "cohort", "young", "old")
+    smd = SH.smd_sparse(long, groups, "row_id", "cohort", "young", "old", FE.SLIM_NUMERIC)
     return SH.topk_both_ends(smd.select("feature", "smd"), "smd", 8)
 
 

@@ -96,3 +96,20 @@ def test_auc_plan_is_bucket_partitioned(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_qb" in plan
+
+
+def test_smd_of_a_null_numeric_skips_the_row(spark):
+    from riskloom.operators import shift
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", None), (3, "a", 3.0), (4, "b", 6.0), (5, "b", 8.0), (6, "b", None)],
+                               "row_id long, g string, x double")
+    sparse = shift.smd_sparse(shift.unpivot(df, "row_id", ["x"]), df.select("row_id", "g"), "row_id", "g", "a", "b", ["x"]).collect()
+    assert sparse == shift.smd_dense(df, ["x"], "g", "a", "b").collect()
+    assert (sparse[0]["mean_a"], sparse[0]["mean_b"]) == (2.0, 7.0)
+
+
+def test_smd_of_an_absent_onehot_level_counts_zero(spark):
+    from riskloom.operators import shift
+    groups = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "b")], "row_id long, g string")
+    long = spark.createDataFrame([(1, "c_x", 1.0), (3, "c_x", 1.0), (4, "c_x", 1.0)], "row_id long, feature string, value double")
+    row = shift.smd_sparse(long, groups, "row_id", "g", "a", "b", ["n"]).first()
+    assert (row["mean_a"], row["mean_b"], row["std_all"]) == (0.5, 1.0, 0.5)
