@@ -64,11 +64,11 @@ def class_weight_ratio(train: DataFrame, label: str) -> DataFrame:
 
 
 def class_weight_balanced(train: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Per-row weight n / (2 * n_class): counts per class (2 rows) broadcast back."""
+    """Per-row weight n / (2 * n_class): counts per class joined back."""
     n = train.agg(F.count(F.lit(1)).alias("_n")).scalar()
     per = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     per = per.select(label, (n / (2.0 * F.col("_nc"))).alias(out))
-    return train.join(F.broadcast(per), label, "left")
+    return train.join(per, label, "left")
 
 
 def _long_codes(df: DataFrame, key: str, cols, extra=()) -> DataFrame:

@@ -42,6 +42,6 @@ def dimension(spark, mapping: Mapping, key: str, value: str, key_type: str = "in
 
 def decode_with(df: DataFrame, dim: DataFrame, on: str, label: str, out: str,
                 dim_key: str = "k") -> DataFrame:
-    """Left join a mapping table (broadcast: it is bounded by the code domain)."""
+    """Left join a mapping table; Spark broadcasts it where its size allows."""
     d = dim.select(F.col(dim_key).alias("_dk"), F.col(label).alias(out))
-    return df.join(F.broadcast(d), df[on] == d["_dk"], "left").drop("_dk")
+    return df.join(d, df[on] == d["_dk"], "left").drop("_dk")
