@@ -101,17 +101,16 @@ def peer_delta(runs: DataFrame, phase: str, cohort: str, seq: str, metric: str =
     phase with a different cohort; signed delta and better/worse.
 
     The first run of the phase (c1) is everyone's peer unless they share its
-    cohort; those take the first run whose cohort differs from c1. Two
-    aggregates per phase, no pairwise join.
+    cohort; those take the first run whose cohort differs from c1. Both come
+    from one aggregate per (phase, cohort), and the runs are joined once to one
+    row per phase.
     """
     x = runs.where((F.col("status") == "complete") & F.col(metric).isNotNull())
-    first1 = x.groupBy(phase).agg(F.min_by(F.struct(F.col(cohort).alias("c1"), F.col(metric).alias("m1")),
-                                           F.col(seq)).alias("f1")).select(phase, "f1.*")
-    y = x.join(first1, phase)
-    first2 = (y.where(F.col(cohort) != F.col("c1")).groupBy(phase)
-               .agg(F.min_by(F.struct(F.col(cohort).alias("c2"), F.col(metric).alias("m2")), F.col(seq)).alias("f2"))
-               .select(phase, "f2.*"))
-    z = y.join(first2, phase, "left")
+    firsts = x.groupBy(phase, cohort).agg(F.min(seq).alias("at"), F.min_by(metric, seq).alias("m"))
+    first1 = firsts.groupBy(phase).agg(F.min_by(F.struct(F.col(cohort).alias("c1"), F.col("m").alias("m1")), "at").alias("f1")).select(phase, "f1.*")
+    first2 = (firsts.join(first1, phase).where(F.col(cohort) != F.col("c1")).groupBy(phase)
+              .agg(F.min_by(F.struct(F.col(cohort).alias("c2"), F.col("m").alias("m2")), "at").alias("f2")).select(phase, "f2.*"))
+    z = x.join(first1.join(first2, phase, "left"), phase)
     use1 = F.col(cohort) != F.col("c1")
     peer_c = F.when(use1, F.col("c1")).otherwise(F.col("c2"))
     peer_m = F.when(use1, F.col("m1")).otherwise(F.col("m2"))
