@@ -1,10 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Words are lower-cased runs of ASCII letters, digits and multi-byte
-   characters. The ``seed``-grams of the test items are counted over all
-   documents (in how many each is found). An item's seeds are those found at
-   all, without the commonest quarter, so that an item that leaked widely keeps
-   its seeds.
+   characters. All ``seed``-grams of the test items are seeds, however common:
+   those that survive in a widely copied edited version of an item are just the
+   ones that are found most often.
 2. Passages of a document that hold a seed are joined to the seed's items, and
    item and passage are aligned by words: ``MATCH`` for equal words,
    ``MISMATCH`` and ``GAP`` for edits. The score is the best local alignment
@@ -14,7 +13,9 @@
 
 Documents are never shuffled: items are few beside the corpus and go to the
 tasks. Their bytes are counted first; beyond ``block_bytes`` they are dealt into
-blocks by hash, and the documents are read once more for each block.
+blocks by hash, and the documents pass through each block's search. A phrase
+that many items and documents share costs an alignment for each pair; what is
+held at once stays at about ``JOINED`` pairs of places.
 
 Null and empty texts hold no seed. An item of fewer words than a seed can't be
 found; neither can a null item. Repeated items count once each; of equal scores
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
 
-SEED, RARE, THRESHOLD, LEAST = 4, 0.75, 0.4, 8
+SEED, THRESHOLD, LEAST = 4, 0.4, 8
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 BLOCK_BYTES = 8 << 20
 CELLS = 1 << 20  # of an alignment table that is filled at once
+JOINED = 1 << 17  # places in documents joined to places in items at once
 
 
 def _table() -> np.ndarray:
@@ -62,33 +64,17 @@ class Items:
             place.append(np.flatnonzero(whole))
         self.order(np.concatenate([np.zeros(0, np.uint64), *grams]), np.concatenate([np.zeros(0, np.int64), *owner]),
                    np.concatenate([np.zeros(0, np.int64), *place]))
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
 
     def order(self, grams, owner, place):
         by = np.argsort(grams, kind="stable")
         self.grams, self.owner, self.place = grams[by], owner[by], place[by]
         self.keys, self.first = np.unique(self.grams, return_index=True)
         self.count = np.diff(np.append(self.first, len(self.grams)))
+        self.posted = np.repeat(np.arange(len(self.keys)), self.count) * len(self.ids) + self.owner
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[self.keys >> np.uint64(44)] = True
 
-    def rare(self, frequency: np.ndarray, share: float) -> None:
-        """Keep each item's rarest seeds; ``frequency`` is parallel to ``keys``."""
-        found = np.repeat(frequency, self.count)
-        keep = np.zeros(len(found), bool)
-        for k in range(len(self.ids)):
-            own = np.flatnonzero((self.owner == k) & (found > 0)) if len(self.ids) < 64 else self._own(k, found)
-            if len(own):
-                ranked = np.sort(found[own])
-                keep[own] = found[own] <= ranked[math.ceil(share * len(own)) - 1]
-        self.order(self.grams[keep], self.owner[keep], self.place[keep])
-
-    def _own(self, k, found):
-        if not hasattr(self, "_by"):
-            self._by = np.argsort(self.owner, kind="stable")
-            self._edge = np.searchsorted(self.owner[self._by], np.arange(len(self.ids) + 1))
-        own = self._by[self._edge[k]: self._edge[k + 1]]
-        return own[found[own] > 0]
-
     def hits(self, grams: np.ndarray, whole: np.ndarray):
         """Places in ``grams`` that hold a seed, and the index of the seed's key."""
         at = np.flatnonzero(self.sieve[(grams >> np.uint64(44)).astype(np.int64)] & whole)
@@ -128,51 +114,51 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _passages(items: Items, at, key, doc, first):
-    """Joined seeds to (text, item, first word, last word + 1), one for each stretch of seeds on near diagonals."""
-    n = items.count[key]
-    post = np.arange(n.sum()) + np.repeat(items.first[key] - (np.cumsum(n) - n), n)
+def _passages(items: Items, at, key, doc, first, low: int, high: int):
+    """Joined seeds to (text, item, first word, last word + 1), one for each stretch of seeds on near diagonals.
+
+    Of items from ``low`` on, below ``high``.
+    """
+    post, stop = (np.searchsorted(items.posted, key * len(items.ids) + k) for k in (low, high))
+    n = stop - post
+    post = np.arange(n.sum()) + np.repeat(post - (np.cumsum(n) - n), n)
     at, doc = np.repeat(at, n), np.repeat(doc, n)
     item = items.owner[post]
-    size = np.array([len(w) for w in items.words])[item]
+    size = items.sizes[item]
     start = at - items.place[post]
+    by = np.lexsort((start, item, doc))
+    doc, item, start, size = doc[by], item[by], start[by], size[by]
     slack = size // 4 + 2
     a, b = np.maximum(start - slack, first[doc]), np.minimum(start + size + slack, first[doc + 1])
-    by = np.lexsort((a, item, doc))
-    doc, item, a, b = doc[by], item[by], a[by], b[by]
-    out = []
-    for d, i, x, y in zip(doc.tolist(), item.tolist(), a.tolist(), b.tolist(), strict=True):
-        if out and out[-1][0] == d and out[-1][1] == i and x <= out[-1][3]:
-            out[-1][3] = max(out[-1][3], y)
-        else:
-            out.append([d, i, x, y])
-    return out
-
-
-def _counts(items: Items, keys: np.ndarray, column: int):
-    def run(batches):
-        tb.lean()
-        total = np.zeros(len(keys), np.int64)
-        table = _table()
-        for b in batches:
-            for _, _, data, offsets in tb.chunks(b.column(column)):
-                _, _, hashes, first = tb.words(data, offsets, table)
-                grams, whole = tb.ngrams(hashes, first, items.seed)
-                at, key = items.hits(grams, whole)
-                doc = np.searchsorted(first, at, "right") - 1
-                pairs = np.unique(doc * len(keys) + key)
-                total += np.bincount(pairs % len(keys), minlength=len(keys))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
-    return run
-
-
-def _scores(items: Items, column: int, threshold: float, n_cols: int, names: list[str]):
+    new = np.ones(len(a), bool)  # of one text and item, both ends grow along the rows
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (a[1:] > b[:-1])
+    last = np.ones(len(a), bool)
+    last[:-1] = new[1:]
+    return list(zip(doc[new].tolist(), item[new].tolist(), a[new].tolist(), b[last].tolist(), strict=True))
+
+
+def _found(items: Items, at, key, doc, first, joined: int):
+    """Lists of passages, none empty. All of a text and item are in one list."""
+    total = np.cumsum(items.count[key])
+    edge = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), len(doc))  # each text's first hit
+    k = 0
+    while k < len(edge) - 1:
+        a = edge[k]
+        before = total[a - 1] if a else 0
+        k = max(k + 1, int(np.searchsorted(total[edge[1:] - 1], before + joined, "right")))
+        b = edge[k]
+        parts = min(len(items.ids), math.ceil((total[b - 1] - before) / joined))  # of items, for a text of more hits
+        cuts = [len(items.ids) * p // parts for p in range(parts + 1)]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if found := _passages(items, at[a:b], key[a:b], doc[a:b], first, low, high):
+                yield found
+
+
+def _scores(items: Items, column: int, threshold: float, n_cols: int, names: list[str], joined: int):
     """Rows of documents with (n_items, best_item, best_score) so far, to the same after this block."""
     def run(batches):
         tb.lean()
-        table = _table()
-        sizes = np.array([len(w) for w in items.words])
+        table, sizes = _table(), items.sizes
         for b in batches:
             count = b.column(n_cols).to_numpy(zero_copy_only=False).copy()
             best = b.column(n_cols + 1).to_pylist()
@@ -184,23 +170,23 @@ def _scores(items: Items, column: int, threshold: float, n_cols: int, names: lis
                 if not len(at):
                     continue
                 doc = np.searchsorted(first, at, "right") - 1
-                found = _passages(items, at, key, doc, first)
-                raw = align([items.words[i] for _, i, _, _ in found], [hashes[x:y] for _, _, x, y in found])
-                top: dict[tuple[int, int], float] = {}
-                for (d, i, _, _), s in zip(found, raw.tolist(), strict=True):
-                    top[d, i] = max(top.get((d, i), 0.0), s)
-                for (d, i), s in top.items():
-                    r, part = r0 + d, s / sizes[i]
-                    if part > score[r] or (part == score[r] and best[r] is not None and items.ids[i] is not None and items.ids[i] < best[r]):
-                        score[r], best[r] = part, items.ids[i]
-                    count[r] += part >= threshold and s >= min(LEAST, sizes[i])
+                for found in _found(items, at, key, doc, first, joined):
+                    raw = align([items.words[i] for _, i, _, _ in found], [hashes[x:y] for _, _, x, y in found])
+                    top: dict[tuple[int, int], float] = {}
+                    for (d, i, _, _), s in zip(found, raw.tolist(), strict=True):
+                        top[d, i] = max(top.get((d, i), 0.0), s)
+                    for (d, i), s in top.items():
+                        r, part = r0 + d, s / sizes[i]
+                        if part > score[r] or (part == score[r] and best[r] is not None and items.ids[i] is not None and items.ids[i] < best[r]):
+                            score[r], best[r] = part, items.ids[i]
+                        count[r] += part >= threshold and s >= min(LEAST, sizes[i])
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:n_cols], pa.array(count, pa.int64()), pa.array(best, pa.int64()), pa.array(score, pa.float64())], names=names)
     return run
 
 
 def scored(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-           seed: int = SEED, rare: float = RARE, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           seed: int = SEED, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES, joined: int = JOINED) -> DataFrame:
     """``docs`` with ``n_items`` (items found), ``best_item`` and ``best_score``; ``n_items > 0`` means contaminated.
 
     These replace input columns of the same names.
@@ -215,14 +201,6 @@ def scored(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col:
     for k in range(blocks):
         part = plain.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).orderBy("item", "text").collect()
         block = Items([r.item for r in part], [r.text for r in part], seed)
-        if not block.ids:
-            continue
-        frequency = np.zeros(len(block.keys), np.int64)
-        counted = (docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(_counts(block, block.keys, 0), "seed long, n long")
-                   .groupBy("seed").agg(F.sum("n").alias("n")))
-        for r in counted.toLocalIterator():
-            frequency[r.seed] = r.n
-        block.rare(frequency, rare)
-        if len(block.keys):
-            out = out.mapInArrow(_scores(block, at, threshold, len(cols), names), out.schema)
+        if block.ids:
+            out = out.mapInArrow(_scores(block, at, threshold, len(cols), names, joined), out.schema)
     return out

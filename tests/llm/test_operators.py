@@ -220,6 +220,21 @@ def test_decontamination(spark, docs):
         assert got[900].label == "mine"
 
 
+@pytest.mark.parametrize("joined", [decontaminate.JOINED, 5])
+def test_decontamination_finds_edited_copies_beside_an_exact_one(spark, joined):
+    rng = random.Random(14)
+    items = [(i, prose(rng, 40)) for i in range(3)]
+    words = items[1][1].split()
+    words[4::5] = ["other"] * 8  # four words in a row stay, eight times
+    rows = [(0, f"{prose(rng, 20)} {items[1][1]} {prose(rng, 20)}")]
+    rows += [(1 + i, f"{prose(rng, 20)} {' '.join(words)} {prose(rng, 20)}") for i in range(60)]
+    rows += [(100, f"{items[0][1]} {items[2][1]}"), (101, prose(rng, 60))]
+    table, bench = (spark.createDataFrame(x, f"{k} long, text string") for x, k in ((rows, "doc_id"), (items, "item_id")))
+    got = {r.doc_id: r for r in decontaminate.scored(table, bench, joined=joined).collect()}
+    assert [got[i].n_items for i in (100, 101)] == [2, 0] and got[0].best_score == 1.0
+    assert all((got[i].n_items, got[i].best_item) == (1, 1) and got[i].best_score >= 0.7 for i in range(1, 61))
+
+
 def test_decontamination_without_items(spark, docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.scored(docs, empty).where("n_items > 0").count() == 0
