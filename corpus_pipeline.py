@@ -32,7 +32,7 @@ def _restored(rows: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, without the lines that are too common at their host."""
-    rows = quality_rules.judged(_carried(docs, "doc_id", "text", "source")).where("kept")
+    rows = quality_rules.judged(_carried(docs, "doc_id", "text", "source"), line_most=quality_rules.LINE_MOST).where("kept")
     return _restored(rows.withColumn("text", quality_rules.without_lines(F.col("text"), F.col("common"))), docs, "doc_id", "text", "source")
 
 

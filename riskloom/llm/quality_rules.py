@@ -8,7 +8,9 @@ Line frequency: lines with a word are lower-cased, their spaces run together,
 and hashed. For each host, the documents that hold a line are counted. A line
 held by more than ``LINE_SHARE`` of the host's documents, and by more than
 ``LINE_DOCS``, is removed. A document that keeps less than ``KEEP_SHARE`` of its
-words is depleted and rejected.
+words is depleted and rejected. The share asks for more documents the larger the
+host is; the oracle SQL of ``op6`` has it so. With ``line_most``, as in the
+pipeline, a line held by more documents than that goes whatever its share.
 
 Native throughout. A row's windows are hashed and compared inside the row, so
 words aren't shuffled; only line hashes are, counted on the map side first. A
@@ -29,6 +31,7 @@ from riskloom.llm.packed import KEY, keys, text_of
 
 MIN_WORDS, REPEAT_SHARE, WINDOW = 20, 30, 8
 LINE_SHARE, LINE_DOCS, KEEP_SHARE = 0.1, 20, 0.3
+LINE_MOST = 1000  # documents of a host; for the pipeline
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "common", "kept")
 
 
@@ -73,7 +76,8 @@ def base_columns(text: Column) -> Column:
         ((c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > REPEAT_SHARE * c["n_words"])).alias("base_failed")))
 
 
-def common_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, line_share: float, line_docs: int) -> tuple[DataFrame, DataFrame]:
+def common_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, line_share: float, line_docs: int,
+                 line_most: int | None) -> tuple[DataFrame, DataFrame]:
     """Line rows (keys, host, hash, place, words) and the (host, hash) above the limits."""
     host = F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit(""))
     slim = docs.select(*keys(id_col, text_col), host.alias("__host"), text_of(text_col).alias("__text"))
@@ -82,17 +86,21 @@ def common_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, lin
         .select(*KEY, "__host", F.col("line.h").alias("h"), "place", F.col("line.w").alias("w")))
     hosts = slim.select(*KEY, "__host").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("docs"))
     held = rows.select(*KEY, "__host", "h").distinct().groupBy("__host", "h").agg(F.count(F.lit(1)).alias("n"))
-    common = held.where(F.col("n") > line_docs).join(hosts, "__host").where(F.col("n") > line_share * F.col("docs")).select("__host", "h")
+    enough = line_share * F.col("docs")
+    if line_most is not None:
+        enough = F.least(enough, F.lit(float(line_most)))
+    common = held.where(F.col("n") > line_docs).join(hosts, "__host").where(F.col("n") > enough).select("__host", "h")
     return rows, common
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-           line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, keep_share: float = KEEP_SHARE) -> DataFrame:
+           line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, keep_share: float = KEEP_SHARE,
+           line_most: int | None = None) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``n_common_words``, ``common`` (hashes of removed lines) and ``kept``.
 
     These replace input columns of the same names.
     """
-    rows, common = common_lines(docs, id_col, text_col, host_col, line_share, line_docs)
+    rows, common = common_lines(docs, id_col, text_col, host_col, line_share, line_docs, line_most)
     lost = (rows.join(common, ["__host", "h"]).groupBy(*KEY, "place").agg(F.first("h").alias("h"), F.first("w").alias("w"))
             .groupBy(*KEY).agg(F.sum("w").alias("__lost"), F.collect_set("h").alias("__common")))
     given = [c for c in docs.columns if c not in RESULTS]

@@ -34,6 +34,16 @@ def test_stages(spark, scratch):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, scratch).collect()) == ids["mix_sources"]
 
 
+def test_lines_of_a_few_percent_of_a_large_host_go(spark, scratch):
+    body = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(24)), lambda k: F.concat(F.lit("w"), F.col("doc_id"), F.lit("x"), k)), " ")
+    docs = spark.range(24_000).withColumnRenamed("id", "doc_id").withColumn("source", F.lit("large"))
+    line = F.when(F.col("doc_id") < 1100, "share this page\n").when(F.col("doc_id") < 2000, "kept line\n").otherwise("")
+    docs = docs.withColumn("text", F.concat(line, body))
+    got = corpus_pipeline.quality(spark, docs, scratch).cache()
+    assert got.count() == 24_000 and got.where("text like 'share%'").count() == 0
+    assert got.where("text like 'kept line%'").count() == 900
+
+
 def test_empty_corpus(spark, scratch):
     spark.createDataFrame([], DOC).write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
