@@ -1,9 +1,10 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Words are lower-cased runs of ASCII letters, digits and multi-byte
-   characters. All ``seed``-grams of the test items are seeds, however common:
-   those that survive in a widely copied edited version of an item are just the
-   ones that are found most often.
+   characters; each character of a script without spaces is a word. All
+   ``seed``-grams of the test items are seeds, however common: those that survive
+   in a widely copied edited version of an item are just the ones that are found
+   most often. A shorter item has one seed, all its words.
 2. Passages of a document that hold a seed are joined to the seed's items, and
    item and passage are aligned by words: ``MATCH`` for equal words,
    ``MISMATCH`` and ``GAP`` for edits. The score is the best local alignment
@@ -17,8 +18,9 @@ blocks by hash, and the documents pass through each block's search. A phrase
 that many items and documents share costs an alignment for each pair; what is
 held at once stays at about ``JOINED`` pairs of places.
 
-Null and empty texts hold no seed. An item of fewer words than a seed can't be
-found; neither can a null item. Repeated items count once each; of equal scores
+Null and empty texts hold no seed. An item of fewer words than a seed is found
+where all its words stand in order, be it one word. A null item or one without
+words can't be found. Repeated items count once each; of equal scores
 the least item id is named. Each row of documents gets its own result.
 """
 
@@ -44,6 +46,11 @@ def _table() -> np.ndarray:
     return tb.word_table(letters=True, digits=True)
 
 
+def _words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+    """Word hashes, and each text's first word index."""
+    return tb.words(data, offsets, table, tb.unspaced(data))[2:]
+
+
 class Items:
     """Test items of one block: word hashes, and which item has a seed where."""
 
@@ -52,10 +59,10 @@ class Items:
         self.ids, self.words, grams, owner, place = [], [], [], [], []
         for item, text in zip(ids, texts, strict=True):
             data = np.frombuffer((text or "").encode(), np.uint8)
-            _, _, hashes, first = tb.words(data, np.array([0, len(data)]), _table())
-            if len(hashes) < seed:
+            hashes, first = _words(data, np.array([0, len(data)]), _table())
+            if not len(hashes):
                 continue
-            found, whole = tb.ngrams(hashes, first, seed)
+            found, whole = tb.ngrams(hashes, first, min(seed, len(hashes)))
             k = len(self.ids)
             self.ids.append(item)
             self.words.append(hashes)
@@ -65,6 +72,7 @@ class Items:
         self.order(np.concatenate([np.zeros(0, np.uint64), *grams]), np.concatenate([np.zeros(0, np.int64), *owner]),
                    np.concatenate([np.zeros(0, np.int64), *place]))
         self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.lengths = np.unique(np.minimum(self.sizes, seed)).tolist()  # of seeds
 
     def order(self, grams, owner, place):
         by = np.argsort(grams, kind="stable")
@@ -75,13 +83,20 @@ class Items:
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[self.keys >> np.uint64(44)] = True
 
-    def hits(self, grams: np.ndarray, whole: np.ndarray):
-        """Places in ``grams`` that hold a seed, and the index of the seed's key."""
-        at = np.flatnonzero(self.sieve[(grams >> np.uint64(44)).astype(np.int64)] & whole)
-        key = np.searchsorted(self.keys, grams[at])
-        ok = key < len(self.keys)
-        ok[ok] = self.keys[key[ok]] == grams[at[ok]]
-        return at[ok], key[ok]
+    def hits(self, hashes: np.ndarray, first: np.ndarray):
+        """Places of words that begin a seed, in order, and the index of the seed's key."""
+        places, keys = [], []
+        for n in self.lengths:
+            grams, whole = tb.ngrams(hashes, first, n)
+            at = np.flatnonzero(self.sieve[(grams >> np.uint64(44)).astype(np.int64)] & whole)
+            key = np.searchsorted(self.keys, grams[at])
+            ok = key < len(self.keys)
+            ok[ok] = self.keys[key[ok]] == grams[at[ok]]
+            places.append(at[ok])
+            keys.append(key[ok])
+        at, key = np.concatenate(places), np.concatenate(keys)
+        by = np.argsort(at, kind="stable")
+        return at[by], key[by]
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
@@ -164,9 +179,8 @@ def _scores(items: Items, column: int, threshold: float, n_cols: int, names: lis
             best = b.column(n_cols + 1).to_pylist()
             score = b.column(n_cols + 2).to_numpy(zero_copy_only=False).copy()
             for r0, _, data, offsets in tb.chunks(b.column(column)):
-                _, _, hashes, first = tb.words(data, offsets, table)
-                grams, whole = tb.ngrams(hashes, first, items.seed)
-                at, key = items.hits(grams, whole)
+                hashes, first = _words(data, offsets, table)
+                at, key = items.hits(hashes, first)
                 if not len(at):
                     continue
                 doc = np.searchsorted(first, at, "right") - 1

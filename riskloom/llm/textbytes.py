@@ -15,6 +15,9 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
 SPACES = b" \t\n\x0b\x0c\r"
+#: Code points of scripts written without spaces: Thai, Lao, Tibetan; Myanmar; Khmer; kana; Han with its extensions.
+UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+            (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -102,8 +105,26 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["p"], _POWERS["q"]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
-    """Starts and ends of words, a 64-bit hash of each, and each text's first word index."""
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Places where a character of a script without spaces begins, and where the next one does."""
+    at = np.flatnonzero(data >= 0xE0)
+    if not len(at):
+        return at
+    lead, *more = (data[np.minimum(at + k, len(data) - 1)].astype(np.int64) & 63 for k in range(4))
+    long = data[at] >= 0xF0
+    point = np.where(long, (lead & 7) << 18 | more[0] << 12 | more[1] << 6 | more[2], (lead & 15) << 12 | more[0] << 6 | more[1])
+    alone = np.zeros(len(at), bool)
+    for low, high in UNSPACED:
+        alone |= (point >= low) & (point <= high)
+    at, size = at[alone], np.where(long[alone], 4, 3)
+    return np.concatenate([at, (at + size)[at + size < len(data)]])
+
+
+def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, cut: np.ndarray | None = None):
+    """Starts and ends of words, a 64-bit hash of each, and each text's first word index.
+
+    ``cut`` has places where a word ends and another begins, as of ``unspaced``.
+    """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
@@ -117,6 +138,9 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
     last[:-1] &= ~inside[1:]
     edge = offsets[1:][offsets[1:] > 0] - 1
     last[edge] = inside[edge]
+    if cut is not None and len(cut):
+        first[cut] = inside[cut]
+        last[:-1] |= inside[:-1] & first[1:]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     p, q = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)

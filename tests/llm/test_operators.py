@@ -235,6 +235,20 @@ def test_decontamination_finds_edited_copies_beside_an_exact_one(spark, joined):
     assert all((got[i].n_items, got[i].best_item) == (1, 1) and got[i].best_score >= 0.7 for i in range(1, 61))
 
 
+def test_decontamination_finds_short_items_and_scripts_without_spaces(spark):
+    rng = random.Random(15)
+    han, thai = ("".join(chr(rng.randrange(a, b)) for _ in range(30)) for a, b in ((0x4E00, 0x9FA5), (0xE01, 0xE2E)))
+    items = [(0, "Zwei Wörter"), (1, han), (2, thai), (3, "xylophone"), (4, "— !"), (5, "three words here"), (6, "𠀀𠀁")]
+    other = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(80))
+    rows = [(0, f"{prose(rng, 9)}, zwei wörter! {prose(rng, 9)}"), (1, f"{other}{han[:12]}{other[0]}{han[13:]}{other}"), (2, f"ก{thai}ข"),
+            (3, "Xylophone"), (4, "words three here zwei und wörter"), (5, other), (6, "three words"), (7, "前𠀀𠀁後"), (8, None), (9, "")]
+    table, bench = (spark.createDataFrame(x, f"{k} long, text string") for x, k in ((rows, "doc_id"), (items, "item_id")))
+    for block in (decontaminate.BLOCK_BYTES, 40):
+        got = {r.doc_id: (r.n_items, r.best_item) for r in decontaminate.scored(table, bench, block_bytes=block).collect()}
+        assert [got[i] for i in (0, 1, 2, 3, 7)] == [(1, 0), (1, 1), (1, 2), (1, 3), (1, 6)]
+        assert [got[i][0] for i in (4, 5, 6, 8, 9)] == [0] * 5
+
+
 def test_decontamination_without_items(spark, docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.scored(docs, empty).where("n_items > 0").count() == 0
