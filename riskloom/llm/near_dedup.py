@@ -383,7 +383,11 @@ def near_nodes(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, t
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                  bands: int = BANDS, rows: int = ROWS, split: int = SPLIT) -> DataFrame:
-    """``(__id, __tk, class_id, class_size, keep)`` for each row of ``docs``; ``keep`` marks a class's least id."""
+    """``(__id, __tk, class_id, class_size, keep)`` for each row of ``docs``.
+
+    ``keep`` marks a class's least id (null last), of several texts with that id
+    the one of the least hash; repeated rows of that text are all marked.
+    """
     nodes = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
     with scratch(docs.sparkSession) as keep:
         signed = stored(nodes.mapInArrow(_band_rows(bands, rows), "node long, bands array<long>")
@@ -391,8 +395,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         labels = near_nodes(signed, docs, id_col, text_col, threshold, split)
         rows_of = docs.select(*keys(id_col, text_col), F.col(f"`{id_col}`").cast("long").alias("__own"))
         placed = rows_of.join(labels, rows_of[TEXT_KEY] == labels["node"], "left").select(*KEY, "__own", F.coalesce("label", TEXT_KEY).alias("__label"))
-        classes = stored(placed.groupBy("__label").agg(F.min("__own").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
+        least = F.min(F.struct(F.isnull("__own").alias("none"), F.col("__own").alias("id"), F.col(TEXT_KEY).alias("text")))
+        classes = stored(placed.groupBy("__label").agg(least.alias("r"), F.count(F.lit(1)).alias("class_size"))
+                         .select("__label", F.col("r.id").alias("class_id"), F.col("r.text").alias("__first"), "class_size"), "classes")
         keep(labels)
         keep(classes)
     return (placed.join(classes, "__label")
-            .select(*KEY, F.col("__own").alias(id_col), "class_id", "class_size", F.col("__own").eqNullSafe(F.col("class_id")).alias("keep")))
+            .select(*KEY, F.col("__own").alias(id_col), "class_id", "class_size", (F.col("__own").eqNullSafe(F.col("class_id")) & (F.col(TEXT_KEY) == F.col("__first"))).alias("keep")))

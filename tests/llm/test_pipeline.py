@@ -44,6 +44,19 @@ def test_lines_of_a_few_percent_of_a_large_host_go(spark, scratch):
     assert got.where("text like 'kept line%'").count() == 900
 
 
+def test_one_of_each_class_stays_without_unique_ids(spark, scratch):
+    rng = random.Random(13)
+    base = [prose(rng, 150) for _ in range(4)]
+    near = [[b, f"{b} more", f"{b} more and"] for b in base]
+    rows = [(None, t) for t in near[0]] + [(7, t) for t in near[1]] + [(None, near[2][0]), (9, near[2][1]), (8, near[2][2])]
+    rows += [(7, near[3][0]), (7, near[3][0]), (None, near[3][1]), (20, prose(rng, 90)), (None, prose(rng, 90))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOC)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, scratch).collect()]
+    assert len(got) == 6 and set(got) <= set(rows)
+    assert [sum(t in group for _, t in got) for group in near] == [1] * 4
+    assert (8, near[2][2]) in got and (7, near[3][0]) in got
+
+
 def test_empty_corpus(spark, scratch):
     spark.createDataFrame([], DOC).write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
