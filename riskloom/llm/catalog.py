@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat_format, oracles, quality_crf, quality_rules, url_filter
+from riskloom.llm import chat_format, oracles, prefix_trie, quality_crf, quality_rules, url_filter
 from riskloom.llm.decontaminate import scored
 from riskloom.llm.language_id import predicted
 from riskloom.llm.mixing import mixed
 from riskloom.llm.near_dedup import near_classes
 from riskloom.llm.registry import ORACLE, QUERIES, query, table
+from riskloom.llm.shared import scratch, stored
 from riskloom.llm.suffix_dedup import cut_repeats
 from riskloom.llm.token_counts import histogram, lengths
 
@@ -92,6 +93,24 @@ def op10_language_id(spark, sf_dir):
     return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def conversation_trie(talks):
+    """Nodes of the trie of conversations that share the first turns of the conversation that begins their hundred."""
+    ident = F.col("conv_id")
+    with scratch(talks.sparkSession) as keep:
+        turns = stored(prefix_trie.numbered(talks), "numbered")
+        nodes, ends = prefix_trie.trie(*prefix_trie.rebuilt(turns, ident - F.pmod(ident, F.lit(100)), F.crc32(ident.cast("string")) % 6, 5))
+        keep(nodes)
+        keep(ends)
+    return (nodes.join(prefix_trie.digests(ends), ["k1", "k2"], "left")
+            .select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                    F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256")))
+
+
+@query("op12_prefix_trie")
+def op12_prefix_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries():
     return dict(QUERIES)
 
