@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat_format, oracles, prefix_trie, quality_crf, quality_rules, url_filter
+from riskloom.llm import chat_format, id_files, oracles, prefix_trie, quality_crf, quality_rules, url_filter
 from riskloom.llm.decontaminate import scored
 from riskloom.llm.language_id import predicted
 from riskloom.llm.mixing import mixed
 from riskloom.llm.near_dedup import near_classes
 from riskloom.llm.registry import ORACLE, QUERIES, query, table
-from riskloom.llm.shared import scratch, stored
+from riskloom.llm.shared import fresh, scratch, stored
 from riskloom.llm.suffix_dedup import cut_repeats
 from riskloom.llm.token_counts import histogram, lengths
 
@@ -93,6 +93,22 @@ def op10_language_id(spark, sf_dir):
     return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def encoded(docs):
+    """Documents as the files of their token ids have them."""
+    with scratch(docs.sparkSession) as keep:
+        path = fresh(docs.sparkSession, "token-ids")
+        id_files.write(docs, path)
+        rows = id_files.read(docs.sparkSession, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+        out = stored(id_files.with_starts(stored(rows, "encoded")), "encoded-starts")
+        keep(out)
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op11_token_ids")
+def op11_token_ids(spark, sf_dir):
+    return encoded(table(spark, sf_dir, "documents"))
+
+
 def conversation_trie(talks):
     """Nodes of the trie of conversations that share the first turns of the conversation that begins their hundred."""
     ident = F.col("conv_id")

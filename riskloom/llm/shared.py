@@ -34,14 +34,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder where nothing is; it goes with the enclosing ``scratch``."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under a fresh shared folder and read it again.
 
     Compressed columns, so cheaper on disk than a checkpoint of the same rows.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if (scope := _SCOPE.get()) is not None:
-        scope.append(path)
+    path = fresh(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.__dict__["stored_at"] = path
