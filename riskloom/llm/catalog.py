@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.llm import chat_format, id_files, oracles, prefix_trie, quality_crf, quality_rules, url_filter
+from riskloom.llm.alignment import aligned
 from riskloom.llm.decontaminate import scored
 from riskloom.llm.language_id import predicted
 from riskloom.llm.mixing import mixed
@@ -127,6 +128,11 @@ def op12_prefix_trie(spark, sf_dir):
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+@query("op13_alignment")
+def op13_alignment(spark, sf_dir):
+    return aligned(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return dict(QUERIES)
 
