@@ -54,6 +54,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing reads any more."""
+    _delete(df.sparkSession, df.__dict__["stored_at"])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
@@ -75,5 +85,4 @@ def scratch(spark: SparkSession):
         if (outer := _SCOPE.get()) is not None:
             outer.extend(kept)
         for path in set(mine) - set(kept):
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)

@@ -15,11 +15,14 @@ two, is removed at both. Strings are judged on the input texts.
    a depth of ``min_bytes`` or more, and breadth-first backward extension on the
    Burrows-Wheeler transform sets common prefix lengths by increasing value, up
    to ``min_bytes - 1``. Neighbours without a value share ``min_bytes`` bytes.
-4. Repeated windows go back to their documents, where their bytes are removed.
+4. A segment found again as a whole gives one run of bytes for each place; what
+   is repeated of one found once keeps its place. Runs are removed document by
+   document.
 
 A gram whose different segments exceed ``hot_bytes`` (one passage between ever
 different neighbours) can't be one block. Its windows are then grouped by a
-128-bit hash of each whole window, which splits the gram as far as needed.
+128-bit hash of each whole window, which splits the gram as far as needed;
+repeated windows next to each other become one run again.
 
 Null texts are empty. Rows that agree in id and text are repeats of each other;
 each row gets its result.
@@ -35,13 +38,14 @@ from pyspark.sql import types as T
 
 from riskloom.llm import textbytes as tb
 from riskloom.llm.packed import BLOB, ID, KEY, TEXT_KEY, keys, packed, text_of, unpack
-from riskloom.llm.shared import scratch, stored
+from riskloom.llm.shared import discard, scratch, stored
 
 GRAM = 32
 BLOCK = 1 << 19  # symbols of a block; ranks of 20 bits leave room for twice that
 HOT_BYTES = 1 << 19
 SEGMENT_SCHEMA = f"fp long, sg long, {ID} long, {TEXT_KEY} long, lo int, nw int"
-FLAG_SCHEMA = "fp long, sg long, a int, b int"
+PART_SCHEMA = f"fp long, sg long, {ID} long, {TEXT_KEY} long, lo int, one boolean, part binary"
+RUN_SCHEMA = f"{ID} long, {TEXT_KEY} long, a int, b int"
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, width: int):
@@ -206,41 +210,60 @@ def runs(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return offsets[np.r_[0, cut + 1]], offsets[np.r_[cut, len(offsets) - 1]] + 1
 
 
+def _part_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                      names=["fp", "sg", ID, TEXT_KEY, "lo", "one", "part"])
+
+
+def _slice_rows(width: int):
+    """Documents with the wanted segments to the rows of ``PART_SCHEMA``."""
+    def run(batches):
+        tb.lean()
+        for b in (x for whole in batches for x in tb.slices(whole, 2)):
+            rows, size = [], 0
+            for i, tk, blob, wanted in zip(*(b.column(k) for k in range(4)), strict=True):
+                text = unpack(blob.as_py())
+                for w in wanted.as_py():
+                    rows.append((w["fp"], w["sg"], i.as_py(), tk.as_py(), w["lo"], w["one"], text[w["lo"]: w["lo"] + w["nw"] + width - 1]))
+                    size += len(rows[-1][-1])
+                if size > 1 << 21:
+                    yield _part_batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _part_batch(rows)
+    return run
+
+
 def _block_rows(width: int, block: int):
-    """Rows (fp, sg, part), sorted by fp, to runs of repeated windows."""
+    """Parts, sorted by gram, to the runs of repeated bytes of those that are found once."""
     def solve(group):
-        fps, sgs, parts = zip(*group, strict=True)
         out = []
-        for fp, sg, off in zip(fps, sgs, repeated_starts(list(parts), width), strict=True):
-            if len(off):
+        for (_, _, i, tk, lo, one, _), off in zip(group, repeated_starts([g[-1] for g in group], width), strict=True):
+            if one and len(off):
                 a, b = runs(off)
-                out.append((np.full(len(a), fp), np.full(len(a), sg), a, b))
+                out.append((np.full(len(a), i), np.full(len(a), tk), a + lo, b + (lo + width - 1)))
         if not out:
             return None
         cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-             pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32))], names=["fp", "sg", "a", "b"])
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:2]], *[pa.array(c.astype(np.int32)) for c in cols[2:]]],
+                                          names=[ID, TEXT_KEY, "a", "b"])
 
     def run(batches):
         tb.lean()
         ready, size, gram, gram_size = [], 0, [], 0  # whole grams, and the one that may go on
-        known = set()
         for b in batches:
-            for fp, sg, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if gram and gram[0][0] != fp:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if gram and gram[0][0] != row[0]:
                     if size and size + gram_size > block:
                         if (out := solve(ready)) is not None:
                             yield out
                         ready, size = [], 0
                     ready += gram
                     size += gram_size
-                    gram, gram_size, known = [], 0, set()
-                if sg in known:  # a repeated row of documents
-                    continue
-                known.add(sg)
-                gram.append((fp, sg, part))
-                gram_size += len(part) + 1
+                    gram, gram_size = [], 0
+                gram.append(row)
+                gram_size += len(row[-1]) + 1
         if size and size + gram_size > block:
             if (out := solve(ready)) is not None:
                 yield out
@@ -251,46 +274,41 @@ def _block_rows(width: int, block: int):
     return run
 
 
-def _slice_rows(width: int):
-    """Documents with the wanted segments to rows (fp, sg, part)."""
-    def run(batches):
-        tb.lean()
-        for b in (x for whole in batches for x in tb.slices(whole, 0)):
-            fps, sgs, parts = [], [], []
-            size = 0
-            for blob, wanted in zip(b.column(0), b.column(1), strict=True):
-                text = unpack(blob.as_py())
-                for w in wanted.as_py():
-                    fps.append(w["fp"])
-                    sgs.append(w["sg"])
-                    parts.append(text[w["lo"]: w["lo"] + w["nw"] + width - 1])
-                    size += len(parts[-1])
-                if size > 1 << 21:
-                    yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sgs, pa.int64()), pa.array(parts, pa.binary())], names=["fp", "sg", "part"])
-                    fps, sgs, parts, size = [], [], [], 0
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sgs, pa.int64()), pa.array(parts, pa.binary())], names=["fp", "sg", "part"])
-    return run
-
-
 def _window_rows(width: int):
-    """Rows (fp, sg, part) to one row for each window: two hashes, and its place."""
+    """Parts to one row for each window: two hashes, and its place; null where the part is found again as a whole."""
     def run(batches):
+        tb.lean()
         for b in batches:
-            for fp, sg, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data = np.frombuffer(part, np.uint8)
+            ids, tks, los, ones = (b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
+            for r0, r1, data, offsets in tb.chunks(b.column(6)):
+                size = np.diff(offsets) - width + 1
+                at = np.arange(size.sum()) + np.repeat(offsets[:-1] - (np.cumsum(size) - size), size)
                 m = len(data)
                 p, q = tb.powers(m + 1)
                 hashes = []
                 for x in (data.astype(np.uint64) + np.uint64(1), tb.mix(data.astype(np.uint64) + np.uint64(7))):
                     total = np.zeros(m + 1, np.uint64)
                     np.cumsum(x * p[:m], out=total[1:])
-                    hashes.append(tb.mix((total[width:] - total[: m - width + 1]) * q[: m - width + 1]).view(np.int64))
-                k = m - width + 1
+                    hashes.append(tb.mix((total[at + width] - total[at]) * q[at]).view(np.int64))
+                row = np.repeat(np.arange(r0, r1), size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.full(k, fp), pa.int64()),
-                     pa.array(np.full(k, sg), pa.int64()), pa.array(np.arange(k, dtype=np.int32))],
-                    names=["h1", "h2", "fp", "sg", "a"])
+                    [pa.array(hashes[0]), pa.array(hashes[1]), pa.array(ids[row]), pa.array(tks[row]),
+                     pa.array((los[row] + at - offsets[:-1][row - r0]).astype(np.int32)), pa.array(ones[row])],
+                    names=["h1", "h2", ID, TEXT_KEY, "a", "one"])
+    return run
+
+
+def _run_rows(width: int):
+    """Windows of documents, sorted by place, to runs of bytes."""
+    def run(batches):
+        for b in batches:
+            ids, tks, at = (b.column(k).to_numpy() for k in range(3))
+            new = np.ones(len(at), bool)
+            new[1:] = (ids[1:] != ids[:-1]) | (tks[1:] != tks[:-1]) | (at[1:] != at[:-1] + 1)
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(at)) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(tks[first]), pa.array(at[first]), pa.array((at[last] + width).astype(np.int32))],
+                                             names=[ID, TEXT_KEY, "a", "b"])
     return run
 
 
@@ -302,29 +320,34 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # written, so that both sides of the join are plain exchanges, whose hot partitions Spark splits
     twice = stored(found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"), "grams")
     found = stored(found.join(twice, "fp"), "segments")
+    discard(twice)
 
     distinct = stored(found.groupBy("fp", "sg").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.struct(ID, TEXT_KEY, "lo", "nw")).alias("at")), "distinct-segments")
-    several = distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("at.nw") + min_bytes).alias("size")).where("k > 1")
-    wanted = (distinct.join(several, "fp")
-              .groupBy(F.col(f"at.{ID}").alias(ID), F.col(f"at.{TEXT_KEY}").alias(TEXT_KEY))
-              .agg(F.collect_list(F.struct("fp", "sg", "at.lo", "at.nw", (F.col("size") > hot_bytes).alias("hot"))).alias("wanted")))
+    # what is found again as a whole: a row for each place
+    copies = stored(found.join(distinct.where("c > 1").select("fp", "sg"), ["fp", "sg"], "left_semi")
+                    .select(*KEY, F.col("lo").alias("a"), (F.col("lo") + F.col("nw") + (min_bytes - 1)).alias("b")), "copies")
+    discard(found)
+    several = distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("at.nw") + min_bytes).alias("size"),
+                                         F.min("c").alias("least")).where("k > 1 and least = 1")
+    wanted = stored(distinct.join(several, "fp")
+                    .groupBy(F.col(f"at.{ID}").alias(ID), F.col(f"at.{TEXT_KEY}").alias(TEXT_KEY))
+                    .agg(F.collect_list(F.struct("fp", "sg", "at.lo", "at.nw", (F.col("c") == 1).alias("one"), (F.col("size") > hot_bytes).alias("hot"))).alias("wanted")), "wanted")
+    discard(distinct)
     blobs = packed(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), id_col, text_col).select(*KEY, BLOB)
-    parts = stored(blobs.join(wanted, KEY).select(BLOB, "wanted"), "parts")
+    parts = stored(blobs.join(wanted, KEY).dropDuplicates(KEY).select(*KEY, BLOB, "wanted"), "parts")
+    discard(wanted)
 
     def slices(hot: bool) -> DataFrame:
-        return (parts.select(BLOB, F.expr(f"filter(wanted, w -> w.hot = {str(hot).lower()})").alias("wanted"))
-                .where("size(wanted) > 0").mapInArrow(_slice_rows(min_bytes), "fp long, sg long, part binary"))
-
-    blocks = (slices(False).repartition("fp").sortWithinPartitions("fp")
-              .mapInArrow(_block_rows(min_bytes, block), FLAG_SCHEMA))
-    windows = slices(True).mapInArrow(_window_rows(min_bytes), "h1 long, h2 long, fp long, sg long, a int").distinct()
-    again = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    split = windows.join(again, ["h1", "h2"]).select("fp", "sg", "a", (F.col("a") + 1).alias("b"))
-    copies = distinct.where("c > 1").select("fp", "sg", F.lit(0).alias("a"), F.col("at.nw").alias("b"))
-    flags = blocks.unionByName(split).unionByName(copies)
-    return (found.join(flags, ["fp", "sg"])
-            .select(*KEY, (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b") + (min_bytes - 1)).alias("b")))
+        return (parts.select(*KEY, BLOB, F.expr(f"filter(wanted, w -> w.hot = {str(hot).lower()})").alias("wanted"))
+                .where("size(wanted) > 0").mapInArrow(_slice_rows(min_bytes), PART_SCHEMA))
+
+    blocks = slices(False).repartition("fp").sortWithinPartitions("fp").mapInArrow(_block_rows(min_bytes, block), RUN_SCHEMA)
+    windows = slices(True).mapInArrow(_window_rows(min_bytes), f"h1 long, h2 long, {ID} long, {TEXT_KEY} long, a int, one boolean")
+    again = stored(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"), "repeated-windows")
+    split = (windows.where("one").join(again, ["h1", "h2"], "left_semi").select(*KEY, "a")
+             .repartition(*KEY).sortWithinPartitions(*KEY, "a").mapInArrow(_run_rows(min_bytes), RUN_SCHEMA))
+    return blocks.unionByName(split).unionByName(copies)
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
