@@ -76,8 +76,8 @@ def auc_delong_ties(ties: DataFrame, group_cols: Sequence[str], *, z: float = Z9
     """DeLong AUC from a tie table ``(group.., score, pos, neg)`` (non-null scores)."""
     group_cols = list(group_cols)
     t = prefix_sums(ties, group_cols, "score", ["pos", "neg"], n_buckets=n_buckets)
-    P = F.col("pos_total").cast("double")
-    N = F.col("neg_total").cast("double")
+    P = F.nullif(F.col("pos_total"), F.lit(0)).cast("double")  # a group of one class has no rates
+    N = F.nullif(F.col("neg_total"), F.lit(0)).cast("double")
     a10 = (F.col("neg_below") + F.col("neg") / 2.0) / N
     a01 = (P - F.col("pos_below") - F.col("pos") + F.col("pos") / 2.0) / P
     per = t.select(*group_cols, "pos", "neg", "pos_total", "neg_total",
@@ -123,8 +123,8 @@ def roc_curve(df: DataFrame, group_cols: Sequence[str], score, label, *,
     fp = F.col("neg_total") - F.col("neg_below")
     return t.select(*group_cols, F.col("score").alias("threshold"),
                     tp.alias("tp"), fp.alias("fp"), F.col("pos_total"), F.col("neg_total"),
-                    r6(fp / F.col("neg_total")).alias("fpr"),
-                    r6(tp / F.col("pos_total")).alias("tpr"))
+                    r6(F.try_divide(fp, F.col("neg_total"))).alias("fpr"),
+                    r6(F.try_divide(tp, F.col("pos_total"))).alias("tpr"))
 
 
 def operating_points(roc: DataFrame, group_cols: Sequence[str]) -> DataFrame:
