@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
-from riskloom.llm.segments import ByteLevel, Kept, Pieces, segments
+from riskloom.llm.segments import ByteLevel, Kept, Pieces, for_worker
 from riskloom.llm.shared import scratch, stored
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -134,9 +134,8 @@ def align(data: np.ndarray, offsets: np.ndarray, kept_a: Kept, kept_b: Kept):
     n = len(offsets) - 1
     size = np.diff(offsets)
     counts, hashes = np.zeros((n, 4), np.int64), [""] * n
-    found, number, first = segments(data, offsets)
-    ids_a, first_a, back_a = kept_a.encode(found, number, first)
-    ids_b, first_b, back_b = kept_b.encode(found, number, first)
+    ids_a, first_a, back_a = kept_a.encode(data, offsets)
+    ids_b, first_b, back_b = kept_b.encode(data, offsets)
     good = (size > 1) & back_a & back_b
     none = np.zeros(0, np.int64)
     if not good.any():
@@ -173,7 +172,8 @@ def _block_rows(model_a: str, model_b: bytes, limit: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tb.lean()
-        kept_a, kept_b = Kept(ByteLevel(model_a, plain_specials=True)), Kept(Pieces(model_b))
+        kept_a = for_worker(f"plain_{hash(model_a)}", lambda: Kept(ByteLevel(model_a, plain_specials=True)))
+        kept_b = for_worker(f"pieces_{hash(model_b)}", lambda: Kept(Pieces(model_b)))
         number, part = 0, TaskContext.get().partitionId()
         ids, counts, hashes, docs, pairs, times, size = [], [], [], [], [], [], 0
 

@@ -38,13 +38,14 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
 from riskloom.llm.running import running
-from riskloom.llm.segments import ByteLevel, Kept, segments
+from riskloom.llm.segments import ByteLevel, Kept, for_worker
 from riskloom.llm.shared import stored
 
 MODEL = "byte_bpe_50k.json"
 END = 0
 IDS = 1 << 22  # ids of a file
 DOCS = 1 << 18
+CHUNK = 1 << 21  # bytes encoded at once
 SAMPLE = 256
 HEADER = "<4sBBHqqqqqqqq"
 CODE = "<qBxxxxxxxqq"
@@ -131,8 +132,8 @@ def _block_rows(model: str, end_id: int, size: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tb.lean()
         part = TaskContext.get().partitionId()
-        library = ByteLevel(model, plain_specials=False)
-        kept, width = Kept(library), 2 if len(library.table) <= 1 << 16 else 4
+        kept = for_worker(f"ids_{hash(model)}", lambda: Kept(ByteLevel(model, plain_specials=False)))
+        width = 2 if len(kept.library.table) <= 1 << 16 else 4
         doc_ids, counts, parts, held, number = [], [], [], 0, 0
 
         def flushed():
@@ -141,8 +142,8 @@ def _block_rows(model: str, end_id: int, size: int):
 
         for b in batches:
             of = b.column(0).to_pylist()
-            for r0, r1, data, offsets in tb.chunks(b.column(1)):
-                ids, first, _ = kept.encode(*segments(data, offsets))
+            for r0, r1, data, offsets in tb.chunks(b.column(1), CHUNK):
+                ids, first, _ = kept.encode(data, offsets)
                 count = np.diff(first)
                 out = np.full(len(ids) + r1 - r0, end_id, f"<u{width}")
                 out[np.arange(len(ids)) + np.repeat(np.arange(r1 - r0), count)] = ids

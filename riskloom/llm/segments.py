@@ -4,19 +4,23 @@ A segment is a run of spaces with what follows up to the next such run: a text
 is cut before a space that comes after anything but white space. Byte-level
 pre-tokenisation starts a new word at each such place, and no piece of the
 sentencepiece vocabulary goes on from a letter to a space (checked when it is
-loaded), so the ids of a text are those of its segments end to end. What a
-library gives for a segment is kept, up to ``KEEP`` segments.
+loaded), so the ids of a text are those of its segments end to end. Byte-level
+vocabularies also cut before a newline and before a punctuation mark after a letter. What a
+library gives for a segment is kept for the life of a Python worker, up to
+``KEEP`` segments.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
 
-KEEP = 500_000
+KEEP = 800_000
 AT_ONCE = 1 << 10  # bytes of segments encoded as one text; the library is slower on longer ones
 
 
@@ -30,19 +34,38 @@ def _cuts(before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
     return (before > 32) & (before != 127) & ~wide
 
 
-def segments(data: np.ndarray, offsets: np.ndarray):
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK[list(b",.;:!?")] = True
+
+
+def segments(data: np.ndarray, offsets: np.ndarray, fine: bool = False):
     """Distinct segments, each segment's number among them, and each text's first segment.
 
     ``offsets`` has the texts' first bytes and the end. An empty text has no segment.
+    ``fine``: also cut before newlines and marks.
     """
     n = len(data)
     cut = np.zeros(n + 1, bool)
-    cut[1:n] = (data[1:] == 32) & _cuts(data[:-1], np.concatenate([[0], data[:-2]]).astype(np.uint8)[: n - 1])
+    if n > 1:
+        inner, before = data[1:], data[:-1]
+        gap = (inner == 32) | (inner == 10) if fine else inner == 32
+        cut[1:n] = gap & _cuts(before, np.concatenate([data[:1], data[:-2]]))
+        if fine:
+            cut[1:n] |= _MARK[inner] & _LETTER[before]
     cut[offsets] = True
     at = np.flatnonzero(cut)
     whole = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
     found = whole.dictionary_encode()
-    return found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(at, offsets)
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(at, offsets)
+
+
+def for_worker(name: str, make):
+    """One ``make()`` for each Python worker, which Spark uses again for other tasks."""
+    held = sys.modules.setdefault("_riskloom_worker", types.ModuleType("_riskloom_worker"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
 
 
 class ByteLevel:
@@ -58,6 +81,8 @@ class ByteLevel:
         hidden = [b for b in range(256) if b not in set(shown)]
         byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
         added = self.library.get_added_tokens_decoder()
+        # special tokens that a finer cut would part
+        self.fine = plain_specials or not any(re.search("[A-Za-z][,.;:!?]|\n", t.content) for t in added.values())
         self.table = [b""] * self.library.get_vocab_size(True)
         for token, i in self.library.get_vocab(True).items():
             self.table[i] = token.encode() if i in added else bytes(byte[c] for c in token)
@@ -69,6 +94,8 @@ class ByteLevel:
 class Pieces:
     """A sentencepiece model with byte fallback, for texts that begin with a space of its own adding."""
 
+    fine = False
+
     def __init__(self, model: bytes):
         import sentencepiece
 
@@ -95,7 +122,7 @@ class Kept:
 
     def _clear(self):
         self.known: dict[bytes, int] = {}
-        self.flat, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.flat, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.exact = np.zeros(0, bool)
 
     def _learn(self, new: list[bytes]) -> None:
@@ -105,7 +132,7 @@ class Kept:
         last = np.frombuffer(b"".join([b"\0" + s if len(s) == 1 else s[-2:] for s in new]), np.uint8)
         whole = _cuts(last[1::2], last[::2]).tolist()
         for s, ends in zip(new, whole, strict=True):
-            if s[:1] != b" " or not ends:
+            if s[:1] not in (b" ", b"\n") or not ends:
                 one.append(s)
                 continue
             joined.append(s)
@@ -124,13 +151,13 @@ class Kept:
             got = [ids for ids, ok in zip(got, true, strict=True) if ok]
         if groups:
             group = [s for g in groups for s in g]
-            ids = np.fromiter(itertools.chain.from_iterable(got), np.int64)
+            ids = np.fromiter(itertools.chain.from_iterable(got), np.int32)
             stop = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(np.array(list(map(len, group))))) + 1
             self._add(group, ids, np.diff(stop, prepend=0), np.ones(len(group), bool))
         one += again
         got = self.library.encode([s.decode() for s in one])
         same = [b"".join([table[i] for i in ids]) == s for s, ids in zip(one, got, strict=True)]
-        self._add(one, np.array([i for ids in got for i in ids], np.int64), np.fromiter(map(len, got), np.int64, len(got)), np.array(same, bool))
+        self._add(one, np.array([i for ids in got for i in ids], np.int32), np.fromiter(map(len, got), np.int64, len(got)), np.array(same, bool))
 
     def _add(self, group: list[bytes], ids: np.ndarray, count: np.ndarray, same: np.ndarray) -> None:
         self.known.update(zip(group, range(len(self.known), len(self.known) + len(group)), strict=True))
@@ -150,12 +177,13 @@ class Kept:
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(self.count))])
         return np.array(list(map(self.known.__getitem__, found)), np.int64)
 
-    def encode(self, found: list[bytes], number: np.ndarray, first: np.ndarray):
-        """Ids of texts given as ``segments`` gives them, each text's first id, and whether its bytes come back."""
+    def encode(self, data: np.ndarray, offsets: np.ndarray):
+        """Ids of texts laid end to end, each text's first id, and whether its bytes come back."""
+        found, number, first = segments(data, offsets, self.library.fine)
         at = self.look_up(found)[number]
         start, count = self.first[at], self.first[at + 1] - self.first[at]
         stop = np.cumsum(count)
-        ids = self.flat[np.arange(stop[-1] if len(stop) else 0) + np.repeat(start - (stop - count), count)]
+        ids = self.flat[np.arange(stop[-1] if len(stop) else 0) + np.repeat(start - (stop - count), count)].astype(np.int64)
         total = np.concatenate([[0], stop])
         wrong = np.concatenate([[0], np.cumsum(~self.exact[at])])
         return ids, total[first], wrong[first[1:]] == wrong[first[:-1]]

@@ -10,7 +10,7 @@ import pytest
 from riskloom.llm import catalog, id_files, segments
 
 SCHEMA = "doc_id long, text string, start string, ids string"
-BITS = [" ", "  ", "\n", "\t", "a", "the", "don't", "'s", ",", "!", "é", "ß", "日本", " ", " ", "　", "\u0085", "▁", "<|endoftext|>", "</s>",
+BITS = [" ", "  ", "\n", "\nNew", "end.", ";x", "\t", "a", "the", "don't", "'s", ",", "!", "é", "ß", "日本", " ", " ", "　", "\u0085", "▁", "<|endoftext|>", "</s>",
         "<0x41>", "23", "😀", "\x00", "é", "\r\n", "ａ"]
 
 
@@ -58,7 +58,7 @@ def test_segments_give_the_ids_of_whole_texts(tokenizer):
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         kept = segments.Kept(segments.ByteLevel(f.read(), plain_specials=False))
     given = texts(3, 3000)
-    ids, first, back = kept.encode(*segments.segments(*laid(given)))
+    ids, first, back = kept.encode(*laid(given))
     assert back.all()
     assert [ids[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] == [e.ids for e in tokenizer.encode_batch(given, add_special_tokens=False)]
 
