@@ -53,29 +53,27 @@ def tie_table_with_missing(df: DataFrame, group_cols: Sequence[str], score, labe
         F.sum(1 - F.col("_y")).cast("long").alias("neg"))
 
 
-def tie_prefix(df: DataFrame, group_cols: Sequence[str], score, label, *,
-               n_buckets: int | None = None) -> DataFrame:
+def tie_prefix(df: DataFrame, group_cols: Sequence[str], score, label) -> DataFrame:
     """Tie table plus ``pos_below, neg_below, pos_total, neg_total``."""
     t = tie_table(df, group_cols, score, label)
-    return prefix_sums(t, group_cols, "score", ["pos", "neg"], n_buckets=n_buckets)
+    return prefix_sums(t, group_cols, "score", ["pos", "neg"])
 
 
 def auc_delong(df: DataFrame, group_cols: Sequence[str], score, label, *, z: float = Z95,
-               n_buckets: int | None = None, round_digits: bool = True) -> DataFrame:
+               round_digits: bool = True) -> DataFrame:
     """Per group: n, n_pos, auc, var, ci_lo, ci_hi (DeLong), exact with ties = 1/2.
 
     Groups with fewer than 2 positives or 2 negatives get a null variance and
     interval (the caller falls back to the bootstrap).
     """
-    return auc_delong_ties(tie_table(df, group_cols, score, label), group_cols, z=z,
-                           n_buckets=n_buckets, round_digits=round_digits)
+    return auc_delong_ties(tie_table(df, group_cols, score, label), group_cols, z=z, round_digits=round_digits)
 
 
 def auc_delong_ties(ties: DataFrame, group_cols: Sequence[str], *, z: float = Z95,
-                    n_buckets: int | None = None, round_digits: bool = True) -> DataFrame:
+                    round_digits: bool = True) -> DataFrame:
     """DeLong AUC from a tie table ``(group.., score, pos, neg)`` (non-null scores)."""
     group_cols = list(group_cols)
-    t = prefix_sums(ties, group_cols, "score", ["pos", "neg"], n_buckets=n_buckets)
+    t = prefix_sums(ties, group_cols, "score", ["pos", "neg"])
     P = F.nullif(F.col("pos_total"), F.lit(0)).cast("double")  # a group of one class has no rates
     N = F.nullif(F.col("neg_total"), F.lit(0)).cast("double")
     a10 = (F.col("neg_below") + F.col("neg") / 2.0) / N
@@ -112,13 +110,12 @@ def auc_exact(df: DataFrame, group_cols: Sequence[str], score, label, **kw) -> D
     return auc_delong(df, group_cols, score, label, **kw).select(*group_cols, "n", "n_pos", "auc")
 
 
-def roc_curve(df: DataFrame, group_cols: Sequence[str], score, label, *,
-              n_buckets: int | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, group_cols: Sequence[str], score, label) -> DataFrame:
     """(group.., threshold, tp, fp, fpr, tpr) at every distinct score.
 
     Positive call = score >= threshold; tp/fp are the reverse prefix sums.
     """
-    t = tie_prefix(df, group_cols, score, label, n_buckets=n_buckets)
+    t = tie_prefix(df, group_cols, score, label)
     tp = F.col("pos_total") - F.col("pos_below")
     fp = F.col("neg_total") - F.col("neg_below")
     return t.select(*group_cols, F.col("score").alias("threshold"),

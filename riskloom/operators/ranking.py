@@ -4,18 +4,18 @@
 label) funnels the data through one task. Every ordered computation here is
 two-level instead:
 
-1. derive a *monotone bucket* from the order key — top bits of a keyed hash,
-   or, for a score, its binary exponent plus top mantissa bits (an exact
-   log-scaled histogram computed arithmetically, no sampling pass);
-2. count per (group, bucket) — a tiny table, at most groups x B rows;
-3. exclusive prefix over buckets in that tiny table (one task per group over
-   <= B rows, bounded by the parameter, not the data);
-4. join the offsets back and finish with a window partitioned by
-   (group, bucket), so the big shuffle is spread over groups x B tasks.
-
-The join in step 4 shuffles on (group, bucket), which is exactly the window's
-partitioning, so the window adds no exchange of its own (or AQE broadcasts
-the offsets at run time when they are small).
+1. derive a *monotone bucket* from the order key: top bits of a keyed hash, or
+   for any number the quantile range it falls into (``QUANTILES`` cut points of one
+   mergeable sketch over all rows), cut again into ``PARTS`` even parts;
+2. sum per (group, bucket), combined map-side: at most groups x buckets rows
+   cross the network;
+3. exclusive prefix over the buckets in that small table (one task per group,
+   bounded by the buckets, not by the data);
+4. join the offsets back and finish with a window partitioned by (group, bucket).
+
+The sketch only says where to cut: ranks and sums are exact whatever it says. Groups
+are compared as one struct, so null groups join by plain equality, and the
+window uses the join's partitioning: each row crosses the network once.
 """
 
 from __future__ import annotations
@@ -27,13 +27,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import HASH_BITS
 
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Equi-join on ``keys`` treating null == null (strata may be null)."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
+QUANTILES, PARTS, ACCURACY = 256, 64, 4096
+_STEP = 16  # cut points of a first search
 
 
 def hash_rank(df: DataFrame, by: Sequence[str], hash_col: str, tiebreak: Sequence[str],
@@ -43,83 +38,57 @@ def hash_rank(df: DataFrame, by: Sequence[str], hash_col: str, tiebreak: Sequenc
     The hash is uniform on [0, 2**32), so its top ``bucket_bits`` bits give
     balanced buckets with no sampling pass.
     """
-    by = list(by)
-    shift = HASH_BITS - bucket_bits
-    x = df.withColumn("_hb", F.shiftright(F.col(hash_col), shift))
-    counts = x.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_bc"))
-    wb = Window.partitionBy(*by).orderBy("_hb")
-    offsets = counts.select(
-        *by, "_hb",
-        (F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bc")).alias("_off"),
-        F.sum("_bc").over(Window.partitionBy(*by)).alias(size_col))
-    j = _null_safe_join(x, offsets, by + ["_hb"])
-    w = Window.partitionBy(*by, "_hb").orderBy(F.col(hash_col), *[F.col(t) for t in tiebreak])
-    return (j.withColumn(rank_col, F.col("_off") + F.row_number().over(w))
-             .drop("_hb", "_off"))
-
-
-def monotone_bucket(c, mantissa_bits: int = 12) -> Column:
-    """Integer bucket that never decreases as the double ``c`` increases.
-
-    Log-scaled histogram computed arithmetically: binary exponent e (exact,
-    corrected after ``log2``) and the top ``mantissa_bits`` bits of the
-    mantissa, i.e. 2**bits buckets per octave; negatives mirror positives.
-    No sampling pass, no join, identical on every retry. Ties are aggregated
-    before ranking, so a bucket holds only distinct values within a relative
-    width of 2**-bits.
-    """
-    x = (F.col(c) if isinstance(c, str) else c).cast("double")
-    a = F.abs(x)
-    e0 = F.floor(F.log2(a))
-    p = F.pow(F.lit(2.0), e0)
-    e = F.when(a < p, e0 - 1).when(a >= p * 2.0, e0 + 1).otherwise(e0)
-    m = a / F.pow(F.lit(2.0), e)
-    scale = float(1 << mantissa_bits)
-    pos = (e + 1100) * int(scale) + F.floor((m - 1.0) * scale)
-    big = F.lit(1 << 40)
-    return (F.when(x == 0.0, F.lit(0).cast("long"))
-             .when(a == float("inf"), F.when(x > 0, big).otherwise(-big))
-             .when(x > 0, pos).otherwise(-pos)).cast("long")
-
-
-def prefix_sums(df: DataFrame, by: Sequence[str], order_col: str, value_cols: Sequence[str], *,
-                n_buckets: int | None = None, mantissa_bits: int = 12) -> DataFrame:
-    """For rows unique in (by, order_col): sums of ``value_cols`` over rows with a
-    smaller order key (``<v>_below``) and over the whole group (``<v>_total``).
+    x = df.withColumn("_by", F.struct(*by, F.lit(0).alias("_0"))).withColumn("_hb", F.shiftright(F.col(hash_col), HASH_BITS - bucket_bits))
+    counts = x.groupBy("_by", "_hb").agg(F.count(F.lit(1)).alias("_bc"))
+    below = Window.partitionBy("_by").orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = counts.select("_by", "_hb", (F.sum("_bc").over(below) - F.col("_bc")).alias("_off"),
+                            F.sum("_bc").over(Window.partitionBy("_by")).alias(size_col))
+    w = Window.partitionBy("_by", "_hb").orderBy(F.col(hash_col), *[F.col(t) for t in tiebreak])
+    return (x.join(offsets, ["_by", "_hb"]).withColumn(rank_col, F.col("_off") + F.row_number().over(w))
+             .select(*df.columns, rank_col, size_col))
 
-    Plan shape: one exchange of the input on (by, bucket); the in-bucket
-    running sums are a window over it, and the bucket totals are an aggregate
-    over the *same* partitioning (no second shuffle, no second read of the
-    input). Only the bucket table — bounded by occupied buckets — is shuffled
-    again for the cross-bucket offsets and joined back.
+
+def with_range_bucket(df: DataFrame, c: str, out: str) -> DataFrame:
+    """``df`` with a bucket that never decreases as the number ``c`` increases, about as many rows in each.
+
+    The cut points are a scalar subquery: one row of ``QUANTILES + 1`` numbers. Between two
+    of them the range is cut evenly. Only nulls and NaN have no place and go last.
     """
-    by = list(by)
-    x = df.withColumn("_qb", monotone_bucket(order_col, mantissa_bits))
-    x = x.repartition(*[F.col(c) for c in by], F.col("_qb"))
-    w_in = (Window.partitionBy(*by, "_qb").orderBy(F.col(order_col))
-            .rowsBetween(Window.unboundedPreceding, -1))
-    w_bucket = Window.partitionBy(*by, "_qb")
-    xw = x.select(*x.columns,
-                  *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"_in_{v}") for v in value_cols],
-                  *[F.sum(v).over(w_bucket).alias(f"_bt_{v}") for v in value_cols])
-    bt = xw.groupBy(*by, "_qb").agg(*[F.max(f"_bt_{v}").alias(f"_bt_{v}") for v in value_cols])
-    wb = Window.partitionBy(*by).orderBy("_qb").rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*by)
-    offsets = bt.select(*by, "_qb", *[
-        (F.sum(f"_bt_{v}").over(wb) - F.col(f"_bt_{v}")).alias(f"_off_{v}") for v in value_cols
-    ], *[F.sum(f"_bt_{v}").over(wall).alias(f"{v}_total") for v in value_cols])
-    j = _null_safe_join(xw, offsets, by + ["_qb"])
-    out = j.select(*[c for c in x.columns if c != "_qb"],
-                   *[(F.col(f"_off_{v}") + F.col(f"_in_{v}")).alias(f"{v}_below") for v in value_cols],
-                   *[f"{v}_total" for v in value_cols])
-    return out
+    x = F.col(c).cast("double")
+    shares = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
+    points = df.agg(F.percentile_approx(F.when(~F.isnan(x), x), shares, F.lit(ACCURACY)).alias("_rb_cuts")).scalar()
+    cuts = F.col("_rb_cuts")  # a column, as a lambda may not hold a subquery
+    some = F.array(*[F.try_element_at(cuts, F.lit(i)) for i in range(_STEP, QUANTILES, _STEP)])
+    coarse = F.size(F.filter(some, lambda p: p <= x)) * _STEP
+    q = F.col("_rb_q")
+    low, high = F.try_element_at(cuts, q), F.try_element_at(cuts, q + 1)
+    part = F.floor(F.try_divide(x - low, high - low) * PARTS)
+    inside = F.when((q >= 1) & (high > low) & (high - low < float("inf")), F.greatest(F.lit(0), F.least(part, F.lit(PARTS - 1)))).otherwise(0)
+    bucket = F.when(x.isNull() | F.isnan(x), F.lit((QUANTILES + 2) * PARTS)).otherwise(q * PARTS + F.coalesce(inside, F.lit(0)))
+    found = df.withColumn("_rb_cuts", F.coalesce(points, F.array(F.lit(0.0)))).withColumn("_rb_c", coarse)
+    found = found.withColumn("_rb_q", F.col("_rb_c") + F.size(F.filter(F.slice(cuts, F.col("_rb_c") + 1, _STEP), lambda p: p <= x)))
+    return found.withColumn(out, bucket.cast("long")).drop("_rb_cuts", "_rb_c", "_rb_q")
+
+
+def prefix_sums(df: DataFrame, by: Sequence[str], order_col: str, value_cols: Sequence[str]) -> DataFrame:
+    """For rows unique in (by, order_col): sums of ``value_cols`` over rows with a
+    smaller order key (``<v>_below``) and over the whole group (``<v>_total``)."""
+    x = with_range_bucket(df, order_col, "_qb").withColumn("_by", F.struct(*by, F.lit(0).alias("_0")))
+    totals = x.groupBy("_by", "_qb").agg(*[F.sum(v).alias(f"_bt_{v}") for v in value_cols])
+    below = Window.partitionBy("_by").orderBy("_qb").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("_by")
+    offsets = totals.select("_by", "_qb", *[(F.sum(f"_bt_{v}").over(below) - F.col(f"_bt_{v}")).alias(f"_off_{v}") for v in value_cols],
+                            *[F.sum(f"_bt_{v}").over(whole).alias(f"{v}_total") for v in value_cols])
+    inside = Window.partitionBy("_by", "_qb").orderBy(F.col(order_col)).rowsBetween(Window.unboundedPreceding, -1)
+    return x.join(offsets, ["_by", "_qb"]).select(
+        *df.columns, *[(F.col(f"_off_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_below") for v in value_cols],
+        *[f"{v}_total" for v in value_cols])
 
 
 def order_rank(df: DataFrame, by: Sequence[str], order_col: str, *, rank_col: str = "_rank",
-               size_col: str = "_n", n_buckets: int = 1024) -> DataFrame:
+               size_col: str = "_n") -> DataFrame:
     """1-based rank by a unique order key within ``by``, distributed."""
-    x = df.withColumn("_one", F.lit(1).cast("long"))
-    out = prefix_sums(x, by, order_col, ["_one"])
+    out = prefix_sums(df.withColumn("_one", F.lit(1).cast("long")), by, order_col, ["_one"])
     return (out.withColumn(rank_col, F.col("_one_below") + 1)
                .withColumnRenamed("_one_total", size_col)
                .drop("_one", "_one_below"))

@@ -8,7 +8,7 @@ window), and stratum sizes come from the same pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import keyed_hash
@@ -65,21 +65,37 @@ def kfold_stratified(df: DataFrame, key: str, label: str, k: int = 5, *, seed: i
     return r.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_h", "_rank", "_n")
 
 
-def kfold_stratified_group(df: DataFrame, group: str, label: str, k: int = 5, *,
+def kfold_stratified_group(df: DataFrame, group: str, label: str, k: int = 5, *, key: str | None = None,
                            seed: int = SPLIT_SEED, purpose: str = "group_kfold",
                            out: str = "fold") -> DataFrame:
-    """Folds where a group never straddles folds and positive groups are spread evenly.
-
-    Groups are summarised (map-side combined), stratified by whether they hold
-    any positive, hash-ranked within the stratum and dealt round-robin. Rows
-    without a group are kept, in fold 0.
+    """Folds where a group never straddles folds, balanced in positives and rows.
+
+    Groups are summarised (map-side combined), ordered by positives, then rows, both
+    descending, then hash, and dealt in snake order (0 1 2 2 1 0 ..). So no two
+    folds differ by more positives than twice the largest group's, nor, among groups of equally many positives,
+    by more rows than twice the largest of them. The place of a group is the
+    number of groups in larger size classes, from a table of the classes, and its
+    hash rank in its own class. A row without a group is a group of its own: such rows are
+    dealt out by label (in order of the hash of ``key``, else of all columns).
     """
-    g = (df.where(F.col(group).isNotNull()).groupBy(group)
-           .agg(F.max(F.col(label).cast("int")).alias("_any_pos")))
-    g = g.withColumn("_h", keyed_hash(group, seed=seed, purpose=purpose))
-    r = hash_rank(g, ["_any_pos"], "_h", [group])
-    gf = r.select(group, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias(out))
-    return df.join(gf, group, "left").fillna({out: 0})
+    known = df.where(F.col(group).isNotNull())
+    g = known.groupBy(group).agg(F.sum(F.col(label).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_rows"))
+    g = g.withColumn("_pos", F.coalesce("_pos", F.lit(0))).withColumn("_h", keyed_hash(group, seed=seed, purpose=purpose))
+    larger = Window.orderBy(F.desc("_pos"), F.desc("_rows")).rowsBetween(Window.unboundedPreceding, -1)
+    classes = g.groupBy("_pos", "_rows").agg(F.count(F.lit(1)).alias("_groups"))
+    classes = classes.select("_pos", "_rows", F.coalesce(F.sum("_groups").over(larger), F.lit(0)).alias("_before"))
+    r = hash_rank(g, ["_pos", "_rows"], "_h", [group]).join(classes, ["_pos", "_rows"])
+    place = F.col("_before") + F.col("_rank") - 1
+    turn = F.pmod(place, F.lit(k))
+    gf = r.select(group, F.when(F.floor(place / k) % 2 == 0, turn).otherwise(k - 1 - turn).cast("int").alias(out))
+    alone = df.where(F.col(group).isNull())
+    if key is None:
+        h = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 32))
+        alone = hash_rank(alone.withColumn("_h", h), [label], "_h", [])
+    else:
+        alone = hash_rank(alone.withColumn("_h", keyed_hash(key, seed=seed, purpose=purpose)), [label], "_h", [key])
+    alone = alone.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int"))
+    return known.join(gf, group).select(*df.columns, out).unionByName(alone.select(*df.columns, out))
 
 
 def sample_stratified_n(df: DataFrame, key: str, label: str, n_rows: int, *,

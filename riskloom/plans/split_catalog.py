@@ -73,13 +73,18 @@ def q_kfold_stratified(spark, sf):
     return S.kfold_stratified(c, "row_id", "y_30d", 5).select("row_id", "y_30d", "fold")
 
 
-@query("kfold_stratified_group", f"""with g as (select user_id, max(case when event_type = 'purchase' then 1 else 0 end) as _any_pos
-  from events where user_id is not null group by user_id),
-gf as (select user_id, cast((row_number() over (partition by _any_pos order by {_GH.replace("group_split", "group_kfold")}, user_id) - 1) % 5 as int) as fold from g)
-select e.event_id, e.user_id, gf.fold from events e join gf on e.user_id = gf.user_id""")
+_GK = _GH.replace("group_split", "group_kfold")
+
+
+@query("kfold_stratified_group", f"""with e as (select event_id, user_id, case when event_type = 'purchase' then 1 else 0 end as y from events),
+g as (select user_id, sum(y) as pos, count(*) as n from e where user_id is not null group by user_id),
+r as (select user_id, row_number() over (order by pos desc, n desc, {_GK}, user_id) - 1 as place from g),
+gf as (select user_id, case when (place // 5) % 2 = 0 then place % 5 else 4 - place % 5 end as fold from r),
+alone as (select event_id, user_id, (row_number() over (partition by y order by {_GK.replace("user_id", "event_id")}, event_id) - 1) % 5 as fold from e where user_id is null)
+select e.event_id, e.user_id, cast(gf.fold as int) as fold from e join gf on e.user_id = gf.user_id union all select event_id, user_id, cast(fold as int) from alone""")
 def q_kfold_stratified_group(spark, sf):
     ev = read_table(spark, sf, "events").select("event_id", "user_id", (F.col("event_type") == "purchase").cast("int").alias("y"))
-    return S.kfold_stratified_group(ev, "user_id", "y", 5).select("event_id", "user_id", "fold")
+    return S.kfold_stratified_group(ev, "user_id", "y", 5, key="event_id").select("event_id", "user_id", "fold")
 
 
 def _sample_sql(src_cte: str, key: str, label: str, n_rows: int, keep_all: bool) -> str:

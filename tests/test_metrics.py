@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import metrics as M
-from riskloom.operators.ranking import monotone_bucket, order_rank
+from riskloom.operators.ranking import hash_rank, order_rank, prefix_sums, with_range_bucket
 
 Z = 1.959963984540054
 
@@ -67,13 +67,49 @@ def test_roc_endpoints(spark):
     assert all(a.tpr >= b.tpr and a.fpr >= b.fpr for a, b in zip(roc, roc[1:]))
 
 
-def test_monotone_bucket(spark):
+@pytest.mark.parametrize("kind", ["wide", "ids", "steep", "ties"])
+def test_range_buckets_rise_and_fill(spark, kind):
     rng = np.random.default_rng(3)
-    vals = list(rng.normal(scale=1e3, size=3000)) + [0.0, -0.0, 5e-324, 1e308, -1e308, float("inf"), float("-inf"),
-                                                     1.0, 2.0, 0.5, 4.0 - 1e-15]
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double").withColumn("b", monotone_bucket("v"))
-    rows = sorted(df.collect(), key=lambda r: r.v)
-    assert all(a.b <= b.b for a, b in zip(rows, rows[1:]))
+    vals = {"wide": list(rng.normal(scale=1e3, size=3000)) + [0.0, -0.0, 5e-324, 1e308, -1e308, float("inf"), float("-inf"), 4.0 - 1e-15],
+            "ids": list(10 ** 12 + np.arange(6000.0)), "steep": list(np.exp(rng.normal(scale=30, size=6000))),
+            "ties": [0.5] * 3000 + list(rng.random(3000))}[kind]
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    rows = sorted(with_range_bucket(df, "v", "b").collect(), key=lambda r: r.v)
+    assert all(a.b <= b.b for a, b in zip(rows, rows[1:], strict=False))
+    apart = {}
+    for r in rows:
+        apart.setdefault(r.b, set()).add(r.v)
+    assert max(map(len, apart.values())) <= 6000 / 256 * 2 and len(apart) > 1000
+
+
+def test_range_buckets_of_nothing_and_of_nulls(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (1.0,)], "v double")
+    got = {str(r.v): r.b for r in with_range_bucket(df, "v", "b").collect()}
+    assert got["None"] == got["nan"] > got["1.0"]
+    none = df.where("v = 7")
+    assert order_rank(none, [], "v").count() == 0
+
+
+def test_rows_cross_the_network_once(spark):
+    """With broadcasts off, ranking exchanges the rows once; the rest are partial sums."""
+    rows = [(i, None if i % 7 == 0 else i % 3, (i * 7919) % 4093 / 7.0, (i * 2654435761) % 2 ** 32) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, g int, v double, h long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (hash_rank(df, ["g"], "h", ["id"]), prefix_sums(df.withColumn("n", F.lit(1)), ["g"], "v", ["n"])):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            lines = plan.splitlines()
+            whole = [b for a, b in zip(lines, lines[1:], strict=False) if "Exchange hashpartitioning" in a and "id#" in b]
+            assert len(whole) == 1  # every other exchange carries sums of buckets
+        ranks = {}
+        for r in hash_rank(df, ["g"], "h", ["id"]).collect():
+            ranks.setdefault(r.g, []).append((r.h, r.id, r._rank, r._n))
+        for of in ranks.values():
+            assert [x[2] for x in sorted(of)] == list(range(1, len(of) + 1)) and {x[3] for x in of} == {len(of)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_order_rank_is_dense_and_partition_independent(spark):

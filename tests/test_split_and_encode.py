@@ -1,5 +1,6 @@
 """Split / fold / sample properties and target-encoding semantics."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -85,3 +86,35 @@ def test_first_per_entity_hot_key(spark):
     assert got == want
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_group_folds_are_balanced(spark):
+    rng = np.random.default_rng(11)
+    rows, at = [], 0
+    for g in range(300):
+        size, rate = int(rng.pareto(1.2) * 3) + 1, rng.random() < 0.3
+        size = min(size, 400)
+        for _ in range(size):
+            rows.append((at, g, int(rate and rng.random() < 0.5)))
+            at += 1
+    rows += [(at + i, None, i % 4 == 0) for i in range(200)]
+    df = spark.createDataFrame([(a, b, int(c)) for a, b, c in rows], "id long, g long, y int")
+    for key in ("id", None):
+        got = S.kfold_stratified_group(df, "g", "y", 5, key=key).collect()
+        assert len(got) == len(rows)
+        fold = {}
+        for r in got:
+            if r.g is not None:
+                assert fold.setdefault(r.g, r.fold) == r.fold
+        alone = [sum(r.fold == f for r in got if r.g is None) for f in range(5)]
+        assert max(alone) - min(alone) <= 2  # one for each label
+        by_group = {}
+        for _, g, y in rows:
+            if g is not None:
+                n, p = by_group.get(g, (0, 0))
+                by_group[g] = (n + 1, p + y)
+        pos = [sum(by_group[g][1] for g, f in fold.items() if f == k) for k in range(5)]
+        assert max(pos) - min(pos) <= 2 * max(p for _, p in by_group.values())
+        for some in {p for _, p in by_group.values()}:
+            of = [sum(by_group[g][0] for g, f in fold.items() if f == k and by_group[g][1] == some) for k in range(5)]
+            assert max(of) - min(of) <= 2 * max(n for n, p in by_group.values() if p == some)
