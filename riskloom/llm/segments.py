@@ -20,7 +20,7 @@ import types
 import numpy as np
 import pyarrow as pa
 
-KEEP = 800_000
+KEEP = 500_000
 AT_ONCE = 1 << 10  # bytes of segments encoded as one text; the library is slower on longer ones
 
 
