@@ -19,6 +19,7 @@ from riskloom.functions.vocab import (ACTIVE_DRUGS, ADMISSION_SOURCE_BUCKETS, AG
 from riskloom.operators.cohort import normalize_col
 from riskloom.operators.lookup import lookup
 
+# fixed values: the study's feature columns
 BASE_NUMERIC = ("age_midpoint", "time_in_hospital", "num_lab_procedures", "num_procedures",
                 "num_medications", "number_outpatient", "number_emergency", "number_inpatient",
                 "number_diagnoses")
@@ -53,14 +54,32 @@ def with_diag_buckets(df: DataFrame) -> DataFrame:
     return df
 
 
-def features_base(cohort: DataFrame) -> DataFrame:
-    """Pre-vector base features: 9 numerics (double) + categoricals (string, '?' for null)."""
+# fixed value: the codes of many levels that are target-encoded
+TE_COLUMNS = ("diag_1", "diag_2", "diag_3", "medical_specialty", "payer_code")
+DRUGS = tuple(drug_col(d) for d in DRUG_COLUMNS)
+NATIVE_CATEGORICAL = (*BASE_CATEGORICAL, "diag_1", "diag_2", "diag_3", *DRUGS)
+LOW_CATEGORICAL = tuple(c for c in (*BASE_CATEGORICAL, *DRUGS) if c not in TE_COLUMNS)
+DIAG_BUCKETS = ("diag_1_bucket", "diag_2_bucket", "diag_3_bucket")
+
+
+def features_base(cohort: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Pre-vector base features: 9 numerics (double) + categoricals (string, '?' for null).
+    ``keep`` carries extra columns (e.g. a split) through unchanged."""
     x = cohort.withColumn("age_midpoint", lookup("age", AGE_MIDPOINTS).cast("double"))
     x = with_diag_buckets(x)
-    cats = list(BASE_CATEGORICAL) + [drug_col(d) for d in DRUG_COLUMNS] + \
-        ["diag_1_bucket", "diag_2_bucket", "diag_3_bucket"]
-    return x.select("row_id", "y_30d", *[F.col(c).cast("double").alias(c) for c in BASE_NUMERIC],
-                    *[F.coalesce(F.col(c).cast("string"), F.lit("?")).alias(c) for c in cats])
+    return _numbers_and_codes(x, BASE_NUMERIC, (*BASE_CATEGORICAL, *DRUGS, *DIAG_BUCKETS), keep)
+
+
+def _numbers_and_codes(x: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    return x.select("row_id", "y_30d", *keep, *[F.col(c).cast("double").alias(c) for c in numeric],
+                    *[F.coalesce(F.col(c).cast("string"), F.lit("?")).alias(c) for c in categorical])
+
+
+def features_native_cat(cohort: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Pre-vector features for trees on raw codes: base numerics, and every categorical with the
+    diagnosis codes themselves instead of their buckets (string, '?' for null)."""
+    x = cohort.withColumn("age_midpoint", lookup("age", AGE_MIDPOINTS).cast("double"))
+    return _numbers_and_codes(x, BASE_NUMERIC, NATIVE_CATEGORICAL, keep)
 
 
 def features_slim(cohort: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -128,22 +147,18 @@ def assemble_features(*frames: DataFrame, key: str = "row_id") -> DataFrame:
     return out
 
 
-TE_COLUMNS = ("diag_1", "diag_2", "diag_3", "medical_specialty", "payer_code")
-
-
 def features_te(split_cohort: DataFrame, k: int = 5, cols: Sequence[str] = TE_COLUMNS,
                 label: str = "y_30d", smoothing: float = 20.0) -> DataFrame:
-    """Slim numerics + target-encoded high-cardinality raw codes.
+    """Base numerics + low-cardinality categoricals + target-encoded high-cardinality raw codes.
 
     Train rows get out-of-fold encodings (folds stratified by label, prior =
     mean over all train); val/test rows use the table learned on all train.
     """
     from riskloom.operators.encode import target_encode_many
     from riskloom.operators.split import kfold_stratified
-    base = features_slim(split_cohort.drop("split")).select("row_id", *SLIM_NUMERIC)
+    x = split_cohort.withColumn("age_midpoint", lookup("age", AGE_MIDPOINTS).cast("double"))
+    base = _numbers_and_codes(x, BASE_NUMERIC, LOW_CATEGORICAL, ("split",))
     raw = split_cohort.select("row_id", label, "split", *cols)
     train = kfold_stratified(raw.where(F.col("split") == "train"), "row_id", label, k)
     rest = raw.where(F.col("split") != "train")
-    enc = target_encode_many(train, rest, cols, label, "fold", s=smoothing)
-    enc = enc.join(raw.select("row_id", "split"), "row_id")
-    return base.join(enc, "row_id")
+    return base.join(target_encode_many(train, rest, cols, label, "fold", s=smoothing), "row_id")

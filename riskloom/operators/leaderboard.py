@@ -8,7 +8,7 @@ instead of a self-join that would emit all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,11 +67,54 @@ def axis_matrix(runs: DataFrame, axis: str, target: str, metric: str = "metric_v
                                               (F.col("best") == F.col("_cb")).alias("is_winner"))
 
 
-def section_winner(cells: DataFrame, axis: str, target: str, metric: str = "best") -> DataFrame:
-    """Per target: the axis value with the max metric; ties -> first in axis order."""
-    return cells.groupBy(target).agg(
+# fixed values: axis names taken as the target where none is declared, in this order
+TARGET_NAMES = ("target", "gene", "pathogen", "disease", "label", "task")
+
+
+def target_axes(axes: Mapping[str, Sequence[str]], declared: str | Sequence[str] | None = None) -> list[str | None]:
+    """Declared target axes that exist; else the first usual name that does; else none (one column of best values)."""
+    if isinstance(declared, str):
+        found = [declared] if declared in axes else []
+    else:
+        found = [t for t in declared or () if t in axes]
+    if declared is None or isinstance(declared, str) and not found:
+        found = [t for t in TARGET_NAMES if t in axes][:1]
+    return found or [None]
+
+
+def axis_sections(runs: DataFrame, axes: Mapping[str, Sequence[str]], target_axis: str | Sequence[str] | None = None, *,
+                  axes_col: str = "axes", metric: str = "metric_value") -> DataFrame:
+    """All matrices of a session in one job: for every target axis, each other axis is a section, each
+    of its declared values a row, each declared target value a column.
+
+    ``runs`` has its axis values in the map ``axes_col``; ``axes`` declares names and values in
+    order (configuration, not data). A cell is the best metric of the complete runs with both values, whatever
+    their other axes say; a declared cell without one is ``deferred``. A target of a single value, or none, has one column over
+    all runs (``target_value`` null). Best cells of a section's column are winners, ties included.
+    """
+    spark = runs.sparkSession
+    targets = target_axes(axes, target_axis)
+    grid = [(t or "", v, a, i, x, j) for t in targets for v in (axes[t] if t and len(axes[t]) > 1 else [None])
+            for i, (a, of) in enumerate((a, of) for a, of in axes.items() if a != t) for j, x in enumerate(of)]
+    declared = spark.createDataFrame(grid, "target_axis string, target_value string, axis string, axis_pos int, value string, value_pos int")
+    done = runs.where((F.col("status") == "complete") & F.col(metric).isNotNull())
+    columns = F.array(*[F.struct(F.lit(t or "").alias("target_axis"), (F.col(axes_col)[t] if t and len(axes[t]) > 1 else F.lit(None).cast("string")).alias("target_value"))
+                        for t in targets])
+    x = done.select(axes_col, metric, F.explode(columns).alias("t")).select("t.*", metric, F.explode(axes_col).alias("axis", "value"))
+    best = x.groupBy("target_axis", "target_value", "axis", "value").agg(F.max(metric).alias("best"))
+    same = [declared[c].eqNullSafe(best[c]) for c in ("target_axis", "target_value", "axis", "value")]
+    cells = declared.join(best, same, "left").select(*[declared[c] for c in declared.columns], best["best"])
+    column = Window.partitionBy("target_axis", "target_value", "axis")  # as many rows as an axis has declared values
+    return cells.select("*", F.when(F.col("best").isNull(), "deferred").otherwise("complete").alias("status"),
+                        F.coalesce(F.col("best") == F.max("best").over(column), F.lit(False)).alias("is_winner"))
+
+
+def section_winner(cells: DataFrame, axis: str, target: str, metric: str = "best", position: str | Column | None = None) -> DataFrame:
+    """Per target: the axis value with the max metric; ties -> first in axis order, which ``position`` gives (else by name)."""
+    place = F.col(axis) if position is None else F.col(position) if isinstance(position, str) else position
+    return cells.where(F.col(metric).isNotNull()).groupBy(target).agg(
         F.min_by(F.struct(F.col(axis).alias("winner"), F.col(metric).alias("best")),
-                 F.struct((-F.col(metric)).alias("m"), F.col(axis).alias("a"))).alias("w")).select(target, "w.*")
+                 F.struct((-F.col(metric)).alias("m"), place.alias("a"))).alias("w")).select(target, "w.*")
 
 
 def phase_cohort_matrix(runs: DataFrame, phase: str, cohort: str, seq: str,

@@ -19,6 +19,7 @@ _MODULES = (
     "riskloom.plans.model_catalog",
     "riskloom.plans.model_extra_catalog",
     "riskloom.plans.streaming_catalog",
+    "riskloom.plans.source_catalog",
 )
 
 for _m in _MODULES:

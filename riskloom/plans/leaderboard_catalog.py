@@ -60,11 +60,44 @@ def q_axis_matrix(spark, sf):
     return LB.axis_matrix(runs_df(spark, sf), "phase", "cohort")
 
 
-@query("section_winner", _RUNS + _CELLS + """select cohort, phase as winner, best from (
-  select *, row_number() over (partition by cohort order by best desc, phase) as rn from cell) x where rn = 1""")
+# declared in the order in which they were tried, not by name
+_PHASES = ("STANDARD", "SMALL", "MEDIUM", "LARGE", "ECONOMY", "PROMO")
+_AXES = {"tier": ("low", "mid", "high", "top"), "phase": _PHASES, "parity": ("even", "odd")}
+
+
+def _place(column: str, values) -> str:
+    return f"case {column} " + " ".join(f"when '{v}' then {i}" for i, v in enumerate(values)) + " end"
+
+
+@query("section_winner", _RUNS + _CELLS + f"""select cohort, phase as winner, best from (
+  select *, row_number() over (partition by cohort order by best desc, {_place('phase', _PHASES)}) as rn from cell) x where rn = 1""")
 def q_section_winner(spark, sf):
     cells = LB.axis_matrix(runs_df(spark, sf), "phase", "cohort")
-    return LB.section_winner(cells, "phase", "cohort")
+    return LB.section_winner(cells, "phase", "cohort", position=F.expr(_place("phase", _PHASES)))
+
+
+_TIER = "case when seq % 7 = 0 then 'low' when seq % 7 < 4 then 'mid' else 'high' end"
+_PARITY = "case when seq % 2 = 0 then 'even' else 'odd' end"
+
+
+def _sections_sql(targets) -> str:
+    """Every cell of the declared grid by a scalar subquery over the complete runs."""
+    grid = [(t, v, a, i, x, j) for t in targets for v in _AXES[t] for i, (a, of) in enumerate((a, of) for a, of in _AXES.items() if a != t) for j, x in enumerate(of)]
+    rows = ", ".join(repr(g) for g in grid)
+    of = "case {} " + " ".join(f"when '{a}' then r.{a}" for a in _AXES) + " end"
+    return _RUNS + f""", ax as (select id, metric_value, {_TIER} as tier, phase, {_PARITY} as parity from rr where status = 'complete' and metric_value is not null),
+g as (select * from (values {rows}) v(target_axis, target_value, axis, axis_pos, value, value_pos)),
+c as (select g.*, (select max(r.metric_value) from ax r where {of.format('g.target_axis')} = g.target_value and {of.format('g.axis')} = g.value) as best from g)
+select *, case when best is null then 'deferred' else 'complete' end as status,
+  coalesce(best = max(best) over (partition by target_axis, target_value, axis), false) as is_winner from c"""
+
+
+@query("axis_sections", _sections_sql(["phase", "parity"]))
+def q_axis_sections(spark, sf):
+    """Two target axes, each over the other axes; no run has the tier 'top', so its cells are deferred."""
+    r = runs_df(spark, sf)
+    axes = F.create_map(F.lit("tier"), F.expr(_TIER), F.lit("phase"), F.col("phase"), F.lit("parity"), F.expr(_PARITY))
+    return LB.axis_sections(r.withColumn("axes", axes), _AXES, ["phase", "parity", "no such axis"])
 
 
 @query("phase_cohort_matrix", _RUNS + """select phase, cohort, metric_value from (

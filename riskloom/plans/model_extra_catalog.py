@@ -1,5 +1,4 @@
-"""Catalogued queries: feature assembly / scaling / target-encoded features (oracle-checked)
-and recipe runs (rows-only)."""
+"""Catalogued queries: feature assembly, scaling, target-encoded and raw-code features, recipe runs."""
 
 from __future__ import annotations
 
@@ -7,12 +6,11 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import sql_keyed_hash
 from riskloom.functions.stats import r6 as sr6
-from riskloom.operators import cohort as C
 from riskloom.operators import features as FE
-from riskloom.operators import split as S
-from riskloom.plans import models as MD
+from riskloom.plans import search as SE
 from riskloom.plans.cohort_catalog import _COHORT, cohort_df
 from riskloom.plans.feature_catalog import _slim_base_sql
+from riskloom.plans.model_catalog import _TEST_SQL, split_cohort
 from riskloom.plans.registry import query, r6
 from riskloom.plans.split_catalog import _VR, _strat_sql
 from riskloom.sources.fixtures import cte
@@ -50,7 +48,7 @@ def _features_te_sql() -> str:
              f", tr as (select *, cast((row_number() over (partition by y_30d order by {h}, row_id) - 1) % 5 as int) as fold "
              "from raw where split = 'train')",
              ", g as (select avg(y_30d * 1.0e0) as g from tr)",
-             f", slim as ({_slim_base_sql('cohort')})"]
+             f", base as ({_slim_base_sql('cohort')})"]
     sel_tr, sel_rs, joins_tr, joins_rs = [], [], [], []
     for c in cols:
         parts.append(f", pf_{c} as (select {c} as k, fold, count(*) as cf, sum(y_30d * 1.0e0) as sf from tr where {c} is not null group by {c}, fold)"
@@ -62,50 +60,51 @@ def _features_te_sql() -> str:
         sel_rs.append(r6(f"coalesce((full_{c}.s + g.g * 20.0e0) / (full_{c}.n + 20.0e0), g.g)") + f" as {c}_te")
     enc = (f", enc as (select tr.row_id, tr.split, {', '.join(sel_tr)} from tr cross join g {' '.join(joins_tr)} "
            f"union all select r.row_id, r.split, {', '.join(sel_rs)} from raw r cross join g {' '.join(joins_rs)} where r.split <> 'train')")
-    nums = ", ".join(r6(f"cast(slim.{c} as double)") + f" as {c}" for c in FE.SLIM_NUMERIC)
-    return ("".join(parts) + enc + f"\nselect enc.row_id, {nums}, enc.split, "
-            + ", ".join(f"enc.{c}_te" for c in cols) + " from enc join slim on enc.row_id = slim.encounter_id")
-
-
-def te_frame(spark, sf):
-    coh = cohort_df(spark, sf)
-    sp = S.split_stratified(coh, "row_id", "y_30d")
-    return FE.features_te(sp)
+    nums = ", ".join(r6(f"cast(base.{c} as double)") + f" as {c}" for c in FE.BASE_NUMERIC)
+    low = ", ".join(f"coalesce(cast(base.{c} as varchar), '?') as {c}" for c in FE.LOW_CATEGORICAL)
+    return ("".join(parts) + enc + f"\nselect enc.row_id, {nums}, {low}, enc.split, "
+            + ", ".join(f"enc.{c}_te" for c in cols) + " from enc join base on enc.row_id = base.encounter_id")
 
 
 @query("features_te", _features_te_sql())
 def q_features_te(spark, sf):
-    t = te_frame(spark, sf)
+    t = FE.features_te(split_cohort(spark, sf))
     te = [f"{c}_te" for c in FE.TE_COLUMNS]
-    return t.select("row_id", *[sr6(c).alias(c) for c in FE.SLIM_NUMERIC], "split", *[sr6(c).alias(c) for c in te])
+    return t.select("row_id", *[sr6(c).alias(c) for c in FE.BASE_NUMERIC], *FE.LOW_CATEGORICAL, "split", *[sr6(c).alias(c) for c in te])
+
+
+@query("features_native_cat", _BASE + f", base as ({_slim_base_sql('cohort')})\nselect encounter_id as row_id, y_30d, "
+       + ", ".join(r6(f"cast({c} as double)") + f" as {c}" for c in FE.BASE_NUMERIC) + ", "
+       + ", ".join(f"coalesce(cast({c} as varchar), '?') as {c}" for c in FE.NATIVE_CATEGORICAL) + " from base")
+def q_features_native_cat(spark, sf):
+    x = FE.features_native_cat(cohort_df(spark, sf))
+    return x.select(*[sr6(c).alias(c) if c in FE.BASE_NUMERIC else c for c in x.columns])
 
 
-def _slim_split(spark, sf):
-    slim = FE.features_slim(C.cohort_mask(cohort_df(spark, sf)))
-    return S.split_stratified(slim, "row_id", "y_30d")
+def _config_sql(*names: str) -> str:
+    return _TEST_SQL + " union all ".join(f"select '{n}' as config, n as n_test, n_pos, true as auc_valid, true as scored_all from t" for n in names)
 
 
-@query("fit_mlp")
-def q_fit_mlp(spark, sf):
-    s = _slim_split(spark, sf)
-    train = MD.prepare(s.where("split = 'train'"), balanced=False)
-    m = MD.fit_mlp(train, list(FE.SLIM_NUMERIC), list(FE.SLIM_CATEGORICAL), hidden=(16,))
-    from riskloom.operators.metrics import auc_delong
-    return auc_delong(MD.predict_proba(m, s.where("split = 'test'"), model_name="mlp_16"), ["model"], "p", "y")
+def _ran(spark, sf, names):
+    """Facts of each recipe's run, and its metrics row."""
+    cohort = split_cohort(spark, sf)
+    out = []
+    for name in names:
+        row, pred = SE.run_config(name, cohort)
+        out.append(row.select("config", "n_test", "n_pos", (F.col("auc").between(0.0, 1.0) & (F.col("runtime_sec") > 0)).alias("auc_valid"),
+                              F.lit(pred.count() == row.first()["n_test"]).alias("scored_all"), "auc"))
+    return out
 
 
-@query("run_config")
+@query("run_config", _config_sql("logreg_l2_bucketed"))
 def q_run_config(spark, sf):
-    return MD.run_config("logreg_l2_bucketed", _slim_split(spark, sf))
+    return _ran(spark, sf, ["logreg_l2_bucketed"])[0].drop("auc")
 
 
-@query("encoding_ablation")
+@query("encoding_ablation", "select *, config <> 'logreg_l2_base' as compared from (" + _config_sql("logreg_l2_base", "logreg_target_enc") + ") x")
 def q_encoding_ablation(spark, sf):
-    """Same learner, bucketed vs target-encoded codes; AUC of each and the difference."""
-    a = MD.run_config("logreg_l2_bucketed", _slim_split(spark, sf))
-    slim = FE.features_slim(cohort_df(spark, sf))
-    te = te_frame(spark, sf).drop(*FE.SLIM_NUMERIC).join(slim.select("row_id", "y_30d", *FE.SLIM_NUMERIC), "row_id")
-    b = MD.run_config("logreg_l2_target_enc", te)
-    both = a.unionByName(b)
-    base_auc = a.select("auc").scalar()
-    return both.select("config", "auc", (F.col("auc") - base_auc).alias("delta_vs_bucketed"))
+    """The same learner on the same rows: codes in buckets against target-encoded codes, with the difference in AUC."""
+    base, encoded = _ran(spark, sf, ["logreg_l2_base", "logreg_target_enc"])
+    delta = F.col("auc") - F.lit(base.first()["auc"])
+    both = base.unionByName(encoded).withColumn("delta", F.when(F.col("config") != "logreg_l2_base", delta))
+    return both.select("config", "n_test", "n_pos", "auc_valid", "scored_all", F.coalesce(F.col("delta").between(-1.0, 1.0), F.lit(False)).alias("compared"))

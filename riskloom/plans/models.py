@@ -1,20 +1,20 @@
-"""Model jobs on pyspark.ml: feature pipeline, fits, grid selection, scoring,
-coefficients, round-trip verification, cohort-shift evaluation.
+"""Model jobs on pyspark.ml: feature pipelines, estimators, scoring, coefficients,
+round-trip verification. Searches and recipes are in ``plans.search``.
 
-Fits are distributed (``pyspark.ml``); the driver only loops over a small
-parameter grid and reads bounded metadata (feature names, coefficients).
-Evaluation uses the exact tie-group AUC/DeLong from ``operators.metrics``.
+Fits are distributed (``pyspark.ml``); the driver reads bounded metadata only
+(levels, feature names, coefficients). Evaluation uses the exact tie-group
+AUC/DeLong from ``operators.metrics``.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,46 +23,69 @@ from riskloom.operators import encode as EN
 from riskloom.operators import metrics as M
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str], *, scale: bool = True,
-                   out: str = "features") -> list:
-    """Index + one-hot (lexicographically first level dropped, unseen levels
-    kept in an extra slot) + assemble (+ divide by std, no centring)."""
-    idx = [f"{c}__idx" for c in categorical]
-    ohe = [f"{c}__ohe" for c in categorical]
-    stages = [
-        StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
-                      stringOrderType="alphabetDesc"),
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
-        VectorAssembler(inputCols=list(numeric) + ohe, outputCol="_raw" if scale else out,
-                        handleInvalid="keep"),
-    ]
+def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *, scale: bool = True,
+                 out: str = "features") -> PipelineModel:
+    """Index + one-hot + assemble (+ divide by std, no centring), fitted on ``train``.
+
+    The lexicographically first level of each column is dropped, and a level unseen in
+    training is all zeros like it. Levels (bounded by the vocabulary) reach the driver.
+    """
+    idx, ohe = [f"{c}__idx" for c in categorical], [f"{c}__ohe" for c in categorical]
+    stages, sizes = [], []
+    if categorical:
+        # descending, so that the first level is last; unseen levels get one index more, which one-hot drops
+        index = StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetDesc").fit(train)
+        sizes = [len(x) for x in index.labelsArray]
+        stages += [index, OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error").fit(index.transform(train.limit(1)))]
+    stages.append(VectorAssembler(inputCols=list(numeric) + ohe, outputCol="_all", handleInvalid="keep"))
+    at, slots = len(numeric), list(range(len(numeric)))
+    for n in sizes:
+        slots += range(at, at + n - 1)
+        at += n
+    stages.append(VectorSlicer(inputCol="_all", outputCol="_raw" if scale else out, indices=slots))
     if scale:
-        stages.append(StandardScaler(inputCol="_raw", outputCol=out, withMean=False, withStd=True))
-    return stages
+        raw = PipelineModel(stages).transform(train)
+        stages.append(StandardScaler(inputCol="_raw", outputCol=out, withMean=False, withStd=True).fit(raw))
+    return PipelineModel(stages)
+
+
+def fit_native(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> PipelineModel:
+    """Codes as nominal attributes, which trees split as categories; an unseen level is a level of its own."""
+    idx = [f"{c}__idx" for c in categorical]
+    index = StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc").fit(train)
+    return PipelineModel([index, VectorAssembler(inputCols=list(numeric) + idx, outputCol=out, handleInvalid="keep")])
+
+
+def bins_needed(feats: PipelineModel) -> int:
+    """Tree bins that hold every level of the nominal columns, the unseen one too."""
+    return max([64] + [len(x) + 1 for s in feats.stages if hasattr(s, "labelsArray") for x in s.labelsArray])
 
 
 def logreg(n: int, C: float = 1.0, penalty: str = "l2", weight_col: str | None = "weight"):
     """sklearn-style C -> Spark regParam = 1 / (C * sum(w)); balanced weights give sum(w) = n."""
     reg = 1.0 / (C * max(n, 1))
     kw = dict(featuresCol="features", labelCol="label", regParam=reg,
-              elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False, maxIter=100)
+              elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False, maxIter=400)
     if weight_col:
         kw["weightCol"] = weight_col
     return LogisticRegression(**kw)
 
 
-def gbt(max_depth: int = 4, n_iter: int = 100, lr: float = 0.1, subsample: float = 0.8,
-        validation_col: str | None = None, weight_col: str | None = None, seed: int = 42):
+def gbt(max_depth: int = 4, n_iter: int = 300, lr: float = 0.1, subsample: float = 0.85,
+        validation_col: str | None = None, weight_col: str | None = None, seed: int = 42, bins: int = 64,
+        tol: float = 0.01):
+    """Boosted trees; with ``validation_col`` (true for validation rows) boosting stops once
+    the validation error no longer falls by ``tol`` of itself."""
     kw = dict(featuresCol="features", labelCol="label", maxDepth=max_depth, maxIter=n_iter, stepSize=lr,
-              subsamplingRate=subsample, seed=seed, maxBins=64)
+              subsamplingRate=subsample, seed=seed, maxBins=bins, cacheNodeIds=True, maxMemoryInMB=512)
     if validation_col:
-        kw["validationIndicatorCol"] = validation_col
+        kw |= {"validationIndicatorCol": validation_col, "validationTol": tol}
     if weight_col:
         kw["weightCol"] = weight_col
     return GBTClassifier(**kw)
 
 
-def mlp(n_features: int, hidden: Sequence[int] = (32,), seed: int = 42, max_iter: int = 100):
+def mlp(n_features: int, hidden: Sequence[int] = (64, 32), seed: int = 42, max_iter: int = 60):
     return MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
                                           layers=[n_features, *hidden, 2], seed=seed, maxIter=max_iter)
 
@@ -80,7 +103,8 @@ def fit(train: DataFrame, numeric, categorical, estimator) -> PipelineModel:
     of the fit (recomputable from lineage if an executor is lost) and released."""
     t = train.persist()
     try:
-        return Pipeline(stages=feature_stages(numeric, categorical) + [estimator]).fit(t)
+        feats = fit_features(t, numeric, categorical)
+        return PipelineModel([*feats.stages, estimator.fit(feats.transform(t))])
     finally:
         t.unpersist()
 
@@ -93,19 +117,6 @@ def predict_proba(model: PipelineModel, df: DataFrame, key: str = "row_id", labe
                     vector_to_array("probability")[1].alias("p"))
 
 
-def grid_select(train: DataFrame, val: DataFrame, numeric, categorical,
-                grid: Sequence[tuple[dict, Callable]]) -> tuple[PipelineModel, dict, float]:
-    """Fit each (params, estimator factory) on train, keep the best validation
-    AUC; strict '>' so the first configuration wins ties."""
-    best = (None, None, float("-inf"))
-    for params, make in grid:  # fit() keeps and releases its own copy of the training rows
-        m = fit(train, numeric, categorical, make(**params))
-        a = M.auc_exact(predict_proba(m, val), [], "p", "y").first()["auc"]
-        if a is not None and a > best[2]:
-            best = (m, params, a)
-    return best
-
-
 def feature_names(model: PipelineModel, df: DataFrame, col: str = "_raw") -> list[str]:
     """Names from the assembled vector's ML attribute metadata (bounded by #features)."""
     meta = model.transform(df.limit(0)).schema[col].metadata.get("ml_attr", {}).get("attrs", {})
@@ -159,85 +170,16 @@ def verify_roundtrip(spark, pred: DataFrame, path: str, tol: float = 1e-4) -> fl
     return a1
 
 
-def shift_eval(cohort: DataFrame, numeric, categorical, estimator_factory, *, cohort_col: str = "cohort",
-               train_on: str = "young", seed: int = 42) -> DataFrame:
-    """Train on 80 % of one stratum, evaluate on its held-out 20 % (in) and on
-    the whole other stratum (out). ``estimator_factory`` gets the number of
-    training rows."""
-    from riskloom.operators.split import split_stratified
-    a = cohort.where(F.col(cohort_col) == train_on)
-    b = cohort.where(F.col(cohort_col) != train_on)
-    s = split_stratified(a, "row_id", "y_30d", test=0.2, val_of_rest=0.15, purpose="shift_split", seed=seed)
-    train = prepare(s.where("split <> 'test'"))
-    m = fit(train, numeric, categorical, estimator_factory(train.count()))
-    pin = predict_proba(m, s.where("split = 'test'"), model_name="in")
-    pout = predict_proba(m, b, model_name="out")
-    return M.auc_delong(pin.unionByName(pout), ["model"], "p", "y")
-
-
-def cv_auc(df: DataFrame, numeric, categorical, estimator_factory, k: int = 5) -> DataFrame:
-    """Per-fold AUC + DeLong CI (folds stratified by label); one grouped metric job."""
-    from riskloom.operators.split import kfold_stratified
-    f = kfold_stratified(df, "row_id", "y_30d", k)
-    preds = None
-    for i in range(k):
-        train = prepare(f.where(F.col("fold") != i))
-        m = fit(train, numeric, categorical, estimator_factory(train.count()))
-        p = predict_proba(m, f.where(F.col("fold") == i), model_name=f"fold{i}")
-        preds = p if preds is None else preds.unionByName(p)
-    return M.auc_delong(preds, ["model"], "p", "y")
-
-
 def persist_model(model: PipelineModel, path: str) -> None:
     """Save the fitted pipeline (indexers, scaler, column list, estimator) together."""
     model.write().overwrite().save(path)
 
 
-def fit_mlp(train: DataFrame, numeric, categorical, hidden: Sequence[int] = (32,), seed: int = 42) -> PipelineModel:
+def fit_mlp(train: DataFrame, numeric, categorical, hidden: Sequence[int] = (64, 32), seed: int = 42) -> PipelineModel:
     """Fit the feature stages first to learn the vector width, then the MLP."""
     t = train.persist()
     try:
-        feats = Pipeline(stages=feature_stages(numeric, categorical)).fit(t)
-        width = len(feature_names(feats, t))
-        return Pipeline(stages=feature_stages(numeric, categorical) + [mlp(width, hidden, seed)]).fit(t)
+        feats = fit_features(t, numeric, categorical)
+        return PipelineModel([*feats.stages, mlp(len(feature_names(feats, t)), hidden, seed).fit(feats.transform(t))])
     finally:
         t.unpersist()
-
-
-# Named recipe registry: config name -> (feature set, estimator factory(n_train) or None for MLP)
-def _slim_sets():
-    from riskloom.operators import features as FE
-    return list(FE.SLIM_NUMERIC), list(FE.SLIM_CATEGORICAL)
-
-
-def _te_sets():
-    from riskloom.operators import features as FE
-    return list(FE.SLIM_NUMERIC) + [f"{c}_te" for c in FE.TE_COLUMNS], []
-
-
-CONFIGS: dict[str, tuple[Callable, Callable | None]] = {
-    "logreg_l1_bucketed": (_slim_sets, lambda n: logreg(C=0.1, penalty="l1", n=n)),
-    "logreg_l2_bucketed": (_slim_sets, lambda n: logreg(C=1.0, penalty="l2", n=n)),
-    "logreg_l2_target_enc": (_te_sets, lambda n: logreg(C=1.0, penalty="l2", n=n)),
-    "gbt_bucketed": (_slim_sets, lambda n: gbt(max_depth=3, n_iter=30)),
-    "mlp_32": (_slim_sets, None),
-}
-
-
-def run_config(name: str, split_features: DataFrame) -> DataFrame:
-    """Fit one named recipe on split='train', score split='test';
-    one metrics row (config, n_test, auc, ci_lo, ci_hi, runtime_sec)."""
-    import time
-    sets, make = CONFIGS[name]
-    num, cat = sets()
-    t0 = time.time()
-    train = prepare(split_features.where("split = 'train'"), balanced=make is not None and "gbt" not in name)
-    if make is None:
-        m = fit_mlp(train, num, cat)
-    else:
-        m = fit(train, num, cat, make(train.count()))
-    pred = predict_proba(m, split_features.where("split = 'test'"), model_name=name)
-    res = M.auc_delong(pred, ["model"], "p", "y").select(F.col("model").alias("config"), F.col("n").alias("n_test"), "auc", "ci_lo", "ci_hi")
-    row = res.first()  # one row; the time covers scoring and the metric too
-    spark = split_features.sparkSession
-    return spark.createDataFrame([row] if row else [], res.schema).withColumn("runtime_sec", F.lit(round(time.time() - t0, 3)))

@@ -77,17 +77,58 @@ def scan_metrics_json(spark: SparkSession, glob: str) -> DataFrame:
     return df.select("*", F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("run_dir"))
 
 
-SESSION_SCHEMA = ("axes map<string,array<string>>, "
+SESSION_SCHEMA = ("scope_slug string, target_metric string, axes map<string,array<string>>, "
                   "results_history array<struct<id:string, axes:map<string,string>, status:string, "
                   "metric_value:double, ci_lo:double, ci_hi:double, runtime_sec:double, notes:string>>, "
                   "candidate_queue array<struct<id:string, status:string, params:map<string,string>>>, "
                   "hpo_runs array<struct<id:string, params:map<string,string>, metrics:map<string,double>>>")
 
 
+def first_existing(spark: SparkSession, *paths: str) -> str:
+    """The first path that exists, in whatever store; raises with all of them if none does."""
+    from riskloom.session import path_exists
+    for p in paths:
+        if path_exists(spark, p):
+            return p
+    raise FileNotFoundError("no session state; looked in " + ", ".join(paths))
+
+
+def _states(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType.fromDDL(SESSION_SCHEMA).add("_broken", "string")
+    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(path)
+    return raw.select("*", F.col("_metadata.file_path").alias("file"))
+
+
 def scan_session_state(spark: SparkSession, path: str) -> DataFrame:
     """Session state JSON -> one row per results-history entry (seq = position)."""
-    s = spark.read.schema(SESSION_SCHEMA).option("multiLine", True).json(path)
-    return s.select(F.posexplode("results_history").alias("seq", "r")).select("seq", "r.*")
+    return _states(spark, path).select(F.posexplode("results_history").alias("seq", "r")).select("seq", "r.*")
+
+
+def scan_session_tables(spark: SparkSession, path: str, scope: str | None = None) -> dict[str, DataFrame]:
+    """One or many session states (files of nested JSON) as tables, each with its ``file`` and ``scope_slug``:
+
+    * ``files``: ``readable`` (a broken file is a row here and nowhere else), ``scope_ok``
+      (false where the state names another scope than ``scope``; no name is no contradiction);
+    * ``axes``: axis, value, value_pos; Spark's maps keep the file's order of axes, axis_pos;
+    * ``results``: seq and the entry; ``queue``: pos, id, status, params;
+    * ``hpo``: pos, id, kind (param or metric), name, value as text.
+
+    A missing list has no rows.
+    """
+    s = _states(spark, path)
+    own = ["file", "scope_slug"]
+    files = s.select(*own, F.col("_broken").isNull().alias("readable"),
+                     F.lit(True).alias("scope_ok") if scope is None else
+                     (F.coalesce("scope_slug", F.lit("")).isin("", scope)).alias("scope_ok"))
+    good = s.where(F.col("_broken").isNull())
+    axes = good.select(*own, F.posexplode(F.map_entries("axes")).alias("axis_pos", "e")).select(
+        *own, "axis_pos", F.col("e.key").alias("axis"), F.posexplode("e.value").alias("value_pos", "value"))
+    results = good.select(*own, F.posexplode("results_history").alias("seq", "r")).select(*own, "seq", "r.*")
+    queue = good.select(*own, F.posexplode("candidate_queue").alias("pos", "r")).select(*own, "pos", "r.*")
+    of = good.select(*own, F.posexplode("hpo_runs").alias("pos", "r")).select(*own, "pos", "r.id", "r.params", "r.metrics")
+    named = [of.select(*own, "pos", "id", F.lit(kind).alias("kind"), F.explode(c).alias("name", "value")).withColumn("value", F.col("value").cast("string"))
+             for kind, c in (("param", "params"), ("metric", "metrics"))]
+    return {"files": files, "axes": axes, "results": results, "queue": queue, "hpo": named[0].unionByName(named[1])}
 
 
 def scan_run_text(spark: SparkSession, glob: str) -> DataFrame:
