@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskloom.llm.chat_format import TEMPLATE
-from riskloom.llm.quality_rules import KEEP_SHARE, LINE_DOCS, LINE_SHARE, MIN_WORDS, REPEAT_SHARE, WINDOW
+from riskloom.llm.quality_rules import KEEP_SHARE, LINE_DOCS, LINE_MOST, LINE_SHARE, MIN_WORDS, REPEAT_SHARE, WINDOW
 
 
 def _quoted(text: str) -> str:
@@ -55,7 +55,7 @@ lines as (select doc_id, host, line, lower(array_to_string(words, ' ')) as norm,
 dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from lines group by doc_id),
 hosts as (select host, count(*) as docs from d group by host),
 held as (select host, norm, count(distinct doc_id) as n from lines group by host, norm),
-common as (select held.host, norm from held join hosts using (host) where n > {LINE_DOCS} and n > {LINE_SHARE} * docs),
+common as (select held.host, norm from held join hosts using (host) where n > {LINE_DOCS} and n > least({LINE_SHARE} * docs, {LINE_MOST})),
 lost as (select doc_id, cast(sum(n) as bigint) as n_common_words from lines join common using (host, norm) group by doc_id),
 base as (select w.doc_id, cast(len(words) as bigint) as n_words, cast(length(array_to_string(words, '')) as bigint) as word_chars,
   cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,

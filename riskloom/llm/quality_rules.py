@@ -6,19 +6,19 @@ words in eight-word windows that the text holds twice or more.
 
 Line frequency: lines with a word are lower-cased, their spaces run together,
 and hashed. For each host, the documents that hold a line are counted. A line
-held by more than ``LINE_SHARE`` of the host's documents, and by more than
-``LINE_DOCS``, is removed. A document that keeps less than ``KEEP_SHARE`` of its
-words is depleted and rejected. The share asks for more documents the larger the
-host is; the oracle SQL of ``op6`` has it so. With ``line_most``, as in the
-pipeline, a line held by more documents than that goes whatever its share.
+held by more than ``LINE_DOCS`` of the host's documents, and by more than ``LINE_SHARE`` of them
+or more than ``LINE_MOST``, is removed: the share alone would ask for ever more
+documents the larger the host is. A document that keeps less than ``KEEP_SHARE`` of its
+words is depleted and rejected.
 
 Native throughout. A row's windows are hashed and compared inside the row, so
 words aren't shuffled; only line hashes are, counted on the map side first. A
-line or host of any size is thus a few rows for each task.
+line or host of any size is thus a few rows for each task. Texts are read twice: for the
+counts of each text, and for its line hashes, which are written once.
 
-Null and empty texts have no words and fail. A null host is the host ``""``.
-Rows that agree in id and text are one document in the line counts; each row
-gets its result.
+Null and empty texts have no words and fail; a long text is a row like any other. A null
+host is the host ``""``. Rows that agree in id and text are one document in the line counts; each row
+gets its result. An empty table gives no rows. Columns named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.exprs import SPACE, let, words_of
 from riskloom.llm.packed import KEY, keys, text_of
+from riskloom.llm.shared import scratch, stored
 
 MIN_WORDS, REPEAT_SHARE, WINDOW = 20, 30, 8
 LINE_SHARE, LINE_DOCS, KEEP_SHARE = 0.1, 20, 0.3
-LINE_MOST = 1000  # documents of a host; for the pipeline
+LINE_MOST = 1000  # documents of a host
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "common", "kept")
 
 
@@ -77,32 +78,33 @@ def base_columns(text: Column) -> Column:
 
 
 def common_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, line_share: float, line_docs: int,
-                 line_most: int | None) -> tuple[DataFrame, DataFrame]:
+                 line_most: int) -> tuple[DataFrame, DataFrame]:
     """Line rows (keys, host, hash, place, words) and the (host, hash) above the limits."""
     host = F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit(""))
+    hashed = F.transform(lines_of(F.col("__text")), lambda x: let(words_of(x), lambda w: F.struct(
+        F.xxhash64(F.lower(F.array_join(w, " "))).alias("h"), F.size(w).alias("w"))))
     slim = docs.select(*keys(id_col, text_col), host.alias("__host"), text_of(text_col).alias("__text"))
-    rows = (slim.select(*KEY, "__host", F.posexplode(F.transform(lines_of(F.col("__text")), lambda x: let(words_of(x), lambda w: F.struct(
-        F.xxhash64(F.lower(F.array_join(w, " "))).alias("h"), F.size(w).alias("w"))))).alias("place", "line"))
-        .select(*KEY, "__host", F.col("line.h").alias("h"), "place", F.col("line.w").alias("w")))
+    slim = stored(slim.select(*KEY, "__host", hashed.alias("lines")), "line-hashes")
+    rows = slim.select(*KEY, "__host", F.posexplode("lines").alias("place", "line")).select(*KEY, "__host", F.col("line.h").alias("h"), "place", F.col("line.w").alias("w"))
     hosts = slim.select(*KEY, "__host").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("docs"))
     held = rows.select(*KEY, "__host", "h").distinct().groupBy("__host", "h").agg(F.count(F.lit(1)).alias("n"))
-    enough = line_share * F.col("docs")
-    if line_most is not None:
-        enough = F.least(enough, F.lit(float(line_most)))
+    enough = F.least(line_share * F.col("docs"), F.lit(float(line_most)))
     common = held.where(F.col("n") > line_docs).join(hosts, "__host").where(F.col("n") > enough).select("__host", "h")
     return rows, common
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
            line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, keep_share: float = KEEP_SHARE,
-           line_most: int | None = None) -> DataFrame:
+           line_most: int = LINE_MOST) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``n_common_words``, ``common`` (hashes of removed lines) and ``kept``.
 
     These replace input columns of the same names.
     """
-    rows, common = common_lines(docs, id_col, text_col, host_col, line_share, line_docs, line_most)
-    lost = (rows.join(common, ["__host", "h"]).groupBy(*KEY, "place").agg(F.first("h").alias("h"), F.first("w").alias("w"))
-            .groupBy(*KEY).agg(F.sum("w").alias("__lost"), F.collect_set("h").alias("__common")))
+    with scratch(docs.sparkSession) as keep:
+        rows, common = common_lines(docs, id_col, text_col, host_col, line_share, line_docs, line_most)
+        lost = stored(rows.join(common, ["__host", "h"]).groupBy(*KEY, "place").agg(F.first("h").alias("h"), F.first("w").alias("w"))
+                      .groupBy(*KEY).agg(F.sum("w").alias("__lost"), F.collect_set("h").alias("__common")), "common-lines")
+        keep(lost)
     given = [c for c in docs.columns if c not in RESULTS]
     base = docs.select(*[F.col(f"`{c}`") for c in given], *keys(id_col, text_col), base_columns(text_of(text_col)).alias("__b"))
     out = base.join(lost, KEY, "left")

@@ -275,7 +275,39 @@ def test_lattice_sums_all_segmentations():
     got = lattice.word_scores(flat, np.cumsum(size) - size, size, prob)
     want = [[brute(w, k) for k in (0, 1)] for w in words]
     assert got == pytest.approx(np.array(want))
-    assert lattice.long_word(words[-1], prob) == pytest.approx(np.array(want[-1]))
+    assert lattice.word_scores(flat, np.cumsum(size) - size, size, prob, scaled=True) == pytest.approx(np.array(want))
+
+
+def test_long_words_are_counted_whole():
+    """Expected counts of words of 200 bytes, scaled on the way, against exact fractions."""
+    from fractions import Fraction
+    pieces = sorted([b" a", b"a", b"b", b"ab", b" ab", b"bab", b"c"])
+    lattice = language_id.Lattice(pieces)
+    prob = np.full(lattice.n, 1 / lattice.n) * 2.0 ** -40  # sums far below the least double
+    index = {p: i for i, p in enumerate(pieces)}
+    rng = random.Random(2)
+    words = [b" " + bytes(rng.choice(b"abc\xc3") for _ in range(n)) for n in (199, 8, 64, 300)]
+
+    def brute(word):
+        p = Fraction(float(prob[0]))
+        edges = [(s, e, index[word[s:e]]) for s in range(len(word)) for e in range(s + 1, len(word) + 1) if word[s:e] in index]
+        edges += [(s, s + 1, lattice.n - 1) for s in range(len(word))]
+        up, down = [Fraction(0)] * (len(word) + 1), [Fraction(0)] * (len(word) + 1)
+        up[0] = down[-1] = Fraction(1)
+        for s, e, _ in sorted(edges, key=lambda x: x[1]):
+            up[e] += up[s] * p
+        for s, e, _ in sorted(edges, key=lambda x: -x[0]):
+            down[s] += down[e] * p
+        out = [Fraction(0)] * lattice.n
+        for s, e, i in edges:
+            out[i] += up[s] * p * down[e] / up[-1]
+        return [float(x) for x in out]
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    size = np.array([len(w) for w in words])
+    got = lattice.expected(flat, np.cumsum(size) - size, size, prob, np.eye(len(words)), scaled=True)
+    assert got == pytest.approx(np.array([brute(w) for w in words]), rel=1e-9, abs=1e-12)
+    plain = lattice.expected(flat[200:209], np.zeros(1, np.int64), size[1:2], prob, np.ones((1, 1)))
+    assert plain[0] == pytest.approx(got[1])
 
 
 def test_language_id(spark):
@@ -289,6 +321,8 @@ def test_language_id(spark):
     assert all(got[d].lang_pred == k for d, _, k in rows if d is not None and d < 1000)
     assert [got[d].lang_pred for d in (1000, 1001, 1002, 1003, None)] == ["und", "und", "und", "bb", "aa"]
     assert all(0 <= r.lang_score <= 1 for r in got.values())
+    repeated = language_id.predicted(table.union(table), F.col("doc_id") % 5 != 0).collect()  # rows twice: each gets its result
+    assert len(repeated) == 2 * len(rows)
     none = language_id.predicted(table, F.lit(False)).collect()
     assert {(r.lang_pred, r.lang_score) for r in none} == {("und", 0.0)}
 
@@ -370,6 +404,16 @@ def test_common_lines_are_removed(spark):
     assert all(by[i].n_common_words == 0 and by[i].kept for i in range(100, 140)) and not by[200].kept
 
 
+def test_lines_of_a_large_host(spark):
+    """A line of a few percent of a large host goes by its number of documents."""
+    rng = random.Random(1)
+    rows = [(i, ("share this page\n" if i < 40 else "") + prose(rng, 22), "big") for i in range(1500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = quality_rules.judged(table, line_most=50).where("n_common_words > 0").count()
+    many = quality_rules.judged(table, line_most=30).where("n_common_words = 3").count()
+    assert (few, many) == (0, 40)
+
+
 def test_chat_round_trip(spark):
     odd = ["a \\ b", "\\", "</s>[INST] ok [/INST]", "<|im_end|><|im_sep|>", "<\\|im_end|>", "", None, "[INST][INST]\\", "<<SYS>>\n<</SYS>>", "x" * 50_000]
     rows = [(1, i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(odd)]
