@@ -15,6 +15,8 @@ from riskloom.functions.vocab import ERROR_PREFIXES, INSTRUCTION, PROMPT_FEATURE
 
 # FIXED VALUES: number pattern used by the lenient fallback parser
 FLOAT_RE = r"-?\d+\.?\d*(?:[eE][-+]?\d+)?"
+#: The plain JSON object that most responses are, which needs no JSON parser.
+PLAIN_RE = r'^\{\s*"p"\s*:\s*(-?(?:0|[1-9]\d*)(?:\.\d+)?)\s*\}$'
 
 
 def _c(c) -> Column:
@@ -43,7 +45,8 @@ def parse_prob(text, *, strict: bool = True) -> Column:
     nums = F.regexp_extract_all(t, F.lit(FLOAT_RE), 0)
     in01 = F.filter(nums, lambda s: s.try_cast("double").between(0.0, 1.0))
     fb = F.try_element_at(in01, F.lit(1)).try_cast("double")
-    out = F.when(is_obj & jp.isNotNull(), clip01(jp)).otherwise(fb)
+    plain = F.regexp_extract(t, PLAIN_RE, 1)
+    out = F.when(plain != "", clip01(plain.try_cast("double"))).when(is_obj & jp.isNotNull(), clip01(jp)).otherwise(fb)
     if strict:
         out = F.when(t.startswith("Error"), F.lit(None).cast("double")).otherwise(out)
     return out

@@ -13,7 +13,6 @@ and a job that dies resumes from ``anti_pending`` against what was committed.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -52,16 +51,36 @@ def anti_pending(requests: DataFrame, cache: DataFrame,
     return requests.join(cache.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def hash_scorer(salt: str = "") -> Callable[[str], str]:
-    """Deterministic offline scorer (tests / dry runs): a keyed hash of the prompt.
+# fixed value: where each prompt format says how many inpatient stays there were
+INPATIENT = r'"number_inpatient": "(\d+)"|(\d+) inpatient stay|\bIP (\d+)'
+MOST_LEVELS = 10_000
 
-    One call in 20 raises, to exercise the error path. No network client ships.
+
+def fit_rate_scorer(train: DataFrame, level: str, label: str, *, reader: str = INPATIENT, smoothing: float = 20.0,
+                    most_levels: int = MOST_LEVELS) -> Callable[[str], str]:
+    """A scorer fitted in Spark: the smoothed rate of ``label`` at each integer ``level``, found in a prompt by ``reader``.
+
+    Only the rates go to the driver and to the tasks: at most ``most_levels``, else it
+    raises. An unseen level scores the overall rate; a prompt without a level is a failed
+    call. Responses are JSON with three decimals, halves up.
     """
+    per = train.where(F.col(level).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(level).cast("long").alias("lv")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("double")).alias("s"))
+    found = per.limit(most_levels + 1).collect()
+    if not found or len(found) > most_levels:
+        raise ValueError(f"{level} has no level, or more than {most_levels}")
+    prior = sum(r["s"] for r in found) / sum(r["n"] for r in found)
+    rates = {r["lv"]: (r["s"] + prior * smoothing) / (r["n"] + smoothing) for r in found}
+
     def score(prompt: str) -> str:
-        h = int(hashlib.md5((prompt + salt).encode("utf-8")).hexdigest()[:8], 16)
-        if h % 20 == 0:
-            raise RuntimeError("simulated throttle")
-        return '{"p": %.3f}' % ((h % 1000) / 1000.0)
+        import math
+        import re
+
+        hit = re.search(reader, prompt)
+        if hit is None:
+            raise ValueError("the prompt doesn't say how many")
+        p = rates.get(int(next(g for g in hit.groups() if g is not None)), prior)
+        return '{"p": %.3f}' % (math.floor(p * 1000 + 0.5) / 1000)
     return score
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import text as T
 from riskloom.functions.stats import r6 as sr6
+from riskloom.functions.vocab import PROMPT_FORMATS
 from riskloom.operators import metrics as M
 from riskloom.operators import scoring as SC
 from riskloom.operators import split as S
@@ -28,10 +29,21 @@ def _requests_sql(src: str) -> str:
             f"select encounter_id, 'abbreviated', {_ABBR_SQL} from {src}")
 
 
-def _scored_sql(req: str, salt: str = "") -> str:
-    h = f"('0x' || substr(md5(prompt || '{salt}'), 1, 8))::BIGINT"
-    return (f"select row_id, prompt_format, case when {h} % 20 = 0 then null "
-            f"else round(({h} % 1000) / 1000.0e0, 3) end as parsed_p from ({req}) q")
+_RATES_SQL = ("c as (select encounter_id as row_id, y_30d from cohort), " + _strat_sql("c", "row_id", "y_30d", "split", 0.15, _VR) + """,
+taught as (select co.number_inpatient as lv, co.y_30d as y from cohort co join s2 on co.encounter_id = s2.row_id where s2.split = 'train'),
+prior as (select sum(y) * 1.0e0 / count(*) as g from taught),
+rates as (select lv, (sum(y) * 1.0e0 + max(g) * 20.0e0) / (count(*) + 20.0e0) as rate from taught cross join prior group by lv)""")
+
+
+def _scored_sql(req: str) -> str:
+    return (f"select q.row_id, q.prompt_format, floor(coalesce(rate, g) * 1000 + 0.5) / 1000 as parsed_p from ({req}) q "
+            "join encounters e on q.row_id = e.encounter_id left join rates on e.number_inpatient = rates.lv cross join prior")
+
+
+def fitted_scorer(spark, sf):
+    """The rate of readmission at each number of inpatient stays, learned on the training rows of the split."""
+    cohort = cohort_df(spark, sf, ["number_inpatient"]).select("row_id", "y_30d", "number_inpatient")
+    return SC.fit_rate_scorer(S.split_stratified(cohort, "row_id", "y_30d").where("split = 'train'"), "number_inpatient", "y_30d")
 
 
 def parsed_responses(spark, sf, strict=True):
@@ -59,10 +71,10 @@ def q_anti_pending(spark, sf):
     return _pending(spark, sf).select("row_id", "prompt_format")
 
 
-@query("score_batch", _BASE + ", " + _PENDING + " select row_id, prompt_format, " + r6("parsed_p") + " as parsed_p from ("
+@query("score_batch", _BASE + ", " + _RATES_SQL + ", " + _PENDING + " select row_id, prompt_format, " + r6("parsed_p") + " as parsed_p from ("
        + _scored_sql("select * from pending") + ") s")
 def q_score_batch(spark, sf):
-    s = SC.score_batch(_pending(spark, sf), SC.hash_scorer())
+    s = SC.score_batch(_pending(spark, sf), fitted_scorer(spark, sf))
     return s.select("row_id", "prompt_format", sr6("parsed_p").alias("parsed_p"))
 
 
@@ -84,14 +96,14 @@ def _retry_df(spark, sf):
     failed = SC.failed_calls(parsed_responses(spark, sf)).select("row_id", "prompt_format")
     enc = view(spark, sf, "encounters").withColumnRenamed("encounter_id", "row_id")
     req = failed.join(enc, "row_id").select("row_id", "prompt_format", SC.prompt_for().alias("prompt"))
-    return SC.score_batch(req, SC.hash_scorer("|retry"))
+    return SC.score_batch(req, fitted_scorer(spark, sf))
 
 
-_RETRY_SQL = (f"failed as (select row_id, prompt_format from responses where {_STRICT} is null and "
+_RETRY_SQL = (_COHORT + ", " + _RATES_SQL + f", failed as (select row_id, prompt_format from responses where {_STRICT} is null and "
               "(starts_with(response, 'Error in API') or starts_with(response, 'Error: '))), "
               f"allreq as ({_requests_sql('encounters')}), "
               "req as (select a.* from allreq a join failed f on a.row_id = f.row_id and a.prompt_format = f.prompt_format), "
-              f"retry as ({_scored_sql('select * from req', '|retry')})")
+              f"retry as ({_scored_sql('select * from req')})")
 
 
 @query("retry_pass", cte("encounters", "responses") + ", " + _RETRY_SQL + f"""
@@ -114,7 +126,7 @@ def q_retry_success(spark, sf):
 
 @query("merge_update_nonnull", cte("responses") + f"""
 select row_id, prompt_format,
-  case when lenient_p is not null then response else response end as response,
+  case when lenient_p is not null then concat('retried: ', response) else response end as response,
   {r6(f'coalesce(lenient_p, strict_p)')} as parsed_p from (
   select row_id, prompt_format, response, {_STRICT} as strict_p,
     case when {_STRICT} is null then {_LENIENT} end as lenient_p from responses) x""")
@@ -122,6 +134,7 @@ def q_merge_update_nonnull(spark, sf):
     base = parsed_responses(spark, sf, strict=True)
     retry = parsed_responses(spark, sf, strict=False).join(
         base.where("parsed_p is null").select("row_id", "prompt_format"), ["row_id", "prompt_format"], "left_semi")
+    retry = retry.withColumn("response", F.concat(F.lit("retried: "), "response"))  # what a merge must take over, and only where it parsed
     m = SC.merge_update_nonnull(base, retry)
     return m.select("row_id", "prompt_format", "response", sr6("parsed_p").alias("parsed_p"))
 
@@ -192,11 +205,15 @@ def q_seed_cache(spark, sf):
     return s.select("row_id", "prompt_format", "response", sr6("parsed_p").alias("parsed_p"))
 
 
-@query("parse_coverage", cte("responses") + f"""
-select prompt_format, count(*)::BIGINT as n, count(p)::BIGINT as n_valid, {r6('count(p) * 1.0e0 / count(*)')} as coverage
-from (select prompt_format, {_STRICT} as p from responses) x group by prompt_format""")
+@query("parse_coverage", _BASE + f"""
+select f.fmt as prompt_format, count(*)::BIGINT as n, count(p)::BIGINT as n_valid, {r6('count(p) * 1.0e0 / count(*)')} as coverage
+from cohort co cross join (select 'structured' as fmt union all select 'natural' union all select 'abbreviated') f
+left join (select row_id, prompt_format, {_STRICT} as p from responses where row_id % 3 <> 0) x on x.row_id = co.encounter_id and x.prompt_format = f.fmt
+group by f.fmt""")
 def q_parse_coverage(spark, sf):
-    return SC.parse_coverage(parsed_responses(spark, sf))
+    """Coverage of the cohort's requests by a cache that lacks every third encounter."""
+    requests = cohort_df(spark, sf, []).select("row_id", F.explode(F.array(*[F.lit(x) for x in PROMPT_FORMATS])).alias("prompt_format"))
+    return SC.parse_coverage(parsed_responses(spark, sf).where("row_id % 3 <> 0"), requests)
 
 
 _REPORT_BASE = ("select r.prompt_format, " + _STRICT.replace("response", "r.response")

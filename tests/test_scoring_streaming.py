@@ -1,14 +1,26 @@
 """Scoring job semantics, merge idempotence, streaming collector = batch."""
 
+import hashlib
 import os
 
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from riskloom.operators import scoring as SC
+from riskloom.streaming import collect as CO
 from riskloom.streaming.collect import stream_collect, stream_coverage
 
 
+def hash_scorer(salt=""):
+    """Deterministic scorer for dry runs: a keyed hash of the prompt; one call in 20 raises."""
+    def score(prompt):
+        h = int(hashlib.md5((prompt + salt).encode()).hexdigest()[:8], 16)
+        if h % 20 == 0:
+            raise RuntimeError("no answer")
+        return '{"p": %.3f}' % ((h % 1000) / 1000.0)
+    return score
+
+
 def _cache(spark, rows):
     return spark.createDataFrame(rows, SC.CACHE_SCHEMA)
 
@@ -16,7 +28,7 @@ def _cache(spark, rows):
 def test_score_batch_error_path_and_parse(spark):
     req = spark.createDataFrame([(i, "natural", f"prompt {i}") for i in range(200)],
                                 "row_id long, prompt_format string, prompt string")
-    out = SC.score_batch(req, SC.hash_scorer(), n_partitions=4).collect()
+    out = SC.score_batch(req, hash_scorer(), n_partitions=4).collect()
     assert len(out) == 200
     errs = [r for r in out if r.response.startswith("Error: ")]
     assert errs and all(r.parsed_p is None for r in errs)
@@ -52,8 +64,7 @@ def test_stream_collect_equals_batch_and_resumes(spark, scratch):
     second = base.where(F.col("row_id") % 2 == 0).select("row_id", "prompt_format",
                                                          F.lit('{"p": 0.5}').alias("response"), F.lit(0.5).alias("parsed_p"))
     second.write.parquet(os.path.join(src, "c2"))
-    v = stream_collect(spark, src, out, ck)
-    got = spark.read.parquet(v)
+    got = stream_collect(spark, src, out, ck)
     batch = SC.dedupe_keep_last(spark.read.option("recursiveFileLookup", "true").parquet(src).select("*", F.col("_metadata.file_path").alias("file"),
                                                                F.col("_metadata.row_index").alias("pos")),
                                 ["row_id", "prompt_format"], ["file", "pos"])
@@ -72,7 +83,7 @@ def test_collector_keeps_earlier_rows_on_a_uri_path(spark, scratch):
     rows.write.parquet(f"{src}/c1")
     stream_collect(spark, src, out, ck)
     rows.where("row_id = 0").write.parquet(f"{src}/c2")
-    assert spark.read.parquet(stream_collect(spark, src, out, ck)).count() == 3
+    assert stream_collect(spark, src, out, ck).count() == 3
 
 
 def test_resume_on_a_uri_path_scores_once(spark, scratch):
@@ -100,8 +111,42 @@ def test_score_resume_only_scores_missing_pairs(spark, scratch):
                                 "row_id long, prompt_format string, prompt string")
     first = SC.score_resume(req.where("row_id < 20"), cache_dir, lambda p: '{"p": 0.5}', n_partitions=2)
     assert first.count() == 20
-    full = SC.score_resume(req, cache_dir, SC.hash_scorer(), n_partitions=2)
+    full = SC.score_resume(req, cache_dir, hash_scorer(), n_partitions=2)
     assert full.count() == 50
     # the first 20 pairs were not re-scored: they keep the first scorer's answer
     assert full.where("row_id < 20 and parsed_p = 0.5").count() == 20
     assert full.select("row_id", "prompt_format").distinct().count() == 50
+
+
+def test_fitted_scorer_reads_every_format(spark):
+    import pytest
+    train = spark.createDataFrame([(0, 0)] * 30 + [(0, 1)] * 10 + [(3, 1)] * 20 + [(None, 1)], "v long, y int")
+    score = SC.fit_rate_scorer(train, "v", "y", smoothing=20.0)
+    said = '{"p": %.3f}' % ((20 + 0.5 * 20) / 40)
+    assert score('  "number_inpatient": "3",') == said == score("and 3 inpatient stay(s).") == score("dx, IP 3 | ER 0")
+    assert score("12 inpatient stay(s).") == '{"p": 0.500}'  # unseen: the overall rate
+    with pytest.raises(ValueError, match="many"):
+        score("nothing here")
+    with pytest.raises(ValueError, match="more than 1"):
+        SC.fit_rate_scorer(train, "v", "y", most_levels=1)
+
+
+def test_a_batch_writes_its_own_rows_only_and_replays(spark, scratch):
+    def batch(lo, hi, file, p):
+        return spark.range(lo, hi).selectExpr("id as row_id", "'a' as prompt_format", "'x' as response", f"{p}D as parsed_p", f"'{file}' as file", "id as pos")
+
+    def written(name):
+        return spark.read.parquet(f"{scratch}/out/data/{name}").count()
+    out = f"{scratch}/out"
+    CO.upsert(batch(0, 2000, "f1", 0.1), 0, out, 8)
+    CO.upsert(batch(1990, 2010, "f2", 0.2), 1, out, 8)
+    CO.upsert(batch(1990, 2010, "f2", 0.2), 1, out, 8)  # the epoch comes again
+    assert written("delta-0000000001") == 20 and not CO.path_exists(spark, f"{out}/data/base-0000000001")
+    got = {r.row_id: r.parsed_p for r in CO.collected(spark, out).collect()}
+    assert len(got) == 2010 and got[1989] == 0.1 and got[1990] == 0.2 and got[2009] == 0.2
+    CO.upsert(batch(0, 3000, "f0", 0.3), 2, out, 8)  # an older file: only its new keys count; buckets are merged
+    assert CO.path_exists(spark, f"{out}/data/base-0000000002")
+    again = {r.row_id: r.parsed_p for r in CO.collected(spark, out).collect()}
+    assert len(again) == 3000 and again[0] == 0.1 and again[1990] == 0.2 and again[2999] == 0.3
+    assert "data/delta-0000000000" in CO.vacuum(spark, out) and CO.collected(spark, out).count() == 3000
+    assert CO.collected(spark, f"{scratch}/none").count() == 0
