@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
@@ -68,7 +68,7 @@ def vectors(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *
             "row_id", y.alias("y"), "split", F.col("y_30d").cast("double").alias("label"), "features",
             F.when(y == 1, of.get(1, 1.0)).otherwise(of.get(0, 1.0)).alias("balanced"), F.when(y == 1, ratio).otherwise(1.0).alias("boosted")).persist()
         try:
-            width = len(MD.feature_names(feats, given, "features"))
+            width = len(MD.feature_names(feats, given, "features" if native else "_raw"))
             yield Vectors(rows, feats, n, ratio, width, MD.bins_needed(feats))
         finally:
             rows.unpersist()
@@ -85,13 +85,14 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
     """The model after its first ``n`` rounds of boosting."""
     if n >= model.getNumTrees:
         return model
-    j = model._java_obj
-    jvm = model._sc._jvm
-    trees = model._sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    rates = model._sc._gateway.new_array(jvm.double, n)
-    for i, (t, w) in enumerate(zip(j.trees()[:n], list(j.treeWeights())[:n], strict=True)):
-        trees[i], rates[i] = t, w
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(j.uid() + f"_{n}", trees, rates, j.numFeatures(), 2)
+    context = SparkContext.getOrCreate()
+    jvm, j = context._jvm, model._java_obj
+    trees = context._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    rates = context._gateway.new_array(jvm.double, n)
+    all_trees, all_rates = j.trees(), j.treeWeights()
+    for i in range(n):
+        trees[i], rates[i] = all_trees[i], all_rates[i]
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{j.uid()}_{n}", trees, rates)
     cut.setFeaturesCol(j.getFeaturesCol())
     return GBTClassificationModel(cut)
 

@@ -106,12 +106,13 @@ def q_smd_features(spark, sf):
 
 
 @query("abs_mean_diff", "select feature, abs_diff from (" + _smd_dense_sql(
-    "(select event_type, value, cast(json_extract_string(props, '$.k') as double) as k from events) e",
-    ("value", "k"), "event_type", "view", "purchase") + ") x")
+    "(select case when event_type = 'purchase' then 'purchase' else 'rest' end as grp, value, cast(json_extract_string(props, '$.k') as double) as k from events) e",
+    ("value", "k"), "grp", "rest", "purchase") + ") x")
 def q_abs_mean_diff(spark, sf):
-    ev = read_table(spark, sf, "events").select("event_type", "value",
-                                                 F.get_json_object("props", "$.k").try_cast("double").alias("k"))
-    return SH.smd_dense(ev, ("value", "k"), "event_type", "view", "purchase").select("feature", "abs_diff")
+    """Purchases against all other events."""
+    kind = F.when(F.col("event_type") == "purchase", "purchase").otherwise("rest")
+    ev = read_table(spark, sf, "events").select(kind.alias("grp"), "value", F.get_json_object("props", "$.k").try_cast("double").alias("k"))
+    return SH.smd_dense(ev, ("value", "k"), "grp", "rest", "purchase").select("feature", "abs_diff")
 
 
 _SLIM_CATS = list(FE.SLIM_CATEGORICAL) + list(ACTIVE_DRUGS)
