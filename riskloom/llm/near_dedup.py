@@ -46,6 +46,7 @@ BANDS, ROWS = 24, 6
 SPLIT = 8
 SIZES = ("node", "label", "s", "extra", "over", "under")
 SMALL = 64  # texts with fewer shingles are signed together, batch by batch
+HELD = 1 << 18  # shingles of small texts signed at once
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE):
@@ -112,16 +113,20 @@ def _band_rows(bands: int, rows: int):
         tb.lean()
         for b in batches:
             nodes = b.column(0).to_numpy(zero_copy_only=False)
-            small = []
+            small, held = [], 0
             for r0, _, data, offsets in tb.chunks(b.column(1)):
                 doc, elem, weight = shingles(data, offsets)
                 if not len(doc):
                     continue
                 few = np.bincount(doc)[doc] < SMALL
-                small.append((doc[few] + r0, elem[few], weight[few]))
+                if few.any():
+                    small.append((doc[few] + r0, elem[few], weight[few]))
+                    held += len(small[-1][0])
                 if not few.all():
                     yield _signed(doc[~few] + r0, elem[~few], weight[~few], nodes, bands, rows)
-            small = [x for x in small if len(x[0])]
+                if held >= HELD:
+                    yield _signed(*map(np.concatenate, zip(*small, strict=True)), nodes, bands, rows)
+                    small, held = [], 0
             if small:
                 yield _signed(*map(np.concatenate, zip(*small, strict=True)), nodes, bands, rows)
     return run
