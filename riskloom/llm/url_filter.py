@@ -6,13 +6,16 @@ Other urls are judged by gradient-boosted trees on lexical features: lengths,
 depth, digit ratio, character entropy, parameter counts, and statistics of the
 host's suffixes (one and two labels) over the table: how many urls share it and
 the smoothed share of blocked ones among the labelled. Urls that a rule fits
-are the labelled ones. The trees are fitted on at most ``FIT_ROWS`` of them,
-taken by a hash of the row; all urls count for the statistics and are judged.
-
-A null url, or one without ``://``, has an empty host and path and an empty
-suffix; it's judged by the method like any other. Without labelled urls, or
+are the labelled ones. The trees are fitted on about ``FIT_ROWS`` of the distinct labelled urls at
+most, taken by a hash of the url and weighted by their rows, so that a url of any number of rows
+is one row of the fit; the sample is written once. In it, a suffix's share leaves out the
+labels of the url's own fold (of ``FOLDS``, by a hash of the url), or the trees would learn their own
+labels. All urls count for the statistics and are judged.
+
+A null or empty url, or one without ``://``, has an empty host and path and an empty
+suffix; it's judged by the method like any other, and so is a long one. Without labelled urls, or
 with one kind only, that kind (or allow) is the verdict. Repeated rows each get
-theirs.
+theirs. An empty table gives no rows. Columns named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.exprs import let
+from riskloom.llm.shared import stored
 
 FIT_ROWS = 20_000
+FOLDS = 8
 TREES, DEPTH, RATE = 20, 4, 0.2
 PRIOR = 20.0  # weight of the overall share in a suffix's share of blocked urls
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
@@ -86,41 +91,64 @@ def _suffix(host: Column, labels: int) -> Column:
     return F.substring_index(host, ".", -labels)
 
 
-def judged(pages: DataFrame, url_col: str = "url", rules=RULES, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``, the trees' probability of block."""
+def judged(pages: DataFrame, url_col: str = "url", rules=RULES, fit_rows: int = FIT_ROWS, learn: Column | None = None) -> DataFrame:
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``, the trees' probability of block.
+
+    With ``learn``, only rows where it is true teach the trees and the suffixes' shares.
+    """
     given = pages.columns
     url = F.coalesce(F.col(f"__in.`{url_col}`").cast("string"), F.lit(""))
-    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("__in")).withColumn("__url", url)
+    taught = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("__in"), taught.alias("__learn")).withColumn("__url", url)
     rows = rows.withColumn("__host", host_of(F.col("__url"))).withColumn("__path", path_of(F.col("__url")))
     name, verdict = rule_columns(F.col("__host"), F.col("__path"), rules)
     rows = rows.withColumn("__rule", name).withColumn("__given", verdict)
     rows = rows.withColumn("__s1", _suffix(F.col("__host"), 1)).withColumn("__s2", _suffix(F.col("__host"), 2))
-    blocked, labelled = F.sum((F.col("__given") == "block").cast("long")), F.count("__given")
-    by_suffix = rows.groupBy("__s1", "__s2").agg(F.count(F.lit(1)).alias("n"), F.coalesce(blocked, F.lit(0)).alias("b"), labelled.alias("k"))
+    shown = F.when(F.col("__learn"), F.col("__given"))
+    blocked, labelled = F.sum((shown == "block").cast("long")), F.count(shown)
+    rows = rows.withColumn("__fold", F.pmod(F.xxhash64("__url", F.lit(1)), F.lit(FOLDS)))
+    by_suffix = rows.groupBy("__s1", "__s2", "__fold").agg(F.count(F.lit(1)).alias("n"), F.coalesce(blocked, F.lit(0)).alias("b"), labelled.alias("k"))
     total = by_suffix.agg(F.struct(F.sum("b").alias("b"), F.sum("k").alias("k"))).scalar()
 
     def statistics(key: str, prefix: str) -> DataFrame:
-        rate = (F.col("b") + PRIOR * F.coalesce(F.try_divide(F.col("all.b"), F.col("all.k")), F.lit(0.5))) / (F.col("k") + PRIOR)
         summed = by_suffix.groupBy(key).agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.sum("k").alias("k"))
-        return summed.withColumn("all", total).select(key, F.log1p("n").alias(f"f_{prefix}_count"), rate.alias(f"f_{prefix}_rate"))
+        return summed.select(key, F.log1p("n").alias(f"f_{prefix}_count"), F.col("b").alias(f"__b_{prefix}"), F.col("k").alias(f"__k_{prefix}"))
+
+    def of_fold(key: str, prefix: str) -> DataFrame:
+        return by_suffix.groupBy(key, "__fold").agg(F.sum("b").alias(f"__fb_{prefix}"), F.sum("k").alias(f"__fk_{prefix}"))
+
+    def rate(prefix: str, b: Column | int = 0, k: Column | int = 0) -> Column:
+        """Smoothed share of blocked urls of a suffix, without ``b`` blocked of ``k`` labelled ones."""
+        share = F.coalesce(F.try_divide(F.col("__all.b"), F.col("__all.k")), F.lit(0.5))
+        return (F.col(f"__b_{prefix}") - b + PRIOR * share) / (F.col(f"__k_{prefix}") - k + PRIOR)
 
-    rows = rows.join(statistics("__s1", "suffix1"), "__s1").join(statistics("__s2", "suffix2"), "__s2")
+    rows = rows.join(statistics("__s1", "suffix1"), "__s1").join(statistics("__s2", "suffix2"), "__s2").withColumn("__all", total)
     features = lexical(F.col("__url"), F.col("__host"), F.col("__path"))
-    rows = rows.select("__in", "__host", "__path", "__rule", "__given", F.xxhash64("__url").alias("__order"),
-                       *[c.alias(k) for k, c in features.items()],
-                       "f_suffix1_count", "f_suffix1_rate", "f_suffix2_count", "f_suffix2_rate")
-    names = [c for c in rows.columns if c.startswith("f_")]
-    vectors = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(rows)
-
-    known = vectors.where(F.col("__given").isNotNull()).select("features", (F.col("__given") == "block").cast("double").alias("label"), F.pmod("__order", F.lit(1 << 20)).alias("__order"))
-    counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    n = sum(counts.values())
-    if len(counts) == 2:
-        sample = known if n <= fit_rows else known.where(F.col("__order") < int((1 << 20) * fit_rows / n))
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=7).fit(sample.select("features", "label"))
-        out = trees.transform(vectors).withColumn("__score", vector_to_array("probability")[1])
+    names = [*features, *[f"f_{p}_{x}" for p in ("suffix1", "suffix2") for x in ("count", "rate")]]
+    assemble = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+
+    known = rows.where(F.col("__given").isNotNull() & F.col("__learn"))
+    kinds = {r["__given"]: r["n"] for r in known.groupBy("__given").agg(F.approx_count_distinct("__url").alias("n")).collect()}
+    sample = None
+    if len(kinds) == 2:
+        share = fit_rows / sum(kinds.values())
+        some = known if share >= 1 else known.where(F.pmod(F.xxhash64("__url"), F.lit(1 << 20)) < int((1 << 20) * share))
+        own = ("__host", "__path", "__given", "__all", "__s1", "__s2", "__fold", "f_suffix1_count", "f_suffix2_count",
+               *[f"__{x}_{p}" for p in ("suffix1", "suffix2") for x in "bk"])
+        urls = some.groupBy("__url").agg(*[F.first(c).alias(c) for c in own], F.count(F.lit(1)).alias("__w"))
+        urls = urls.join(of_fold("__s1", "suffix1"), ["__s1", "__fold"]).join(of_fold("__s2", "suffix2"), ["__s2", "__fold"])
+        sample = urls.select(*[c.alias(k) for k, c in features.items()], "f_suffix1_count", "f_suffix2_count",
+                             *[rate(p, F.col(f"__fb_{p}"), F.col(f"__fk_{p}")).alias(f"f_{p}_rate") for p in ("suffix1", "suffix2")],
+                             (F.col("__given") == "block").cast("double").alias("label"), F.col("__w").cast("double").alias("weight"))
+        sample = stored(sample, "labelled-urls")
+        kinds = {("block" if r.label else "allow"): r["count"] for r in sample.groupBy("label").count().collect()}
+    rows = rows.select("__in", "__host", "__path", "__rule", "__given", *[c.alias(k) for k, c in features.items()], "f_suffix1_count", "f_suffix2_count",
+                       *[rate(p).alias(f"f_{p}_rate") for p in ("suffix1", "suffix2")])
+    if sample is not None and len(kinds) == 2:
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=7, weightCol="weight").fit(assemble.transform(sample).select("features", "label", "weight"))
+        out = trees.transform(assemble.transform(rows)).withColumn("__score", vector_to_array("probability")[1])
     else:
-        out = vectors.withColumn("__score", F.lit(1.0 if counts and 1.0 in counts else 0.0))
+        out = rows.withColumn("__score", F.lit(1.0 if "block" in kinds else 0.0))
     judged_as = F.coalesce("__given", F.when(F.col("__score") > 0.5, "block").otherwise("allow"))
     keep = [c for c in given if c not in ("host", "path", "rule", "verdict", "score")]
     return out.select(*[F.col(f"__in.`{c}`").alias(c) for c in keep], F.col("__host").alias("host"), F.col("__path").alias("path"),

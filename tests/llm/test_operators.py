@@ -442,10 +442,29 @@ def test_url_rules_and_trees(spark):
     assert {r.verdict for r in got} == {"allow", "block"} and len(got) == len(rows)
     net = [r for r in got if (r.host or "").endswith(".net") and r.rule is None]
     assert net and all(r.verdict == "block" for r in net)  # as their host's suffix is blocked elsewhere
+    long = "h://" + "a" * 50_000 + ".net/fr/" + "x" * 50_000
+    assert url_filter.judged(spark.createDataFrame([(1, long)], "page_id long, url string")).first().rule == "net/fr/"
+    assert url_filter.judged(spark.createDataFrame([], "page_id long, url string")).count() == 0
     only = url_filter.judged(spark.createDataFrame([(1, "h://q.org/")], "page_id long, url string")).first()
     assert (only.verdict, only.rule) == ("allow", None)
 
 
+def test_a_hot_url_is_one_row_of_the_fit(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    kept = []
+    monkeypatch.setattr(url_filter, "stored", lambda df, name: kept.append(df.cache()) or kept[-1])
+    rng = random.Random(4)
+    rows = [(i, "http://hot.net/es/1") for i in range(3000)]
+    rows += [(5000 + i, f"http://h{i}.{'com' if i % 2 else 'net/fr'}/{rng.randrange(99)}") for i in range(1000)]
+    table = spark.createDataFrame(rows, "page_id long, url string")
+    got = url_filter.judged(table, fit_rows=200, learn=F.col("page_id") % 5 != 0)
+    sample = kept[0].collect()
+    assert 100 < len(sample) < 320 and max(r.weight for r in sample) in (1.0, 2400.0)
+    assert sum(r.f_suffix1_rate for r in sample if r.label) / sum(r.label for r in sample) < 1  # own labels are left out
+    held = [r for r in got.where("page_id % 5 = 0 and page_id >= 5000").collect()]
+    assert sum((r.score > 0.5) == (r.rule != "com/") for r in held) / len(held) > 0.9
+
+
 def test_mixing(spark):
     rng = random.Random(1)
     rows = [(i, prose(rng, rng.randint(5, 60)), "big" if i % 3 else f"s{i % 5}") for i in range(1500)] + [(5000, None, "none"), (5001, "", None), (None, "a b c", None)]
