@@ -77,7 +77,7 @@ def gbt(max_depth: int = 4, n_iter: int = 300, lr: float = 0.1, subsample: float
     """Boosted trees; with ``validation_col`` (true for validation rows) boosting stops once
     the validation error no longer falls by ``tol`` of itself."""
     kw = dict(featuresCol="features", labelCol="label", maxDepth=max_depth, maxIter=n_iter, stepSize=lr,
-              subsamplingRate=subsample, seed=seed, maxBins=bins, cacheNodeIds=True, maxMemoryInMB=512)
+              subsamplingRate=subsample, seed=seed, maxBins=bins, maxMemoryInMB=512)
     if validation_col:
         kw |= {"validationIndicatorCol": validation_col, "validationTol": tol}
     if weight_col:
