@@ -33,7 +33,7 @@ def drop_if_present(df: DataFrame, cols: Iterable[str] = DROP_COLUMNS,
 def first_per_entity(df: DataFrame, entity: str, order_by: Sequence[str]) -> DataFrame:
     """One row per ``entity``: the row with the smallest ``order_by`` tuple.
 
-    Expressed as ``min(struct(order.., rest..))`` in a hash aggregation rather
+    Expressed as ``min(struct(order.., rest..))`` in a (sort) aggregation rather
     than a window: partial aggregation collapses each task's rows map-side, so
     an entity holding a third of all rows still ships one row per task
     instead of sorting the whole group inside one reducer.

@@ -132,7 +132,7 @@ def merge_update_nonnull(base: DataFrame, retry: DataFrame,
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                      keep_order: bool = False) -> DataFrame:
     """Last row per key by ``order`` (e.g. file, position): ``max(struct(order.., rest..))``
-    in a hash aggregate, so a hot key is combined map-side. ``keep_order``
+    in a (sort) aggregate, so a hot key is combined map-side. ``keep_order``
     keeps the provenance columns (needed for incremental upserts)."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     g = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_r"))
