@@ -80,9 +80,13 @@ union all """ + " union all ".join(f"select '{c}', true" for c in _NUM))
 def q_coef_table(spark, sf):
     """One coefficient for each numeric column and each level but the first, named."""
     df, numeric, categorical = _slim(spark, sf)
-    train = MD.prepare(df.where("split = 'train'"))
-    m = MD.fit(train, numeric, categorical, MD.logreg(train.count(), C=1.0))
-    return MD.coef_table(m, train).select("feature", (~F.isnan("coef")).alias("coef_valid"))
+    taught = df.where("split = 'train'").persist()  # counted, weighted and fitted
+    try:
+        train = MD.prepare(taught)
+        m = MD.fit(train, numeric, categorical, MD.logreg(taught.count(), C=1.0))
+        return MD.coef_table(m, train).select("feature", (~F.isnan("coef")).alias("coef_valid"))
+    finally:
+        taught.unpersist()
 
 
 @query("shift_eval", _BASE + """, c as (select encounter_id as row_id, y_30d,

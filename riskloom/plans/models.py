@@ -22,6 +22,17 @@ from pyspark.sql import functions as F
 from riskloom.operators import encode as EN
 from riskloom.operators import metrics as M
 
+TASK_ROWS, CORE_TASKS = 20_000, 2
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many partitions as its rows are worth, at most ``CORE_TASKS`` for each core.
+
+    An iteration is a job whose tasks each send their results to the driver, so more rows must not mean more tasks.
+    """
+    most = CORE_TASKS * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(1, min(most, -(-rows // TASK_ROWS))))
+
 
 def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *, scale: bool = True,
                  out: str = "features") -> PipelineModel:
@@ -103,8 +114,9 @@ def fit(train: DataFrame, numeric, categorical, estimator) -> PipelineModel:
     of the fit (recomputable from lineage if an executor is lost) and released."""
     t = train.persist()
     try:
-        feats = fit_features(t, numeric, categorical)
-        return PipelineModel([*feats.stages, estimator.fit(feats.transform(t))])
+        few = bounded(t, t.count())
+        feats = fit_features(few, numeric, categorical)
+        return PipelineModel([*feats.stages, estimator.fit(feats.transform(few))])
     finally:
         t.unpersist()
 
@@ -179,7 +191,8 @@ def fit_mlp(train: DataFrame, numeric, categorical, hidden: Sequence[int] = (64,
     """Fit the feature stages first to learn the vector width, then the MLP."""
     t = train.persist()
     try:
-        feats = fit_features(t, numeric, categorical)
-        return PipelineModel([*feats.stages, mlp(len(feature_names(feats, t)), hidden, seed).fit(feats.transform(t))])
+        few = bounded(t, t.count())
+        feats = fit_features(few, numeric, categorical)
+        return PipelineModel([*feats.stages, mlp(len(feature_names(feats, t)), hidden, seed).fit(feats.transform(few))])
     finally:
         t.unpersist()

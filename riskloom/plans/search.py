@@ -30,7 +30,6 @@ from riskloom.plans import models as MD
 from riskloom.session import cut_lineage
 
 PARALLEL = 4
-TASK_ROWS = 20_000
 # fixed values: the study's grids
 LOGREG_GRID = tuple({"penalty": p, "C": c} for p in ("l1", "l2") for c in (0.01, 0.1, 1.0))
 GBT_GRID = tuple({"max_depth": d, "n_iter": n, "lr": r} for d in (4, 6) for n in (300, 600) for r in (0.05, 0.1))
@@ -63,12 +62,10 @@ def vectors(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *
         seen = given.groupBy("split", "y_30d").count().collect()  # two rows for each split
         count = {int(r["y_30d"]): r["count"] for r in seen if r["split"] == train}
         n, pos = sum(count.values()), count.get(1, 0)
-        # an iteration is a job: no more tasks than the rows are worth
-        parts = max(1, min(given.rdd.getNumPartitions(), -(-sum(r["count"] for r in seen) // TASK_ROWS)))
         of = {y: n / (2.0 * c) for y, c in count.items()}
         ratio = (n - pos) / max(pos, 1)
         y = F.col("y_30d").cast("int")
-        rows = feats.transform(given.coalesce(parts)).select(
+        rows = feats.transform(MD.bounded(given, sum(r["count"] for r in seen))).select(
             "row_id", y.alias("y"), "split", F.col("y_30d").cast("double").alias("label"), "features",
             F.when(y == 1, of.get(1, 1.0)).otherwise(of.get(0, 1.0)).alias("balanced"), F.when(y == 1, ratio).otherwise(1.0).alias("boosted")).persist()
         try:

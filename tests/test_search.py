@@ -92,3 +92,20 @@ def test_top_coefficients(spark):
     coefs = spark.createDataFrame([(f"f{i}", float(i)) for i in range(9)], "feature string, coef double")
     top = {(r.feature, r.end) for r in MD.topk_coefs(coefs, 2).collect()}
     assert top == {("f0", "lowest"), ("f1", "lowest"), ("f8", "highest"), ("f7", "highest")}
+
+
+def test_a_fit_has_few_tasks_however_many_partitions_its_rows_have(split, spark, monkeypatch):
+    monkeypatch.setattr(MD, "TASK_ROWS", 1)
+    most = MD.CORE_TASKS * spark.sparkContext.defaultParallelism
+    many = split.repartition(most * 3)
+    with SE.vectors(many, ["x"], ["c"]) as v:
+        assert v.rows.rdd.getNumPartitions() <= most and v.rows.count() == 401
+    assert MD.bounded(many, 401).rdd.getNumPartitions() == most
+
+    class Fit:
+        def fit(self, rows):
+            self.tasks = rows.rdd.getNumPartitions()
+            return MD.logreg(401, weight_col=None).fit(rows)
+    seen = Fit()
+    MD.fit(MD.prepare(many), ["x"], ["c"], seen)
+    assert seen.tasks <= most
