@@ -14,12 +14,19 @@ from riskloom.sources.fixtures import cte, view
 from riskloom.streaming.collect import stream_collect, stream_coverage
 
 
+JOBS = 64  # chunk jobs of the array
+
+
 def _write_chunks(spark, sf, root):
-    """The responses cache as the chunk jobs would leave it, one folder per chunk, and a rerun of all errors, read leniently."""
+    """The responses cache as the chunk jobs would leave it, one folder and file per job, and a rerun of all errors, read leniently.
+
+    The chunks are dealt out to a fixed number of jobs: more rows make larger files, not more of them.
+    """
     r = view(spark, sf, "responses").withColumn("parsed_p", T.parse_prob("response"))
     columns = ["row_id", "prompt_format", "response", "parsed_p", "chunk_id"]
     src = f"{root}/chunks"
-    r.select(*columns).write.mode("overwrite").partitionBy("chunk_id").parquet(src)
+    dealt = r.select(*columns).withColumn("chunk_id", F.pmod("chunk_id", F.lit(JOBS))).repartition(JOBS, "chunk_id")
+    dealt.write.mode("overwrite").partitionBy("chunk_id").parquet(src)
     again = r.where(F.col("response").startswith("Error")).withColumn("parsed_p", T.parse_prob("response", strict=False))
     again.select(*columns[:-1]).write.mode("overwrite").parquet(f"{src}/rerun")
     return src

@@ -57,19 +57,23 @@ def _manifest(spark: SparkSession, out_dir: str, before: int | None = None) -> l
     return []
 
 
-def _read(spark: SparkSession, out_dir: str, parts: Iterable) -> DataFrame:
-    """Rows of parts, keep-last over all of them."""
+def _stored(spark: SparkSession, out_dir: str, parts: Iterable) -> DataFrame:
+    """Rows of parts; a key may be in several."""
     paths = sorted({f"{out_dir.rstrip('/')}/data/{p['part']}/bucket={p['bucket']}" for p in parts})
     if not paths:
         return spark.createDataFrame([], TABLE_SCHEMA)
-    return dedupe_keep_last(spark.read.schema(TABLE_SCHEMA).parquet(*paths), KEYS, ORDER, keep_order=True)
+    return spark.read.schema(TABLE_SCHEMA).parquet(*paths)
 
 
 def _write(rows: DataFrame, out_dir: str, part: str, n_buckets: int, base: bool) -> list[tuple]:
-    """Write rows as a part of their buckets; the manifest rows of it."""
+    """Write the last row of each key as a part of its bucket; the manifest rows of it.
+
+    Rows cross the network once: keys are compared where their bucket is written.
+    """
     path = f"{out_dir.rstrip('/')}/data/{part}"
     bucket = F.pmod(F.xxhash64(*KEYS), F.lit(n_buckets)).cast("int")
-    rows.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    dealt = rows.withColumn("bucket", bucket).repartition("bucket")
+    dedupe_keep_last(dealt, ["bucket", *KEYS], ORDER, keep_order=True).write.mode("overwrite").partitionBy("bucket").parquet(path)
     counts = rows.sparkSession.read.schema(f"{TABLE_SCHEMA}, bucket int").parquet(path).groupBy("bucket").count().collect()
     return [(part, r["bucket"], r["count"], base) for r in counts]  # at most a row for each bucket
 
@@ -79,14 +83,14 @@ def upsert(batch: DataFrame, epoch: int, out_dir: str, n_buckets: int = BUCKETS)
     spark = batch.sparkSession
     parts = [(p["part"], p["bucket"], p["n"], p["base"]) for p in _manifest(spark, out_dir, before=epoch)]
     known = {p[1] for p in parts}
-    own = _write(dedupe_keep_last(batch, KEYS, ORDER, keep_order=True), out_dir, f"delta-{epoch:010d}", n_buckets, False)
+    own = _write(batch, out_dir, f"delta-{epoch:010d}", n_buckets, False)
     parts += [(part, b, n, b not in known) for part, b, n, _ in own]
     size: dict[int, list[int]] = {}
     for _, b, n, base in parts:
         size.setdefault(b, [0, 0])[0 if base else 1] += n
     full = {b for b, (base, deltas) in size.items() if deltas > base}
     if full:
-        rows = _read(spark, out_dir, [{"part": p[0], "bucket": p[1]} for p in parts if p[1] in full])
+        rows = _stored(spark, out_dir, [{"part": p[0], "bucket": p[1]} for p in parts if p[1] in full])
         parts = [p for p in parts if p[1] not in full] + _write(rows, out_dir, f"base-{epoch:010d}", n_buckets, True)
     spark.createDataFrame(parts, PART_SCHEMA).coalesce(1).write.mode("overwrite").json(_manifest_path(out_dir, epoch))
 
@@ -103,7 +107,7 @@ def stream_collect(spark: SparkSession, src_dir: str, out_dir: str, checkpoint:
 
 def collected(spark: SparkSession, out_dir: str) -> DataFrame:
     """The table of the newest committed epoch: one row for each key, with its ``file`` and ``pos``."""
-    return _read(spark, out_dir, _manifest(spark, out_dir))
+    return dedupe_keep_last(_stored(spark, out_dir, _manifest(spark, out_dir)), KEYS, ORDER, keep_order=True)
 
 
 def vacuum(spark: SparkSession, out_dir: str) -> list[str]:
