@@ -48,7 +48,7 @@ def build_requests(rows: DataFrame, key: str = "row_id",
 def anti_pending(requests: DataFrame, cache: DataFrame,
                  keys: Sequence[str] = ("row_id", "prompt_format")) -> DataFrame:
     """Requests whose (row, format) pair is not in the cache (cached errors count as done)."""
-    return requests.join(cache.select(*keys).distinct(), list(keys), "left_anti")
+    return requests.join(cache.select(*keys), list(keys), "left_anti")
 
 
 # fixed value: where each prompt format says how many inpatient stays there were

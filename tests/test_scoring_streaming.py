@@ -150,3 +150,31 @@ def test_a_batch_writes_its_own_rows_only_and_replays(spark, scratch):
     assert len(again) == 3000 and again[0] == 0.1 and again[1990] == 0.2 and again[2999] == 0.3
     assert "data/delta-0000000000" in CO.vacuum(spark, out) and CO.collected(spark, out).count() == 3000
     assert CO.collected(spark, f"{scratch}/none").count() == 0
+
+
+def test_more_chunks_are_not_more_files(spark, scratch):
+    from riskloom.plans import streaming_catalog as ST
+    n = (ST.JOBS + 40) * 1000  # a chunk for each 1000 keys
+    orders = spark.range(0, n, 250).selectExpr("id as o_orderkey", "id % 7 as o_custkey", "'O' as o_orderstatus", "1.0D as o_totalprice",
+                                               "timestamp'2020-01-01' as o_orderdate", "'1' as o_orderpriority")
+    orders.repartition(4).write.parquet(f"{scratch}/orders.parquet")
+    src = ST._write_chunks(spark, scratch, scratch)
+    files = spark.read.option("recursiveFileLookup", "true").parquet(src).where(~F.col("_metadata.file_path").contains("/rerun/"))
+    assert files.count() == n // 250 * 3
+    assert files.select("_metadata.file_path").distinct().count() <= ST.JOBS
+
+
+def test_a_delta_holds_the_last_row_of_each_key(spark, scratch):
+    jobs = spark.range(2000).selectExpr("id % 50 as row_id", "'a' as prompt_format", "'x' as response", "0.5D as parsed_p", "'f' as file", "id as pos")
+    CO.upsert(jobs, 0, f"{scratch}/out", 4)
+    got = CO.collected(spark, f"{scratch}/out").collect()
+    assert len(got) == 50 and min(r.pos for r in got) == 1950
+    assert spark.read.parquet(f"{scratch}/out/data/delta-0000000000").count() == 50
+
+
+def test_pending_requests_need_no_distinct_cache(spark):
+    req = spark.range(3).selectExpr("id as row_id", "'a' as prompt_format", "'p' as prompt")
+    cache = spark.range(8).selectExpr("id % 2 as row_id", "'a' as prompt_format")
+    out = SC.anti_pending(req, cache)
+    assert [r.row_id for r in out.collect()] == [2]
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
