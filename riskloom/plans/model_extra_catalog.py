@@ -87,12 +87,15 @@ def _config_sql(*names: str) -> str:
 
 def _ran(spark, sf, names):
     """Facts of each recipe's run, and its metrics row."""
-    cohort = split_cohort(spark, sf)
+    cohort = split_cohort(spark, sf).persist()  # features read it several times, and each recipe again
     out = []
-    for name in names:
-        row, pred = SE.run_config(name, cohort)
-        out.append(row.select("config", "n_test", "n_pos", (F.col("auc").between(0.0, 1.0) & (F.col("runtime_sec") > 0)).alias("auc_valid"),
-                              F.lit(pred.count() == row.first()["n_test"]).alias("scored_all"), "auc"))
+    try:
+        for name in names:
+            row, pred = SE.run_config(name, cohort)
+            out.append(row.select("config", "n_test", "n_pos", (F.col("auc").between(0.0, 1.0) & (F.col("runtime_sec") > 0)).alias("auc_valid"),
+                                  F.lit(pred.count() == row.first()["n_test"]).alias("scored_all"), "auc"))
+    finally:
+        cohort.unpersist()
     return out
 
 

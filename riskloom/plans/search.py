@@ -191,17 +191,21 @@ def shift_eval(cohort: DataFrame, numeric, categorical, *, cohort_col: str = "co
     C is picked on a validation part of the training stratum's 80 %, the model is fitted again on the whole 80 %, and scores
     the held-out 20 % (in) and the whole other stratum (out).
     """
-    inside = S.split_stratified(cohort.where(F.col(cohort_col) == train_on), "row_id", "y_30d", test=0.2, val_of_rest=0.15, purpose="shift_split", seed=seed)
-    with vectors(inside, numeric, categorical) as v:
-        choice = grid_select(v, grid, logreg_fits(grid))
-    out = cohort.where(F.col(cohort_col) != train_on).withColumn("split", F.lit("out"))
-    both = inside.withColumn("split", F.when(F.col("split") == "test", "in").otherwise("train")).unionByName(out.select(*inside.columns))
-    with vectors(both, numeric, categorical) as v:
-        model = MD.logreg(v.n, weight_col="balanced", **choice.params).fit(v.part("train"))
-        scores = v.part("in", "out")
-        result = M.auc_delong(predicted(model, scores, "x").drop("model").join(scores.select("row_id", "split"), "row_id"), ["split"], "p", "y")
-        rows = result.collect()  # two
-        coefs = MD.coef_table(PipelineModel([*v.feats.stages, model]), both)
+    given = cohort.persist()  # its strata are read apart, and the training one twice
+    try:
+        inside = S.split_stratified(given.where(F.col(cohort_col) == train_on), "row_id", "y_30d", test=0.2, val_of_rest=0.15, purpose="shift_split", seed=seed)
+        with vectors(inside, numeric, categorical) as v:
+            choice = grid_select(v, grid, logreg_fits(grid))
+        out = given.where(F.col(cohort_col) != train_on).withColumn("split", F.lit("out"))
+        both = inside.withColumn("split", F.when(F.col("split") == "test", "in").otherwise("train")).unionByName(out.select(*inside.columns))
+        with vectors(both, numeric, categorical) as v:
+            model = MD.logreg(v.n, weight_col="balanced", **choice.params).fit(v.part("train"))
+            scores = v.part("in", "out")
+            result = M.auc_delong(predicted(model, scores, "x").drop("model").join(scores.select("row_id", "split"), "row_id"), ["split"], "p", "y")
+            rows = result.collect()  # two
+            coefs = MD.coef_table(PipelineModel([*v.feats.stages, model]), both)
+    finally:
+        given.unpersist()
     schema = result.schema
     auc = {r["split"]: r["auc"] for r in rows}
     delta = auc["in"] - auc["out"] if auc.get("in") is not None and auc.get("out") is not None else None
