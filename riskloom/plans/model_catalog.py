@@ -163,7 +163,7 @@ def q_cv_auc(spark, sf):
     """Five folds that keep a patient's encounters together: each scored by a logistic model of the other four."""
     enc = C.clean_cohort(view(spark, sf, "encounters"), dedupe=False)
     slim = FE.features_slim(enc, keep=["patient_nbr"])
-    out = SE.cv_auc(slim, _NUM, _CAT, lambda v: MD.logreg(v.n, weight_col="balanced").fit(v.part("train")), group="patient_nbr")
+    out = SE.cv_auc(slim, _NUM, _CAT, SE.fit_logreg, group="patient_nbr")
     return out.select("fold", "n", "n_pos", "method", (F.col("auc").between(0.0, 1.0) & (F.col("ci_lo") <= F.col("auc")) & (F.col("auc") <= F.col("ci_hi"))).alias("auc_valid"))
 
 

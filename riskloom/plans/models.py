@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import encode as EN
 from riskloom.operators import metrics as M
 
-TASK_ROWS, CORE_TASKS = 20_000, 2
+TASK_ROWS, CORE_TASKS, LOSS_CORES = 20_000, 1, 4
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -34,6 +34,15 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, min(most, -(-rows // TASK_ROWS))))
 
 
+def for_logreg(df: DataFrame) -> DataFrame:
+    """``df`` in one partition for every ``LOSS_CORES`` cores at most.
+
+    A search evaluates the loss in thousands of jobs, and a task sends some 10 KB of metrics whatever its rows; four fits run at
+    the same time, so that all cores have work.
+    """
+    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism // LOSS_CORES))
+
+
 def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *, scale: bool = True,
                  out: str = "features") -> PipelineModel:
     """Index + one-hot + assemble (+ divide by std, no centring), fitted on ``train``.
@@ -116,7 +125,8 @@ def fit(train: DataFrame, numeric, categorical, estimator) -> PipelineModel:
     try:
         few = bounded(t, t.count())
         feats = fit_features(few, numeric, categorical)
-        return PipelineModel([*feats.stages, estimator.fit(feats.transform(few))])
+        rows = feats.transform(few)
+        return PipelineModel([*feats.stages, estimator.fit(for_logreg(rows) if isinstance(estimator, LogisticRegression) else rows)])
     finally:
         t.unpersist()
 

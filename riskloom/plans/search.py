@@ -27,7 +27,7 @@ from riskloom.operators import metrics as M
 from riskloom.operators import split as S
 from riskloom.operators.bootstrap import auc_ci
 from riskloom.plans import models as MD
-from riskloom.session import cut_lineage
+from riskloom.session import cut_lineage, drop_cut
 
 PARALLEL = 4
 # fixed values: the study's grids
@@ -39,7 +39,7 @@ SHIFT_GRID = tuple({"penalty": "l2", "C": c} for c in (0.01, 0.1, 1.0))
 
 @dataclass
 class Vectors:
-    """Feature vectors of a split: ``rows`` has row_id, y, split, label, features and both weights, and is kept in memory or on disk."""
+    """Feature vectors of a split: ``rows`` has row_id, y, split, label, features and both weights, is stored without its lineage until the end."""
 
     rows: DataFrame
     feats: PipelineModel
@@ -65,16 +65,16 @@ def vectors(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *
         of = {y: n / (2.0 * c) for y, c in count.items()}
         ratio = (n - pos) / max(pos, 1)
         y = F.col("y_30d").cast("int")
-        rows = feats.transform(MD.bounded(given, sum(r["count"] for r in seen))).select(
+        rows = cut_lineage(feats.transform(MD.bounded(given, sum(r["count"] for r in seen))).select(  # every task of every iteration would bring the lineage
             "row_id", y.alias("y"), "split", F.col("y_30d").cast("double").alias("label"), "features",
-            F.when(y == 1, of.get(1, 1.0)).otherwise(of.get(0, 1.0)).alias("balanced"), F.when(y == 1, ratio).otherwise(1.0).alias("boosted")).persist()
-        try:
-            width = len(MD.feature_names(feats, given, "features" if native else "_raw"))
-            yield Vectors(rows, feats, n, ratio, width, MD.bins_needed(feats))
-        finally:
-            rows.unpersist()
+            F.when(y == 1, of.get(1, 1.0)).otherwise(of.get(0, 1.0)).alias("balanced"), F.when(y == 1, ratio).otherwise(1.0).alias("boosted")))
     finally:
         given.unpersist()
+    try:
+        width = len(MD.feature_names(feats, given, "features" if native else "_raw"))
+        yield Vectors(rows, feats, n, ratio, width, MD.bins_needed(feats))
+    finally:
+        drop_cut(rows)
 
 
 def predicted(model, rows: DataFrame, name) -> DataFrame:
@@ -101,8 +101,12 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
 Fit = Callable[[Vectors], list[tuple[dict, object]]]
 
 
+def fit_logreg(v: Vectors, **params):
+    return MD.logreg(v.n, weight_col="balanced", **params).fit(MD.for_logreg(v.part("train")))
+
+
 def logreg_fits(grid: Iterable[dict] = LOGREG_GRID) -> list[Fit]:
-    return [lambda v, p=p: [(p, MD.logreg(v.n, weight_col="balanced", **p).fit(v.part("train")))] for p in grid]
+    return [lambda v, p=p: [(p, fit_logreg(v, **p))] for p in grid]
 
 
 def mlp_fits(grid: Iterable[dict] = MLP_GRID) -> list[Fit]:
@@ -199,7 +203,7 @@ def shift_eval(cohort: DataFrame, numeric, categorical, *, cohort_col: str = "co
         out = given.where(F.col(cohort_col) != train_on).withColumn("split", F.lit("out"))
         both = inside.withColumn("split", F.when(F.col("split") == "test", "in").otherwise("train")).unionByName(out.select(*inside.columns))
         with vectors(both, numeric, categorical) as v:
-            model = MD.logreg(v.n, weight_col="balanced", **choice.params).fit(v.part("train"))
+            model = fit_logreg(v, **choice.params)
             scores = v.part("in", "out")
             result = M.auc_delong(predicted(model, scores, "x").drop("model").join(scores.select("row_id", "split"), "row_id"), ["split"], "p", "y")
             rows = result.collect()  # two
@@ -221,7 +225,7 @@ class Recipe:
 
 def _stacked(v: Vectors):
     """Trees and a logistic model; scored as the mean of both."""
-    return [_trees()(v), MD.logreg(v.n, weight_col="balanced").fit(v.part("train"))]
+    return [_trees()(v), fit_logreg(v)]
 
 
 def _trees(stop: bool = False, **params):
@@ -233,7 +237,7 @@ def _trees(stop: bool = False, **params):
 
 
 def _linear(**params):
-    return lambda v: MD.logreg(v.n, weight_col="balanced", **params).fit(v.part("train"))
+    return lambda v: fit_logreg(v, **params)
 
 
 def _network(hidden):

@@ -88,3 +88,10 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop_cut(df) -> None:
+    """Delete what ``cut_lineage`` stored for ``df``, which cannot be read afterwards."""
+    stored = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if stored.isDefined():
+        delete_path(df.sparkSession, stored.get())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.plans import models as MD
 from riskloom.plans import search as SE
+from riskloom.session import path_exists
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,29 @@ def test_a_fit_has_few_tasks_however_many_partitions_its_rows_have(split, spark,
     seen = Fit()
     MD.fit(MD.prepare(many), ["x"], ["c"], seen)
     assert seen.tasks <= most
+
+
+def test_a_logistic_fit_has_a_task_for_several_cores_and_vectors_no_lineage(split, spark, monkeypatch):
+    monkeypatch.setattr(MD, "TASK_ROWS", 1)
+    cores = spark.sparkContext.defaultParallelism
+    seen = []
+    fit = MD.LogisticRegression.fit
+    monkeypatch.setattr(MD.LogisticRegression, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    many = split.repartition(cores * 3)
+    with SE.vectors(many, ["x"], ["c"]) as v:
+        assert v.rows.rdd.getNumPartitions() == cores
+        assert "CheckpointRDD" in v.rows.rdd.toDebugString().decode() and "Exchange" not in v.rows._jdf.queryExecution().toString()
+        SE.grid_select(v, SE.SHIFT_GRID, SE.logreg_fits(SE.SHIFT_GRID))
+        SE.RECIPES["logreg_l2_base"].fit(v)
+        stored = v.rows._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+        assert path_exists(spark, stored)
+    assert not path_exists(spark, stored)
+    MD.fit(MD.prepare(many), ["x"], ["c"], MD.logreg(401, weight_col=None))
+    assert seen == [max(1, cores // MD.LOSS_CORES)] * 5
+
+
+def test_boosting_has_a_task_a_core(split, spark, monkeypatch):
+    monkeypatch.setattr(MD, "TASK_ROWS", 1)
+    cores = spark.sparkContext.defaultParallelism
+    with SE.vectors(split.repartition(cores * 3), ["x"], ["c"], native=True) as v:
+        assert v.part("train", "val").rdd.getNumPartitions() == cores
