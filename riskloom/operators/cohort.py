@@ -31,16 +31,26 @@ def drop_if_present(df: DataFrame, cols: Iterable[str] = DROP_COLUMNS,
 
 
 def first_per_entity(df: DataFrame, entity: str, order_by: Sequence[str]) -> DataFrame:
-    """One row per ``entity``: the row with the smallest ``order_by`` tuple.
-
-    Expressed as ``min(struct(order.., rest..))`` in a (sort) aggregation rather
-    than a window: partial aggregation collapses each task's rows map-side, so
-    an entity holding a third of all rows still ships one row per task
-    instead of sorting the whole group inside one reducer.
+    """One row per ``entity``: the row with the smallest ``order_by`` tuple, nulls first, then the smallest rest.
+
+    The smallest tuples are found first, from their columns alone. Being a filter, the ``exists``
+    on them is pushed below the projections of a derived ``df`` (a semi join is not), whose
+    other columns are then made for rows of a smallest tuple only, mostly one for each
+    entity. It joins on entity and tuple, which spreads the rows of an entity that
+    holds a third of all. Among equal tuples ``min(struct(order.., rest..))`` decides, combined
+    map-side. ``df`` is read twice, so its keys must not be drawn at random.
     """
     rest = [c for c in df.columns if c != entity and c not in order_by]
+    if len(order_by) == 1:  # a number is then aggregated by hash; a struct would be sorted
+        o = F.col(order_by[0])
+        least = [F.when(~F.max(o.isNull()), F.min(o)).alias("_least")]
+    else:
+        least = [F.min(F.struct(*order_by)).alias("_least")]
+    firsts = df.groupBy(F.col(entity).alias("_entity")).agg(*least).select(F.struct("_entity", "_least").alias("_key"))
+    own = [F.col(c).outer() for c in order_by]
+    same = F.col("_key") == F.struct(F.col(entity).outer(), own[0] if len(own) == 1 else F.struct(*own))  # structs also equal in their nulls
     packed = F.min(F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])).alias("_r")
-    out = df.groupBy(entity).agg(packed)
+    out = df.where(firsts.where(same).exists()).groupBy(entity).agg(packed)
     return out.select(*[F.col("_r." + c).alias(c) if c != entity else F.col(entity)
                         for c in df.columns])
 

@@ -46,19 +46,23 @@ def _valid(p="p"):
     return F.col(p).between(0.0, 1.0)
 
 
-def _facts(pred: DataFrame, **more) -> DataFrame:
-    """One row: model, n, n_pos, whether all scores and the AUC are in range, and constants."""
-    auc = M.auc_exact(pred, ["model"], "p", "y").select("model", "auc")
-    rows = pred.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("n_pos"), F.min(_valid()).alias("scores_valid"))
-    return rows.join(auc, "model").select("model", "n", "n_pos", "scores_valid", F.col("auc").between(0.0, 1.0).alias("auc_valid"),
-                                          *[F.lit(v).alias(k) for k, v in more.items()])
-
-
 def _kept(spark, frame: DataFrame) -> DataFrame:
     """A few rows as a frame that no longer needs its inputs."""
     return spark.createDataFrame(frame.collect(), frame.schema)
 
 
+def _facts(pred: DataFrame, **more) -> DataFrame:
+    """One row, kept: model, n, n_pos, whether all scores and the AUC are in range, and constants."""
+    scored = pred.persist()  # the counts and each pass of the AUC would score again
+    try:
+        auc = M.auc_exact(scored, ["model"], "p", "y").select("model", "auc")
+        rows = scored.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("n_pos"), F.min(_valid()).alias("scores_valid"))
+        return _kept(pred.sparkSession, rows.join(auc, "model").select("model", "n", "n_pos", "scores_valid", F.col("auc").between(0.0, 1.0).alias("auc_valid"),
+                                                                       *[F.lit(v).alias(k) for k, v in more.items()]))
+    finally:
+        scored.unpersist()
+
+
 @query("fit_predict", _SPLIT_SQL + "\nselect 'logreg' as model, row_id, y_30d as y, true as p_valid from s2 where split = 'test'")
 def q_fit_predict(spark, sf):
     """The logistic model of the study's grid with the best validation AUC: P(y = 1) of every test row."""
@@ -108,14 +112,14 @@ def q_fit_gbt(spark, sf):
     """100 weighted trees of depth 4 on slim features; a round of boosting is five jobs, so the library's default of 300 takes three minutes here."""
     with SE.vectors(*_slim(spark, sf)) as v:
         m = MD.gbt(max_depth=4, n_iter=100, weight_col="boosted", bins=v.bins).fit(v.part("train"))
-        return _kept(spark, _facts(SE.predicted(m, v.part("test"), "gbt"), n_trees=m.getNumTrees))
+        return _facts(SE.predicted(m, v.part("test"), "gbt"), n_trees=m.getNumTrees)
 
 
 @query("fit_mlp", _TEST_SQL + "select 'mlp_64_32' as model, n, n_pos, true as scores_valid, true as auc_valid, 4 as n_layers from t")
 def q_fit_mlp(spark, sf):
     with SE.vectors(*_slim(spark, sf)) as v:
         m = MD.mlp(v.width, (64, 32)).fit(v.part("train"))
-        return _kept(spark, _facts(SE.predicted(m, v.part("test"), "mlp_64_32"), n_layers=len(m.getLayers())))
+        return _facts(SE.predicted(m, v.part("test"), "mlp_64_32"), n_layers=len(m.getLayers()))
 
 
 _GRIDS = {"logreg": (SE.LOGREG_GRID, SE.logreg_fits), "gbt": (SE.GBT_GRID, SE.gbt_fits), "mlp": (SE.MLP_GRID, SE.mlp_fits)}
@@ -138,7 +142,7 @@ def q_grid_select(spark, sf):
                 F.col("model").alias("family"), F.lit(len(best.tried)).alias("n_tried"),
                 *[F.lit(counts.get(s, 0)).cast("long").alias(f"n_{s}") for s in ("train", "val")], F.col("n").alias("n_test"), "n_pos", "scores_valid",
                 F.lit(best.params in grid).alias("in_grid"), F.lit(best.params == first and 0 <= best.auc <= 1).alias("first_best"))
-            out.append(_kept(spark, fact))
+            out.append(fact)
     return reduce(DataFrame.unionByName, out)
 
 
@@ -147,7 +151,7 @@ def q_early_stop_val(spark, sf):
     """Boosting of at most 2000 trees that the validation rows end."""
     with SE.vectors(*_slim(spark, sf)) as v:
         m = SE.early_stop_val(v)
-        return _kept(spark, _facts(SE.predicted(m, v.part("test"), "gbt"), below_limit=m.getNumTrees < 2000))
+        return _facts(SE.predicted(m, v.part("test"), "gbt"), below_limit=m.getNumTrees < 2000)
 
 
 _GK = sql_keyed_hash(["patient_nbr"], 42, "group_kfold")
@@ -180,5 +184,5 @@ def q_fit_native_cat(spark, sf):
         m = SE.early_stop_val(v, max_depth=6, lr=0.05)
         levels = [len(x) for s in v.feats.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
         attrs = v.rows.schema["features"].metadata["ml_attr"]["attrs"]
-        return _kept(spark, _facts(SE.predicted(m, v.part("test"), "gbt_raw_codes"), most_levels=max(levels), bins_hold_levels=m.getMaxBins() > max(levels),
-                                   depth_held=max(t.depth for t in m.trees) <= 6, n_nominal=len(attrs["nominal"])).withColumn("most_levels", F.col("most_levels").cast("long")))
+        return _facts(SE.predicted(m, v.part("test"), "gbt_raw_codes"), most_levels=max(levels), bins_hold_levels=m.getMaxBins() > max(levels),
+                      depth_held=max(t.depth for t in m.trees) <= 6, n_nominal=len(attrs["nominal"])).withColumn("most_levels", F.col("most_levels").cast("long"))
