@@ -10,7 +10,7 @@ tokens are links.
 How many documents hold an id pair linked is counted in Spark: every block of
 about ``BLOCK`` bytes of text lists its distinct pairs once, with their documents, so the
 shuffle carries pairs of blocks, not of documents. Counts go back to the blocks by
-the same pairs. The highest count of an id has at most as many rows as the
+the same pairs, and a task has one block with its counts at a time. The highest count of an id has at most as many rows as the
 first vocabulary.
 
 A text that is null or empty, or that either tokenizer doesn't give back byte
@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
-from riskloom.llm.segments import ByteLevel, Kept, Pieces, for_worker
+from riskloom.llm.segments import ByteLevel, Kept, Pieces, for_worker, forget
 from riskloom.llm.shared import scratch, stored
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK = 1 << 19  # bytes aligned at once
-BLOCK = 1 << 23
+BLOCK = 1 << 21
+FILE_BLOCKS = 8  # blocks stored in one file
+SEGMENTS = 125_000  # kept of each vocabulary; as fast as 500,000, of which both would take some 250 MB of a worker
 WIDE = 1 << 22  # links listed at once
 
 
@@ -172,8 +174,8 @@ def _block_rows(model_a: str, model_b: bytes, limit: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tb.lean()
-        kept_a = for_worker(f"plain_{hash(model_a)}", lambda: Kept(ByteLevel(model_a, plain_specials=True)))
-        kept_b = for_worker(f"pieces_{hash(model_b)}", lambda: Kept(Pieces(model_b)))
+        kept_a = for_worker(f"plain_{hash(model_a)}", lambda: Kept(ByteLevel(model_a, plain_specials=True), SEGMENTS))
+        kept_b = for_worker(f"pieces_{hash(model_b)}", lambda: Kept(Pieces(model_b), SEGMENTS))
         number, part = 0, TaskContext.get().partitionId()
         ids, counts, hashes, docs, pairs, times, size = [], [], [], [], [], [], 0
 
@@ -206,22 +208,21 @@ def _block_rows(model_a: str, model_b: bytes, limit: int):
     return run
 
 
-def _document_rows(batches):
-    """Blocks with the counts of their pairs to documents."""
+def _document_rows(block: pa.Table, known: pa.Table) -> pa.Table:
+    """A block and the counts of its pairs, to documents."""
+    forget()  # the encoders of tasks before
     tb.lean()
-    for b in batches:
-        for i in range(b.num_rows):
-            row = {name: b.column(k)[i].values for k, name in enumerate(b.schema.names)}
-            n = len(row["doc_id"])
-            first, place, times = (row[x].to_numpy().astype(np.int64) for x in ("first", "place", "times"))
-            known = row["known"]
-            count, best = np.zeros(len(row["pair"]), np.int64), np.zeros(len(row["pair"]), np.int64)
-            at = known.field("at").to_numpy()
-            count[at], best[at] = known.field("n").to_numpy(), known.field("best").to_numpy(zero_copy_only=False)
-            upto = [np.concatenate([[0], np.cumsum(times * x[place])]) for x in (best, count)]
-            yield pa.RecordBatch.from_arrays(
-                [*[row[x] for x in ("doc_id", "n_a", "n_b", "n_groups", "n_links")], *[pa.array((x[first[1:]] - x[first[:-1]])[:n]) for x in upto], row["groups_sha256"]],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+    row = {name: block[name][0] for name in block.column_names}
+    lists = {name: x.values for name, x in row.items() if name not in ("block", "n_pairs")}
+    first, place, times = (lists[x].to_numpy().astype(np.int64) for x in ("first", "place", "times"))
+    at, upto = known["at"].to_numpy(), []
+    for name in ("best", "n"):
+        of = np.zeros(row["n_pairs"].as_py(), np.int64)
+        of[at] = known[name].to_numpy()
+        total = np.concatenate([[0], np.cumsum(times * of[place])])
+        upto.append(pa.array(total[first[1:]] - total[first[:-1]]))
+    return pa.Table.from_arrays([*[lists[x] for x in ("doc_id", "n_a", "n_b", "n_groups", "n_links")], *upto, lists["groups_sha256"]],
+                                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_a: str | None = None, model_b: str | None = None,
@@ -238,7 +239,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         second = f.read()  # 2 MB both; they go to the tasks, which need no files
     spaced = F.concat(F.lit(" "), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     given = docs.select(F.col(f"`{id_col}`").try_cast("long").alias("doc_id"), spaced.alias("text"))
-    blocks = stored(given.mapInArrow(_block_rows(first, second, block), SCHEMA), "aligned-blocks")
+    blocks = stored(given.mapInArrow(_block_rows(first, second, block), SCHEMA), "aligned-blocks", most=FILE_BLOCKS)
     held = blocks.select(F.explode(F.arrays_zip("pair", "docs")).alias("x")).groupBy("x.pair").agg(F.sum("x.docs").alias("n"))
     held = stored(held, "linked-pairs").withColumn("a", F.shiftright("pair", 32))
     top = held.groupBy("a").agg(F.max("n").alias("top"))  # a row for each id of the first vocabulary at most
@@ -250,10 +251,9 @@ def aligned(docs: DataFrame, **options) -> DataFrame:
     with scratch(docs.sparkSession) as keep:
         blocks, pairs = linked(docs, **options)
         wanted = blocks.select("block", F.posexplode("pair").alias("at", "pair"))
-        known = wanted.join(pairs, "pair").groupBy("block").agg(F.collect_list(F.struct("at", "n", "best")).alias("known"))
-        out = stored(blocks.join(known, "block", "left").select(
-            "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "first", "place", "times", "pair",
-            F.coalesce("known", F.array().cast("array<struct<at:int,n:bigint,best:bigint>>")).alias("known"))
-            .mapInArrow(_document_rows, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"), "alignment")
+        known = wanted.join(pairs, "pair").select(F.col("block").alias("of"), "at", "n", "best")
+        lists = blocks.select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "first", "place", "times", F.size("pair").alias("n_pairs"))
+        out = stored(lists.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
+            _document_rows, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"), "alignment")
         keep(out)
     return out

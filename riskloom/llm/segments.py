@@ -7,7 +7,7 @@ sentencepiece vocabulary goes on from a letter to a space (checked when it is
 loaded), so the ids of a text are those of its segments end to end. Byte-level
 vocabularies also cut before a newline and before a punctuation mark after a letter. What a
 library gives for a segment is kept for the life of a Python worker, up to
-``KEEP`` segments.
+``KEEP`` segments unless a caller says how many.
 """
 
 from __future__ import annotations
@@ -68,6 +68,11 @@ def for_worker(name: str, make):
     return getattr(held, name)
 
 
+def forget() -> None:
+    """Drop what ``for_worker`` keeps in this Python worker."""
+    sys.modules.pop("_riskloom_worker", None)
+
+
 class ByteLevel:
     """A byte-level BPE of the ``tokenizers`` library."""
 
@@ -113,10 +118,10 @@ class Pieces:
 
 
 class Kept:
-    """Ids of segments, from the library once for each."""
+    """Ids of segments, from the library once for each; all are dropped when there are more than ``most`` (else ``KEEP``)."""
 
-    def __init__(self, library):
-        self.library = library
+    def __init__(self, library, most: int | None = None):
+        self.library, self.most = library, most
         self.size = np.fromiter(map(len, library.table), np.int64, len(library.table))
         self._clear()
 
@@ -167,7 +172,7 @@ class Kept:
 
     def look_up(self, found: list[bytes]) -> np.ndarray:
         """Numbers under which ``flat``, ``first`` and ``exact`` have the segments, for this block only."""
-        if len(self.known) > KEEP:
+        if len(self.known) > (KEEP if self.most is None else self.most):
             self._clear()
         new = [s for s in found if s not in self.known]
         if new:
