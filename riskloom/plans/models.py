@@ -9,12 +9,18 @@ AUC/DeLong from ``operators.metrics``.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StandardScalerModel, StringIndexer, StringIndexerModel,
+                                VectorAssembler, VectorSlicer)
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +75,54 @@ def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence
     return PipelineModel(stages)
 
 
+def _first(level: str) -> bytes:
+    """Order of levels as the indexer has it."""
+    return level.encode("utf-16-be", "surrogatepass")
+
+
+def fit_shared(rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], levels: Sequence[set[str]]) -> PipelineModel:
+    """``fit_features`` for several training sets of ``rows`` at once, up to the assembled ``_all``, which has every level of each column.
+
+    ``levels`` are those of all rows; ``fit_own`` gives what differs.
+    """
+    idx, ohe = [f"{c}__idx" for c in categorical], [f"{c}__ohe" for c in categorical]
+    stages = []
+    if categorical:
+        sc = SparkContext.getOrCreate()
+        string = sc._jvm.java.lang.String
+        labels = sc._gateway.new_array(string, len(levels), 0)  # pyspark's from_arrays_of_labels fills rows of unequal length with nulls
+        for i, x in enumerate(levels):
+            labels[i] = sc._gateway.new_array(string, len(x))
+            for j, level in enumerate(sorted(x, key=_first, reverse=True)):
+                labels[i][j] = level
+        index = StringIndexerModel(sc._jvm.org.apache.spark.ml.feature.StringIndexerModel(f"StringIndexer_{uuid.uuid4().hex[:12]}", labels))
+        index.setInputCols(list(categorical)).setOutputCols(idx).setHandleInvalid("keep")
+        stages += [index, OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error").fit(index.transform(rows.limit(1)))]
+    return PipelineModel([*stages, VectorAssembler(inputCols=list(numeric) + ohe, outputCol="_all", handleInvalid="keep")])
+
+
+def fit_own(shared: PipelineModel, n_numeric: int, levels: Sequence[set[str]], moments: Sequence[tuple[int, np.ndarray, np.ndarray]], out: str = "features") -> PipelineModel:
+    """The rest of ``fit_features`` for one training set: its levels but the first of each column, divided by its std.
+
+    ``moments`` has count, mean and variance of ``_all`` in each of the parts that make up the set.
+    """
+    labels = shared.stages[0].labelsArray if len(shared.stages) > 1 else []
+    at, slots = n_numeric, list(range(n_numeric))
+    for every, own in zip(labels, levels, strict=True):
+        first = min(own, key=_first, default=None)
+        slots += [at + k for k, x in enumerate(every) if x in own and x != first]
+        at += len(every)
+    n = sum(c for c, _, _ in moments)
+    start = moments[0][1]
+    mean = start + sum(c * (m - start) for c, m, _ in moments) / n  # exact where all are equal, so that a constant has no std
+    squares = sum((c - 1) * v + c * (m - mean) ** 2 for c, m, v in moments)
+    std = np.sqrt(squares / (n - 1)) if n > 1 else np.zeros(len(mean))
+    sc = SparkContext.getOrCreate()
+    vectors = [_py2java(sc, Vectors.dense(x[slots])) for x in (std, mean)]
+    scaler = StandardScalerModel(sc._jvm.org.apache.spark.ml.feature.StandardScalerModel(f"StandardScaler_{uuid.uuid4().hex[:12]}", *vectors))
+    return PipelineModel([VectorSlicer(inputCol="_all", outputCol="_raw", indices=slots), scaler.setInputCol("_raw").setOutputCol(out)])
+
+
 def fit_native(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> PipelineModel:
     """Codes as nominal attributes, which trees split as categories; an unseen level is a level of its own."""
     idx = [f"{c}__idx" for c in categorical]

@@ -9,6 +9,7 @@ configurations wins.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -19,6 +20,7 @@ from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ from riskloom.operators import metrics as M
 from riskloom.operators import split as S
 from riskloom.operators.bootstrap import auc_ci
 from riskloom.plans import models as MD
-from riskloom.session import cut_lineage, drop_cut
+from riskloom.plans import newton as NW
+from riskloom.session import checkpoint_dir, cut_lineage, delete_path, drop_cut
 
 PARALLEL = 4
 # fixed values: the study's grids
@@ -77,6 +80,52 @@ def vectors(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], *
         drop_cut(rows)
 
 
+@contextmanager
+def fold_vectors(folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str]):
+    """Gives the ``Vectors`` of each fold as test rows and the others as training rows: what ``vectors`` would give for each, from one table.
+
+    One pass over ``folds`` has the levels and labels of each fold, one writes vectors of all levels, one has their moments in each fold.
+    A fold's own levels and scale are then applied as its rows are read.
+    """
+    spark = folds.sparkSession
+    given = folds.persist()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/folds-{uuid.uuid4().hex}"
+    try:
+        sets = [F.collect_set(F.col(c).cast("string")).alias(f"_{i}") for i, c in enumerate(categorical)]
+        seen = given.groupBy("fold", "y_30d").agg(F.count(F.lit(1)).alias("_rows"), *sets).collect()  # two rows for each fold
+        held = lambda rows: [set().union(*[r[f"_{i}"] for r in rows]) for i in range(len(categorical))]
+        shared = MD.fit_shared(given, numeric, categorical, held(seen))
+        n = sum(r["_rows"] for r in seen)
+        table = shared.transform(given).select("row_id", F.col("y_30d").cast("int").alias("y"), "fold", F.col("y_30d").cast("double").alias("label"), "_all")
+        table.coalesce(max(1, -(-n // MD.TASK_ROWS))).write.parquet(path)
+        stored = spark.read.schema(table.schema).parquet(path)
+    except BaseException:
+        delete_path(spark, path)
+        raise
+    finally:
+        given.unpersist()
+    try:
+        parts = stored.groupBy("fold").agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("_all")).alias("m")).collect()  # a row for each fold
+        moments = {r["fold"]: (r["m"]["count"], r["m"]["mean"].toArray(), r["m"]["variance"].toArray()) for r in parts}
+
+        def of(i: int) -> Vectors:
+            taught = [r for r in seen if r["fold"] != i]
+            own = MD.fit_own(shared, len(numeric), held(taught), [m for f, m in moments.items() if f != i])
+            count = {y: sum(r["_rows"] for r in taught if int(r["y_30d"]) == y) for y in {int(r["y_30d"]) for r in taught}}
+            n, pos = sum(count.values()), count.get(1, 0)
+            weight = {y: n / (2.0 * c) for y, c in count.items()}
+            ratio = (n - pos) / max(pos, 1)
+            y = F.col("y")
+            rows = own.transform(stored.withColumn("split", F.when(F.col("fold") == i, "test").otherwise("train"))).select(
+                "row_id", "y", "split", "label", "features",
+                F.when(y == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)).alias("balanced"), F.when(y == 1, ratio).otherwise(1.0).alias("boosted"))
+            feats = PipelineModel([*shared.stages, *own.stages])
+            return Vectors(rows, feats, n, ratio, len(own.stages[0].getIndices()), MD.bins_needed(feats))
+        yield of
+    finally:
+        delete_path(spark, path)
+
+
 def predicted(model, rows: DataFrame, name) -> DataFrame:
     """(model, row_id, y, p) of vectors."""
     return model.transform(rows).select(F.lit(name).alias("model"), "row_id", "y", vector_to_array("probability")[1].alias("p"))
@@ -102,7 +151,10 @@ Fit = Callable[[Vectors], list[tuple[dict, object]]]
 
 
 def fit_logreg(v: Vectors, **params):
-    return MD.logreg(v.n, weight_col="balanced", **params).fit(MD.for_logreg(v.part("train")))
+    """The logistic model of the training rows; more of them than memory is for are streamed, where the penalty has second derivatives."""
+    estimator, train = MD.logreg(v.n, weight_col="balanced", **params), v.part("train")
+    streamed = NW.fit(estimator, train, v.width) if v.n > NW.STREAM_ROWS and estimator.getElasticNetParam() == 0.0 else None
+    return estimator.fit(MD.for_logreg(train)) if streamed is None else streamed
 
 
 def logreg_fits(grid: Iterable[dict] = LOGREG_GRID) -> list[Fit]:
@@ -164,20 +216,17 @@ def cv_auc(df: DataFrame, numeric, categorical, make: Callable[[Vectors], object
            parallelism: int = PARALLEL) -> DataFrame:
     """(fold, n, n_pos, auc, ci_lo, ci_hi, method, n_boot_used): each fold scored by a model of the others.
 
-    Folds keep the rows of a ``group`` together. Fits run at the same time; all
+    Folds keep the rows of a ``group`` together. Vectors of all folds are one table; fits run at the same time; all
     predictions are one table and one grouped interval job.
     """
-    folds = S.kfold_stratified_group(df, group, "y_30d", k, key="row_id").persist()
-
-    def one(i: int) -> DataFrame:
-        with vectors(folds.withColumn("split", F.when(F.col("fold") == i, "test").otherwise("train")), numeric, categorical) as v:
+    folds = S.kfold_stratified_group(df, group, "y_30d", k, key="row_id")
+    with fold_vectors(folds, numeric, categorical) as of:
+        def one(i: int) -> DataFrame:
+            v = of(i)
             return cut_lineage(predicted(make(v), v.part("test"), i))
 
-    try:
         with ThreadPoolExecutor(parallelism) as pool:
             parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(k)))
-    finally:
-        folds.unpersist()
     scores = reduce(DataFrame.unionByName, parts).withColumnRenamed("model", "fold")
     return auc_ci(scores, "row_id", "p", "y", group_cols=["fold"])
 
