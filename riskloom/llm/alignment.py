@@ -38,7 +38,7 @@ MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK = 1 << 19  # bytes aligned at once
 BLOCK = 1 << 21
 FILE_BLOCKS = 8  # blocks stored in one file
-SEGMENTS = 125_000  # kept of each vocabulary; as fast as 500,000, of which both would take some 250 MB of a worker
+SEGMENTS = 250_000  # kept of each vocabulary; as fast as 500,000, of which both would take some 250 MB of a worker
 WIDE = 1 << 22  # links listed at once
 
 
@@ -53,8 +53,9 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     left, right = a[["doc", "start"]], b[["doc", "start"]]
     a_in_b = pd.merge_asof(left, right.assign(b=np.arange(len(b))), on="start", by="doc")["b"].to_numpy(np.int64)
     b_in_a = pd.merge_asof(right, left.assign(a=np.arange(len(a))), on="start", by="doc")["a"].to_numpy(np.int64)
-    # both lists ascend in a and in b: the order of a pair is its place in the other side's order
-    key = np.unique(np.concatenate([np.arange(len(a)) * np.int64(len(b)) + a_in_b, b_in_a * np.int64(len(b)) + np.arange(len(b))]))
+    # both lists ascend in a and in b: the order of a pair is its place in the other side's order, and a stable sort merges them
+    key = np.sort(np.concatenate([np.arange(len(a)) * np.int64(len(b)) + a_in_b, b_in_a * np.int64(len(b)) + np.arange(len(b))]), kind="stable")
+    key = key[np.flatnonzero(np.r_[True, key[1:] != key[:-1]])] if len(key) else key
     at_a, at_b = key // len(b), key % len(b)
     return pd.DataFrame({"a": at_a, "b": at_b, "ends": a["end"].to_numpy()[at_a] == b["end"].to_numpy()[at_b]})
 
@@ -79,13 +80,16 @@ def said(a_ids, a_group, b_ids, b_group) -> tuple[np.ndarray, np.ndarray]:
     in_a, in_b = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
     before_a, before_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
     n = len(a_ids) + len(b_ids)
-    ids, mark = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
+    ids, mark = np.empty(n, np.int32), np.full(n, ord(","), np.uint8)
     ids[np.arange(len(a_ids)) + before_b[a_group]] = a_ids
     ids[np.arange(len(b_ids)) + (before_a + in_a)[b_group]] = b_ids
     last = before_a + before_b + in_a
     mark[last - 1] = ord("|")
     mark[last + in_b - 1] = ord(";")
-    digits = np.maximum(1, np.searchsorted(10 ** np.arange(1, 10), ids, "right") + 1)
+    digits, tens = np.ones(n, np.int64), 10
+    while tens <= ids.max(initial=0):
+        digits += ids >= tens
+        tens *= 10
     stop = np.cumsum(digits + 1)
     out = np.empty(int(stop[-1]) if n else 0, np.uint8)
     out[stop - 1] = mark
@@ -122,7 +126,9 @@ def links(doc, a_ids, a_group, b_ids, b_group):
 
 
 def _summed(doc, pair, n):
-    by = np.lexsort((pair, doc))
+    short = (pair >> 32 << 16) | (pair & 0xFFFF)  # one key sorts faster, where ids are short
+    fits = len(doc) and doc[-1] < 1 << 31 and pair.max() < 1 << 48 and (pair & 0xFFFFFFFF).max() < 1 << 16 and doc.max() == doc[-1]
+    by = np.argsort(doc << 32 | short) if fits else np.lexsort((pair, doc))
     doc, pair, n = doc[by], pair[by], n[by]
     new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])]) if len(doc) else np.zeros(0, np.int64)
     return doc[new], pair[new], np.add.reduceat(n, new) if len(new) else n

@@ -133,20 +133,13 @@ class Kept:
     def _learn(self, new: list[bytes]) -> None:
         """Encodes segments; many as one text where that can't change them."""
         table = self.library.table
-        one, groups, joined, size = [], [], [], 0
         last = np.frombuffer(b"".join([b"\0" + s if len(s) == 1 else s[-2:] for s in new]), np.uint8)
-        whole = _cuts(last[1::2], last[::2]).tolist()
-        for s, ends in zip(new, whole, strict=True):
-            if s[:1] not in (b" ", b"\n") or not ends:
-                one.append(s)
-                continue
-            joined.append(s)
-            size += len(s)
-            if size >= AT_ONCE:
-                groups.append(joined)
-                joined, size = [], 0
-        if joined:
-            groups.append(joined)
+        begin = np.frombuffer(b"".join([s[:1] for s in new]), np.uint8)
+        whole = _cuts(last[1::2], last[::2]) & ((begin == 32) | (begin == 10))
+        one, joined = (list(itertools.compress(new, x)) for x in ((~whole).tolist(), whole.tolist()))
+        after = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+        edge = [*np.flatnonzero(np.diff(after // AT_ONCE, prepend=-1)).tolist(), len(joined)]
+        groups = [joined[x:y] for x, y in itertools.pairwise(edge)]
         again = []
         got = self.library.encode([b"".join(g).decode() for g in groups])
         if b"".join([table[i] for ids in got for i in ids]) != b"".join([s for g in groups for s in g]):
@@ -180,7 +173,7 @@ class Kept:
             self._learn(new)
             self.flat, self.exact = np.concatenate(self.ids), np.concatenate(self.same)
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(self.count))])
-        return np.array(list(map(self.known.__getitem__, found)), np.int64)
+        return np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Ids of texts laid end to end, each text's first id, and whether its bytes come back."""
